@@ -1,0 +1,172 @@
+"""Parsing, validation, de-duplication, enrichment and carts on hand-made frames."""
+
+from __future__ import annotations
+
+import json
+
+from helpers import event, events_frame, ids, item, one
+from pyspark.sql import functions as F
+
+from tidestream.operators import carts, enrich, quality
+from tidestream.sources import messages
+
+
+def test_missing_keys_are_dropped(spark):
+    frame = events_frame(
+        spark,
+        event("ok"),
+        event("no user", user_id=None),
+        event("no session", session_id=None),
+        event("no type", event_type=None),
+    )
+    assert ids(quality.drop_missing_keys(frame)) == ["ok"]
+
+
+def test_empty_and_null_timestamps_are_dropped_but_bad_text_is_kept(spark):
+    frame = events_frame(spark, event("a", at=None), event("b", at=""), event("c", at="soon"))
+    assert ids(quality.drop_missing_timestamps(frame)) == ["c"]
+    assert one(enrich.add_event_time(frame.where("event_id = 'c'")))["event_timestamp"] is None
+
+
+def test_only_product_events_need_a_product(spark):
+    frame = events_frame(
+        spark,
+        event("view", product_id=None),
+        event("search", "search"),
+        event("other", "error", product_id=None),
+        event("buy", "purchase", product_id=None, cart_items=[item("P1", 5.0, 1)]),
+        event("empty cart", "purchase", product_id=None, cart_items=[]),
+    )
+    assert ids(quality.drop_missing_products(frame)) == ["other", "search"]
+    kept = quality.drop_missing_products(frame, accept_carts=True)
+    assert ids(kept) == ["buy", "other", "search"]
+
+
+def test_duplicates_leave_one_row(spark):
+    frame = events_frame(spark, event("a"), event("a"), event("b"))
+    assert ids(quality.drop_duplicate_events(frame)) == ["a", "b"]
+
+
+def test_data_quality_agrees_with_validation(spark):
+    frame = events_frame(
+        spark, event("a"), event("a"), event("b", user_id=None), event(None), event(None)
+    )
+    report = one(quality.data_quality(frame))
+    assert report["total_events"] == 5
+    assert report["valid_events"] == quality.validate_events(frame).count() == 2
+    assert report["data_quality_rate"] == 40.0
+
+
+def test_data_quality_of_nothing_is_zero(spark):
+    assert one(quality.data_quality(events_frame(spark)))["data_quality_rate"] == 0.0
+
+
+def test_enrichment(spark):
+    frame = events_frame(
+        spark, event("a", at="2024-02-29T23:59:59.5Z"), event("b", device_info=None)
+    )
+    rows = {
+        r["event_id"]: r for r in enrich.enrich_events(frame, batch_id="batch_1").collect()
+    }
+    a, b = rows["a"], rows["b"]
+    assert (str(a["event_date"]), a["event_hour"]) == ("2024-02-29", 23)
+    assert (a["is_mobile"], a["is_tablet"], a["is_desktop"]) == (True, False, False)
+    assert (b["is_mobile"], b["is_tablet"], b["is_desktop"]) == (None, None, None)
+    assert a["batch_id"] == "batch_1" and a["session_duration_seconds"] == 0
+    assert a["processed_at"] is not None
+
+
+def test_default_batch_id_has_a_time_stamp(spark):
+    row = one(enrich.enrich_events(events_frame(spark, event("a"))))
+    prefix, day, time = row["batch_id"].split("_")
+    assert (prefix, len(day), len(time)) == ("batch", 8, 6)
+
+
+def test_carts_become_lines(spark):
+    frame = enrich.add_event_time(
+        events_frame(
+            spark,
+            event("view"),
+            event(
+                "buy",
+                "purchase",
+                product_id=None,
+                order_id="O1",
+                total_value=99.0,
+                cart_items=[item("P1", 5.0, 2), item("P2", 1.5, 3, "Clothing")],
+            ),
+        )
+    )
+    lines = carts.expand_carts(frame)
+    assert lines.count() == 3
+    by_product = {
+        r["product_id"]: r for r in lines.where("event_type = 'purchase'").collect()
+    }
+    assert by_product["P2"]["product_category"] == "Clothing"
+    assert by_product["P2"]["total_value"] == 4.5
+    bought = carts.purchase_lines(frame)
+    assert sorted(r["line_value"] for r in bought.collect()) == [4.5, 10.0]
+    assert one(carts.order_values(bought)) == {
+        "order_id": "O1", "line_count": 2, "total_value": 14.5,
+    }
+
+
+def _envelope(*events):
+    return json.dumps({"topic": "t", "messages": list(events), "timestamp": "x", "batch_size": 1})
+
+
+def test_envelopes(spark):
+    texts = [
+        _envelope(event("a"), event("b", product_price=3)),
+        _envelope(),
+        "",
+        '{"topic": "t", "messages": [{"event_id"',
+        json.dumps({"topic": "t"}),
+    ]
+    frame = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    parsed = messages.parse_envelopes(frame)
+    assert ids(parsed) == ["a", "b"]
+    # A whole number is fine where the schema says double.
+    assert one(parsed.where("event_id = 'b'"))["product_price"] == 3.0
+    assert messages.corrupt_envelopes(frame).count() >= 1
+
+
+def test_broker_messages(spark):
+    rows = [
+        (b"u1", json.dumps({**event("a"), "extra": 1}).encode(), "retail_clickstream", 2, 7),
+        (None, b"{broken", "elsewhere", 0, 8),
+    ]
+    frame = spark.createDataFrame(
+        rows, "key BINARY, value BINARY, topic STRING, `partition` INT, offset BIGINT"
+    ).withColumn("timestamp", F.timestamp_seconds(F.lit(10)))
+    decoded = messages.decode_messages(frame)
+    good = one(messages.well_formed(decoded))
+    assert good["event_id"] == "a" and good["device_info"]["type"] == "mobile"
+    assert good["kafka_metadata"] == {
+        "topic": "retail_clickstream", "partition": 2, "offset": 7, "key": "u1",
+        "timestamp": 10000,
+    }
+    bad = one(decoded.where(F.col("_corrupt_record").isNotNull()))
+    assert bad["_corrupt_record"] == "{broken" and bad["event_id"] is None
+    jobs = {r["topic"]: r["job"] for r in messages.route_topics(frame).collect()}
+    assert jobs == {
+        "retail_clickstream": "clickstream-processing-job",
+        "elsewhere": "default-processing-job",
+    }
+
+
+def test_kafka_options():
+    options = messages.kafka_options("h:9092", ["retail_clickstream", "retail_inventory"])
+    assert options["subscribe"] == "retail_clickstream,retail_inventory"
+    assert options["startingOffsets"] == "latest"
+    assert options["maxOffsetsPerTrigger"] == "125"
+
+
+def test_freshness(spark):
+    rows = [("2024-01-05", "2024-01-05 10:00:00"), ("2024-01-04", "2024-01-04 23:00:00")]
+    frame = spark.createDataFrame(rows, "event_date STRING, processed_at STRING").selectExpr(
+        "date(event_date) event_date", "timestamp(processed_at) processed_at"
+    )
+    assert one(quality.freshness(frame, "2024-01-05 10:59:00"))["status"] == "fresh"
+    assert one(quality.freshness(frame, "2024-01-05 11:01:00"))["status"] == "stale"
+    assert one(quality.freshness(frame, "2024-01-06 00:00:00"))["status"] == "missing"

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,8 +79,8 @@ class ModelRegistry:
         """Every stage change of every version."""
         try:
             table = self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.root}/model_registry")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             table = self.spark.createDataFrame([], REGISTRY_SCHEMA)
         return table.where(F.col("name") == self.name)

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestream.constants import CLICKSTREAM_TOPIC
 from tidestream.operators import metrics as m
 from tidestream.operators.carts import expand_carts
-from tidestream.operators.enrich import enrich_events
+from tidestream.operators.enrich import add_time_partitions, enrich_events
 from tidestream.operators.quality import is_valid, validate_events
 from tidestream.operators.sessions import session_metrics
 from tidestream.sinks.lake import write_metrics, write_quarantine, write_raw
 from tidestream.sources.lake import read_batch
+from tidestream.sources.messages import conform_events
 
 
 def metric_frames(events: DataFrame) -> dict[str, DataFrame]:
@@ -21,7 +22,7 @@ def metric_frames(events: DataFrame) -> dict[str, DataFrame]:
     Sessions, hours and devices count events. Products and categories count cart lines, as
     a purchase names its products only there.
     """
-    lines = expand_carts(events) if "cart_items" in events.columns else events
+    lines = expand_carts(events)
     return {
         "sessions": session_metrics(events),
         "products": m.product_metrics(lines),
@@ -46,23 +47,22 @@ def process_batch(
     topic: str = CLICKSTREAM_TOPIC,
     processed_at: Column | None = None,
     keep_rejected: bool = False,
+    spark: SparkSession | None = None,
 ) -> DataFrame:
     """Store a batch of events and its metrics below `lake`; returns the batch summary.
 
     The events are validated and written once. The metrics then read the written rows, so
     each scans only its own columns, none repeats the de-duplication, and nothing has to
-    stay cached. Running a batch_id again replaces what it wrote before.
+    stay cached. Running a batch_id again replaces what it wrote before. `spark` is the
+    session for the metrics, by default that of the events.
     """
-    spark = events.sparkSession
+    spark = spark or events.sparkSession
+    events = conform_events(events)
     enriched = enrich_events(validate_events(events, accept_carts=True), processed_at, batch_id)
-    path = write_raw(enriched, f"{lake}/raw", topic)
+    path = write_raw(enriched, f"{lake}/raw", batch_id, topic)
     if keep_rejected:
         write_quarantine(rejected_rows(events), f"{lake}/raw", batch_id)
-    try:
-        stored = read_batch(spark, path, batch_id)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        stored = enriched.limit(0)  # nothing valid in this batch, so nothing was written
-    write_metrics(metric_frames(stored), f"{lake}/processed", batch_id)
+    stored = read_batch(spark, path, batch_id, add_time_partitions(enriched).schema)
+    if not stored.isEmpty():
+        write_metrics(metric_frames(stored), f"{lake}/processed", batch_id)
     return m.processing_summary(stored).withColumn("batch_id", F.lit(batch_id))

@@ -40,6 +40,7 @@ _EVENT_FIELDS = {
     "search_results_count": "INT",
 }
 
+EVENT_TYPES_BY_COLUMN = dict(_EVENT_FIELDS)
 EVENT_COLUMNS = tuple(_EVENT_FIELDS)
 EVENT_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in _EVENT_FIELDS.items())
 _EVENT_STRUCT = "STRUCT<" + ", ".join(f"`{n}`: {k}" for n, k in _EVENT_FIELDS.items()) + ">"

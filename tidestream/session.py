@@ -33,6 +33,8 @@ def local_session(cores: int | str = "*", app: str = "tidestream", **settings) -
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Skips recording the Python call site of every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(parallel))
     )
     for name, value in {**RUNTIME_SETTINGS, **settings}.items():

@@ -1,14 +1,17 @@
 """Partitioned Parquet tables.
 
-Every table is partitioned by batch_id first. A write replaces exactly the partitions it
-fills, so a repeated batch replaces its own rows and leaves the others alone.
+Event and metric tables keep each batch in a folder of its own, batch_id=..., divided by
+date. Writing a batch replaces that folder, so a repeated batch replaces its own rows and
+leaves the others alone; no partition has to be renamed, which suits object stores.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,50 +31,70 @@ def metric_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/analytics/{name}"
 
 
-def write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
-    """Replace the partitions present in `df`.
+# Files a single partition may be split into where Spark cannot adapt to its size.
+_SPLITS = 4
 
-    The rebalance hint gathers small pieces of a partition into files of sensible size and
-    splits a partition that holds much of the data over several tasks.
+
+def _gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partition gathered for writing, but never all of a big one in one task.
+
+    Rebalancing merges small pieces into files of sensible size and splits large partitions.
+    It needs adaptive execution, which a stateful stream runs without; there each partition
+    is hashed to a few tasks instead.
     """
-    (
-        df.hint("rebalance", *columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *columns)
+    if not columns:
+        return df
+    split = F.pmod(F.xxhash64(*df.columns), F.lit(_SPLITS))
+    return df.repartition(*columns, split)
+
+
+def _write(df: DataFrame, path: str, columns: Sequence[str], **options: str) -> None:
+    """Write `df` over `path`, divided by `columns`."""
+    pieces = _gathered(df, columns).write.mode("overwrite").options(**options)
+    pieces.partitionBy(*columns).parquet(path)
+
 
+def batch_path(path: str, batch_id: str) -> str:
+    return f"{path}/batch_id={batch_id}"
 
-def write_raw(events: DataFrame, root: str, topic: str = CLICKSTREAM_TOPIC) -> str:
+
+def write_raw(
+    events: DataFrame, root: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC
+) -> str:
     """Enriched events by batch, year, month, day and hour; returns the table's folder."""
     path = raw_path(root, topic)
-    write_partitions(add_time_partitions(events), path, ["batch_id", *PARTITION_COLUMNS])
+    dated = add_time_partitions(events).drop("batch_id")
+    _write(dated, batch_path(path, batch_id), PARTITION_COLUMNS)
     return path
 
 
 def write_metrics(metrics: Mapping[str, DataFrame], root: str, batch_id: str) -> None:
-    """Metric tables by batch, year, month and day of their event_date."""
-    for name, frame in metrics.items():
-        dated = add_day_partitions(frame).withColumn("batch_id", F.lit(batch_id))
-        write_partitions(
-            dated, metric_path(root, name), ["batch_id", *PARTITION_COLUMNS[:3]]
-        )
+    """Metric tables by batch, year, month and day of their event_date.
+
+    The tables do not depend on each other, so their jobs are submitted together and fill
+    the executors that the tail of another job leaves idle.
+    """
+
+    def write(name: str) -> None:
+        target = batch_path(metric_path(root, name), batch_id)
+        _write(add_day_partitions(metrics[name]), target, PARTITION_COLUMNS[:3])
+
+    spark = next(iter(metrics.values())).sparkSession
+    with ThreadPoolExecutor(len(metrics)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), metrics))
 
 
 def write_quarantine(rows: DataFrame, root: str, batch_id: str) -> None:
     """Rejected rows of a batch, as JSON text with the reason."""
-    write_partitions(
-        rows.withColumn("batch_id", F.lit(batch_id)),
-        f"{root.rstrip('/')}/quarantine",
-        ["batch_id"],
-    )
+    _write(rows, batch_path(f"{root.rstrip('/')}/quarantine", batch_id), ())
 
 
 def write_daily_summary(summary: DataFrame, root: str) -> str:
-    """The curated daily report; a rerun replaces the days it covers."""
+    """The curated daily report; a rerun replaces the days it covers and no others."""
     path = f"{root.rstrip('/')}/daily_summary"
-    write_partitions(summary, path, ["report_date"])
+    _write(summary, path, ["report_date"], partitionOverwriteMode="dynamic")
     return path
 
 

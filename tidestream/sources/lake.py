@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def read_folder(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -11,10 +12,12 @@ def read_folder(spark: SparkSession, path: str, schema: str | None = None) -> Da
     return reader.parquet(path)
 
 
-def read_batch(spark: SparkSession, path: str, batch_id: str) -> DataFrame:
+def read_batch(
+    spark: SparkSession, path: str, batch_id: str, schema: T.StructType
+) -> DataFrame:
     """The rows one batch wrote, found without listing any other batch."""
-    rows = spark.read.option("basePath", path).parquet(f"{path}/batch_id={batch_id}")
-    return rows.withColumn("batch_id", rows["batch_id"].cast("string"))
+    reader = spark.read.schema(schema).option("basePath", path)
+    return reader.parquet(f"{path}/batch_id={batch_id}")
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestream.constants import DEFAULT_JOB, TOPIC_BATCH_ROWS, TOPIC_JOBS
@@ -13,11 +13,21 @@ from tidestream.schemas import (
     ENVELOPE_SCHEMA,
     EVENT_COLUMNS,
     EVENT_SCHEMA_WITH_CORRUPT,
+    EVENT_TYPES_BY_COLUMN,
 )
 
 _PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
+def _parsed(text: Column, schema: str) -> Column:
+    """Columns of JSON text, parsed once per row.
+
+    As a one-row generator: a filter on a plain from_json projection would be moved below it
+    and parse the text a second time.
+    """
+    return F.inline(F.array(F.from_json(text, schema, _PERMISSIVE)))
+
+
 def kafka_options(
     servers: str,
     topics: Sequence[str],
@@ -51,7 +61,6 @@ def decode_messages(messages: DataFrame) -> DataFrame:
 
     Malformed values keep their text in the corrupt column and null in every event field.
     """
-    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA_WITH_CORRUPT, _PERMISSIVE)
     origin = F.struct(
         F.col("topic").alias("topic"),
         F.col("partition").cast("int").alias("partition"),
@@ -59,12 +68,23 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         F.col("key").cast("string").alias("key"),
         F.unix_millis("timestamp").alias("timestamp"),
     )
-    decoded = messages.select(event.alias("event"), origin.alias("kafka_metadata"))
-    fields = [c for c in EVENT_COLUMNS if c != "kafka_metadata"]
+    decoded = messages.select(
+        origin.alias("origin"), _parsed(F.col("value").cast("string"), EVENT_SCHEMA_WITH_CORRUPT)
+    )
     return decoded.select(
-        *[F.col(f"event.{c}").alias(c) for c in fields],
-        "kafka_metadata",
-        F.col(f"event.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
+        *[F.col("origin" if c == "kafka_metadata" else c).alias(c) for c in EVENT_COLUMNS],
+        CORRUPT_COLUMN,
+    )
+
+
+def conform_events(events: DataFrame) -> DataFrame:
+    """Exactly the declared event columns: missing ones null, others dropped."""
+    present = set(events.columns)
+    return events.select(
+        *[
+            (F.col(c) if c in present else F.lit(None)).cast(kind).alias(c)
+            for c, kind in EVENT_TYPES_BY_COLUMN.items()
+        ]
     )
 
 
@@ -88,15 +108,14 @@ def parse_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
 
     Empty and malformed envelopes give no events; `corrupt_envelopes` keeps the latter.
     """
-    parsed = envelopes.select(F.from_json(column, ENVELOPE_SCHEMA, _PERMISSIVE).alias("envelope"))
-    return parsed.select(F.explode("envelope.messages").alias("event")).select("event.*")
+    parsed = envelopes.select(_parsed(F.col(column), ENVELOPE_SCHEMA))
+    return parsed.select(F.inline("messages"))
 
 
 def corrupt_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
     """The text of envelopes that are not valid JSON."""
-    parsed = envelopes.select(F.from_json(column, ENVELOPE_SCHEMA, _PERMISSIVE).alias("envelope"))
-    text = parsed.select(F.col(f"envelope.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN))
-    return text.where(F.col(CORRUPT_COLUMN).isNotNull())
+    parsed = envelopes.select(_parsed(F.col(column), ENVELOPE_SCHEMA))
+    return parsed.select(CORRUPT_COLUMN).where(F.col(CORRUPT_COLUMN).isNotNull())
 
 
 def well_formed(events: DataFrame) -> DataFrame:

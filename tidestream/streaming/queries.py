@@ -75,12 +75,14 @@ def start_clickstream(
     """Each micro-batch through `process_batch`; without an interval, whatever is there now.
 
     Offsets and state live in the checkpoint and a batch is stored under its own number, so
-    a batch that is repeated after a failure replaces itself.
+    a batch that is repeated after a failure replaces itself. The metrics run in the outer
+    session, as adaptive execution is off inside a stateful stream.
     """
+    spark = events.sparkSession
 
     def store(batch: DataFrame, number: int) -> None:
         plain = batch.drop("event_timestamp", "event_date", "event_hour")
-        process_batch(plain, lake, f"stream_{number}", topic)
+        process_batch(plain, lake, f"stream_{number}", topic, spark=spark)
 
     writer = valid_stream(events, watermark, salts).writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
