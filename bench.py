@@ -1,7 +1,7 @@
 """Benchmark: every registered query, the batch job, BI reports and the stream.
 
 Prints one JSON line. Queries run warm; `value` is the sum of their times (median of
-BENCH_REPEAT runs, 3 by default). The model queries reuse the fitted models, whose training
+BENCH_REPEAT runs, 1 by default). The model queries reuse the fitted models, whose training
 time is listed once as `train_models`.
 """
 
@@ -25,7 +25,7 @@ from tidestream.streaming.queries import valid_stream
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "1"))
 MODEL_QUERIES = (
     "score_lr",
     "score_gbt",

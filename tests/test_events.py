@@ -47,6 +47,12 @@ def test_duplicates_leave_one_row(spark):
     assert ids(quality.drop_duplicate_events(frame)) == ["a", "b"]
 
 
+def test_the_earliest_copy_stays(spark):
+    late, early = "2024-01-05T11:00:00Z", "2024-01-05T10:00:00Z"
+    frame = events_frame(spark, event("a", at=late), event("a", at=early))
+    assert one(quality.drop_duplicate_events(frame))["timestamp"] == early
+
+
 def test_data_quality_agrees_with_validation(spark):
     frame = events_frame(
         spark, event("a"), event("a"), event("b", user_id=None), event(None), event(None)

@@ -36,6 +36,12 @@ def test_counts_combine_before_the_shuffle(spark, sf_dir):
     assert "partial_count" in plan_of(QUERIES["event_type_counts"](spark, sf_dir))
 
 
+def test_copies_are_dropped_before_the_shuffle(spark, sf_dir):
+    plan = plan_of(QUERIES["dedup_events"](spark, sf_dir))
+    final, partial = plan.split("Exchange hashpartitioning(event_id", 1)
+    assert "WindowGroupLimit" in final and "WindowGroupLimit" in partial
+
+
 def test_top_lists_need_no_full_sort(spark, sf_dir):
     for name in ("top_products", "high_value_sessions", "top_sellers"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name](spark, sf_dir))
@@ -58,6 +64,38 @@ def test_large_lookup_is_not_broadcast(spark, sf_dir):
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
+def test_hot_product_is_split(spark, tmp_path):
+    """Half of all events on one product: its partition of the lookup join is split."""
+    events = spark.range(60_000).selectExpr(
+        "id event_id",
+        "timestamp_ntz'2024-01-05 10:00:00' ts",
+        "id % 100 user_id",
+        "'view' event_type",
+        "1D value",
+        """concat('{"k": ', if(id % 2 = 0, 7, id % 100), '}') props""",
+    )
+    events.repartition(8).write.parquet(f"{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/part.parquet").write.parquet(
+        f"{tmp_path}/part.parquet"
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        frame = testdata.clickstream(spark, str(tmp_path)).select("product_id", "product_name")
+        assert len(frame.collect()) == 60_000 + 1_200
+        assert "skew=true" in plan_of(frame)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_shuffle_count_grows_with_the_input(spark, sf_dir, monkeypatch):
     events = testdata.table(spark, sf_dir, "events")
     before = spark.conf.get("spark.sql.shuffle.partitions")

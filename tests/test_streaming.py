@@ -121,3 +121,20 @@ def test_every_window_metric_runs_on_a_stream(spark, inbox, tmp_path):
     timed = valid.withColumn("processed_at", F.to_timestamp(F.lit("2024-01-05 10:00:02")))
     latency = at_ten(drain(spark, windows.pipeline_latency(timed), tmp_path, "latency"))
     assert [r["p50_seconds"] for r in latency] == [2.0]
+
+
+def test_topics_go_to_their_jobs(spark, tmp_path):
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    topics = ["retail_clickstream", "retail_transactions", "retail_clickstream", "unknown"]
+    (folder / "a.json").write_text("\n".join(json.dumps({"topic": t}) for t in topics))
+    seen = {}
+
+    def handler(name):
+        return lambda rows, number: seen.update({name: rows.count()})
+
+    jobs = ("clickstream-processing-job", "transaction-processing-job", "default-processing-job")
+    stream = spark.readStream.schema("topic STRING").json(str(folder))
+    handlers = {job: handler(job) for job in jobs}
+    queries.start_router(stream, handlers, f"{tmp_path}/cp", None).awaitTermination()
+    assert seen == dict(zip(jobs, (2, 1, 1)))

@@ -62,11 +62,12 @@ def split_stats(labelled: DataFrame) -> DataFrame:
 def prepare(features: DataFrame) -> DataFrame:
     """Labelled and split training rows, cut off from the lineage that made them.
 
-    Fitting passes over these rows many times. The checkpoint keeps a lost executor from
-    costing the event scan, de-duplication and session aggregation again.
+    Fitting passes over these rows many times, so they are first dealt out evenly. The
+    checkpoint keeps a lost executor from costing the event scan, de-duplication and session
+    aggregation again.
     """
     ensure_checkpoint_dir(features.sparkSession)
-    return assign_split(add_label(features)).checkpoint()
+    return assign_split(add_label(features)).hint("rebalance", "session_id").checkpoint()
 
 
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> PipelineModel:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidestream.constants import PRODUCT_EVENT_TYPES
 
@@ -52,8 +53,15 @@ def drop_missing_products(events: DataFrame, accept_carts: bool = False) -> Data
 
 
 def drop_duplicate_events(events: DataFrame) -> DataFrame:
-    """One row per event_id; copies are folded on the map side before the shuffle."""
-    return events.dropDuplicates(["event_id"])
+    """The earliest row per event_id.
+
+    A fixed choice among copies that differ stays the same when a lost task is repeated.
+    Spark keeps only the first row per id of each task before the shuffle, so an id that
+    arrives in masses is never gathered in one place.
+    """
+    copies = Window.partitionBy("event_id").orderBy("timestamp")
+    ranked = events.withColumn("copy", F.row_number().over(copies))
+    return ranked.where(F.col("copy") == 1).drop("copy")
 
 
 def validate_events(events: DataFrame, accept_carts: bool = False) -> DataFrame:

@@ -192,20 +192,14 @@ def _conversions(grouped) -> DataFrame:
 
 def describe_sessions(sessions: DataFrame, measures: tuple[str, ...] = SESSION_MEASURES) -> DataFrame:
     """count, mean, stddev, min and max of each measure, one row per measure."""
-    long = sessions.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("x"))
-                    for m in measures
-                ]
-            )
-        )
-    )
-    return long.groupBy("measure").agg(
-        F.count("x").alias("count"),
-        F.avg("x").alias("mean"),
-        F.stddev("x").alias("stddev"),
-        F.min("x").alias("min"),
-        F.max("x").alias("max"),
+    statistics = {"count": F.count, "mean": F.avg, "stddev": F.stddev, "min": F.min, "max": F.max}
+    totals = sessions.agg(
+        *[
+            F.struct(
+                F.lit(m).alias("measure"),
+                *[f(F.col(m).cast("double")).alias(name) for name, f in statistics.items()],
+            ).alias(m)
+            for m in measures
+        ]
     )
+    return totals.select(F.inline(F.array(*measures)))

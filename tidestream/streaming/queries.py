@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,7 +14,7 @@ from tidestream.operators.quality import is_valid
 from tidestream.plans.batch import process_batch
 from tidestream.schemas import CORRUPT_COLUMN
 from tidestream.sinks.lake import write_quarantine
-from tidestream.sources.messages import well_formed
+from tidestream.sources.messages import route_topics, well_formed
 
 WATERMARK = "5 minutes"
 
@@ -88,6 +90,34 @@ def start_clickstream(
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
+def start_router(
+    messages: DataFrame,
+    handlers: Mapping[str, Callable[[DataFrame, int], None]],
+    checkpoint: str,
+    interval: str | None = BATCH_INTERVAL,
+) -> StreamingQuery:
+    """Hands the broker rows of each micro-batch to the job of their topic.
+
+    A handler gets its rows and the batch number, and sees them again if the batch is
+    repeated. Rows of jobs without a handler fail the batch rather than vanish.
+    """
+
+    def route(batch: DataFrame, number: int) -> None:
+        routed = route_topics(batch).persist()
+        try:
+            jobs = [r["job"] for r in routed.select("job").distinct().collect()]
+            unknown = set(jobs) - set(handlers)
+            if unknown:
+                raise LookupError(f"no handler for {sorted(unknown)}")
+            for job in jobs:
+                handlers[job](routed.where(F.col("job") == job).drop("job"), number)
+        finally:
+            routed.unpersist()
+
+    writer = messages.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+    return _trigger(writer, interval).start()
+
+
 def start_quarantine(
     events: DataFrame, lake: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
 ) -> StreamingQuery:
