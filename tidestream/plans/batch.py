@@ -47,18 +47,21 @@ def process_batch(
     topic: str = CLICKSTREAM_TOPIC,
     processed_at: Column | None = None,
     keep_rejected: bool = False,
+    validated: bool = False,
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """Store a batch of events and its metrics below `lake`; returns the batch summary.
 
     The events are validated and written once. The metrics then read the written rows, so
     each scans only its own columns, none repeats the de-duplication, and nothing has to
-    stay cached. Running a batch_id again replaces what it wrote before. `spark` is the
-    session for the metrics, by default that of the events.
+    stay cached. Running a batch_id again replaces what it wrote before. Events that are
+    `validated` and distinct already, as those of a stream, skip that step and its shuffle.
+    `spark` is the session for the metrics, by default that of the events.
     """
     spark = spark or events.sparkSession
     events = conform_events(events)
-    enriched = enrich_events(validate_events(events, accept_carts=True), processed_at, batch_id)
+    valid = events if validated else validate_events(events, accept_carts=True)
+    enriched = enrich_events(valid, processed_at, batch_id)
     path = write_raw(enriched, f"{lake}/raw", batch_id, topic)
     if keep_rejected:
         write_quarantine(rejected_rows(events), f"{lake}/raw", batch_id)

@@ -83,8 +83,8 @@ def start_clickstream(
     spark = events.sparkSession
 
     def store(batch: DataFrame, number: int) -> None:
-        plain = batch.drop("event_timestamp", "event_date", "event_hour")
-        process_batch(plain, lake, f"stream_{number}", topic, spark=spark)
+        batch_id = f"stream_{number}"
+        process_batch(batch, lake, batch_id, topic, validated=True, spark=spark)
 
     writer = valid_stream(events, watermark, salts).writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
