@@ -43,10 +43,15 @@ NOTICES = {
 }
 
 
-def _shingles(text: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
-    starts = F.when(F.size(words) >= SHINGLE_WORDS, F.sequence(F.lit(1), F.size(words) - (SHINGLE_WORDS - 1)))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, SHINGLE_WORDS)))
+def _with_shingles(df: DataFrame, name: str) -> DataFrame:
+    """Replace `text` by the hashes of its shingles; rows of fewer than five words have none and go."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+    others = [c for c in df.columns if c != "text"]
+    # The generator makes the words once per row; inlined, they would be made for every shingle.
+    df = df.select(*others, F.explode(F.array(words)).alias("words")).where(F.size("words") >= SHINGLE_WORDS)
+    starts = F.sequence(F.lit(0), F.size("words") - SHINGLE_WORDS)
+    shingle = F.transform(starts, lambda i: F.xxhash64(*[F.col("words")[i + k] for k in range(SHINGLE_WORDS)]))
+    return df.select(*others, shingle.alias(name))
 
 
 def _longs(values) -> Column:
@@ -70,8 +75,8 @@ def window_plan(m: int, containment: float = CONTAINMENT) -> tuple[int, int, int
 def _notice_table(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
     """Rows (license, m, notice): the shingle hashes of every notice long enough to have any."""
     table = spark.createDataFrame(list(notices.items()), "license string, text string")
-    shingles = table.select("license", F.array_sort(F.array_distinct(_shingles(F.col("text")))).alias("notice"))
-    return shingles.where("notice is not null").select("license", F.size("notice").alias("m"), "notice")
+    shingles = _with_shingles(table, "shingles").select("license", F.array_sort(F.array_distinct("shingles")).alias("notice"))
+    return shingles.select("license", F.size("notice").alias("m"), "notice")
 
 
 def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
@@ -86,8 +91,7 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
     table = _notice_table(spark, NOTICES if notices is None else notices)
     known = table.collect()  # the caller's short list
     everything = _longs(sorted({s for r in known for s in r.notice}))
-    hashed = docs.select("doc_id", _shingles(F.col("text")).alias("shingles"))
-    hashed = hashed.where(F.arrays_overlap("shingles", everything))
+    hashed = _with_shingles(docs.select("doc_id", "text"), "shingles").where(F.arrays_overlap("shingles", everything))
     likely = stored(hashed.withColumn("row", F.monotonically_increasing_id()), "license-documents")
 
     plans = [(m, *window_plan(m, containment)) for m in sorted({r.m for r in known})]

@@ -51,11 +51,12 @@ def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 
 
 def _without(lines: Column, gone: Column) -> Column:
-    """The lines outside the sorted positions `gone`, joined again: the runs between them."""
+    """The lines outside the sorted positions `gone`, joined again, in one pass over the lines."""
     before = F.concat(F.array(F.lit(-1)), gone)
     after = F.concat(gone, F.array(F.size(lines)))
-    runs = F.zip_with(before, after, lambda a, b: F.slice(lines, a + 2, b - a - 1))
-    return F.array_join(F.flatten(runs), "\n")
+    runs = F.zip_with(before, after, lambda a, b: F.array_append(F.array_repeat(F.lit(True), b - a - 1), F.lit(False)))
+    kept = F.zip_with(lines, F.flatten(runs), lambda line, keep: F.when(keep, line))
+    return F.array_join(kept, "\n")
 
 
 def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
