@@ -6,7 +6,7 @@ their first `n - ceil(0.8 n) + 1`. The join uses this three times:
 
 1. Shingles that occur in one document only come first in the rarest-first order. Counting how
    many shingles of a document occur anywhere else (packed into buckets by hash, one shuffle of
-   about six bytes per shingle) shows at once which documents cannot link: their prefix is all
+   about five bytes per shingle) shows at once which documents cannot link: their prefix is all
    their own. Only the others go on.
 2. Their prefixes under the rarest-first order connect documents into candidate groups. A
    shingle's documents are tied to one of them, so a shingle shared by n documents costs n rows.
@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tidestream.llm.storage import components, stored, text_bytes
 from tidestream.llm.words import mix, pieces, shingle_sets, sums_by_text
@@ -38,13 +37,14 @@ SIMILARITY_PERCENT = 80
 BUCKET_BYTES = 6 << 20
 MAX_BUCKETS = 1 << 16
 BLOCK_SHINGLES = 4_000_000
-CHUNK_BYTES = 4 << 20
+CHUNK_SHINGLES = 600_000
 CHUNK_DOCS = 60_000
 ORDERS = 3
 
 _SCAN = "p int, chunk long, tokens binary, docs binary, ids array<bigint>, facts binary"
 _COUNTS = "chunk long, counts binary, ids array<bigint>, facts binary"
 _FACTS = "doc_id long, n_shingles long, sig_a long, sig_b long, alone boolean"
+_OFTEN = "p int, chunk long, tokens binary, docs binary, often binary, ids array<bigint>, facts binary"
 
 
 def prefix_length(n: np.ndarray, percent: int = SIMILARITY_PERCENT) -> np.ndarray:
@@ -63,19 +63,21 @@ def _signatures(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class _Chunk:
-    """Some megabytes of documents on their way into the buckets."""
+    """Some hundred thousand shingles of documents on their way into the buckets."""
 
     def __init__(self, number: int):
         self.number, self.ids, self.facts, self.tokens, self.docs, self.size = number, [], [], [], [], 0
 
-    def add(self, ids: list, piece) -> None:
-        values, first = shingle_sets(piece, SHINGLE_WORDS)
+    def room_for(self, ids: list, values: np.ndarray) -> bool:
+        return not self.ids or (len(self.ids) + len(ids) <= CHUNK_DOCS and self.size + len(values) <= CHUNK_SHINGLES)
+
+    def add(self, ids: list, values: np.ndarray, first: np.ndarray) -> None:
         n = np.diff(first)
         self.facts.append(np.stack([n.astype(np.uint64), *_signatures(values, first)], axis=1))
         self.tokens.append(values)
         self.docs.append(np.repeat(np.arange(len(self.ids), len(self.ids) + len(ids), dtype=np.uint16), n))
         self.ids += ids
-        self.size += len(piece.data)
+        self.size += len(values)
 
     def batch(self, buckets: int, schema: pa.Schema) -> pa.RecordBatch:
         tokens, docs = np.concatenate(self.tokens), np.concatenate(self.docs)
@@ -100,55 +102,116 @@ def _arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in (part.split() for part in ddl.split(", "))])
 
 
-def _scan(buckets: int):
+def _text_sets(batch: pa.RecordBatch):
+    ids = batch.column(0).to_pylist()
+    for piece in pieces(batch.column(1)):
+        yield ids[piece.rows], *shingle_sets(piece, SHINGLE_WORDS)
+
+
+def _stored_sets(batch: pa.RecordBatch):
+    first, values = _flat(batch.column(1))
+    for a in range(0, len(batch), 1000):
+        b = min(a + 1000, len(batch))
+        yield batch.column(0)[a:b].to_pylist(), values[first[a] : first[b]], first[a : b + 1] - first[a]
+
+
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of a list column."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
+    return first, lists.flatten().to_numpy().view(np.uint64)
+
+
+def _scan(buckets: int, sets_of):
+    """Rows of (id, text or set) as packed shingles per chunk and bucket, and a row of facts per chunk."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         schema, number = _arrow_schema(_SCAN), TaskContext.get().partitionId() << 32
         chunk = _Chunk(number)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for piece in pieces(batch.column(1)):
-                for_room = len(chunk.ids) + len(piece) > CHUNK_DOCS
-                if chunk.ids and (for_room or chunk.size + len(piece.data) > CHUNK_BYTES):
+            for ids, values, first in sets_of(batch):
+                if not chunk.room_for(ids, values):
                     yield chunk.batch(buckets, schema)
                     number += 1
                     chunk = _Chunk(number)
-                chunk.add(ids[piece.rows], piece)
+                chunk.add(ids, values, first)
         if chunk.ids:
             yield chunk.batch(buckets, schema)
 
     return run
 
 
-def _count_bucket(table: pa.Table) -> pa.Table:
-    """For each chunk, how many shingles of this bucket each document shares with another one."""
-    schema = _arrow_schema(_COUNTS)
-    chunks = table.column("chunk").to_pylist()
-    tokens = [None if x is None else np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
-    docs = [None if x is None else np.frombuffer(x, np.uint16) for x in table.column("docs").to_pylist()]
-    sizes = [0 if x is None else int(x[-1]) + 1 for x in docs]
-    base = np.concatenate([[0], np.cumsum(sizes)])
-    parts = [
-        (t.astype(np.uint64) << np.uint64(32)) | (d.astype(np.uint64) + np.uint64(base[k]))
-        for k, (t, d) in enumerate(zip(tokens, docs))
-        if t is not None
-    ]
-    counts = np.zeros(base[-1], np.int64)
-    if parts:
-        both = np.concatenate(parts)
+class _Bucket:
+    """The packed rows of one bucket: its shingles, sorted, each with the document that has it."""
+
+    def __init__(self, table: pa.Table):
+        self.tokens = [None if x is None else np.frombuffer(x, np.uint32) for x in table.column("tokens").to_pylist()]
+        docs = [None if x is None else np.frombuffer(x, np.uint16) for x in table.column("docs").to_pylist()]
+        self.base = np.concatenate([[0], np.cumsum([0 if x is None else int(x[-1]) + 1 for x in docs])])
+        parts = [
+            (t.astype(np.uint64) << np.uint64(32)) | (d.astype(np.uint64) + np.uint64(self.base[k]))
+            for k, (t, d) in enumerate(zip(self.tokens, docs))
+            if t is not None
+        ]
+        both = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         both.sort()
-        token = (both >> np.uint64(32)).astype(np.uint32)
-        same = token[1:] == token[:-1]
-        again = np.zeros(len(both), bool)
+        self.token, self.doc = (both >> np.uint64(32)).astype(np.uint32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+    def shared_by_document(self) -> list[bytes | None]:
+        """For every packed row, how many of each document's shingles another document has too."""
+        same = self.token[1:] == self.token[:-1]
+        again = np.zeros(len(self.token), bool)
         again[1:] |= same
         again[:-1] |= same
-        counts = np.bincount((both[again] & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=base[-1])
-    packed = [None if tokens[k] is None else counts[base[k] : base[k + 1]].astype(np.uint32).tobytes() for k in range(len(chunks))]
-    columns = [chunks, packed, table.column("ids").to_pylist(), table.column("facts").to_pylist()]
+        counts = np.bincount(self.doc[again], minlength=self.base[-1])
+        each = zip(self.tokens, self.base, self.base[1:])
+        return [None if t is None else counts[a:b].astype(np.uint32).tobytes() for t, a, b in each]
+
+    def documents_by_token(self) -> list[bytes | None]:
+        """For every packed row, in how many documents each of its shingles occurs."""
+        starts = np.flatnonzero(np.concatenate([[True], self.token[1:] != self.token[:-1]])) if len(self.token) else np.zeros(0, int)
+        distinct, often = self.token[starts], np.diff(np.append(starts, len(self.token))).astype(np.uint32)
+        return [None if t is None else often[np.searchsorted(distinct, t)].tobytes() for t in self.tokens]
+
+
+def _table(ddl: str, columns: list) -> pa.Table:
+    schema = _arrow_schema(ddl)
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def _count_bucket(table: pa.Table) -> pa.Table:
+    kept = {name: table.column(name).to_pylist() for name in ("chunk", "ids", "facts")}
+    return _table(_COUNTS, [kept["chunk"], _Bucket(table).shared_by_document(), kept["ids"], kept["facts"]])
+
+
+def _weigh_bucket(table: pa.Table) -> pa.Table:
+    kept = {name: table.column(name).to_pylist() for name in table.column_names}
+    return _table(_OFTEN, [kept[n] if n != "often" else _Bucket(table).documents_by_token() for n in (x.split()[0] for x in _OFTEN.split(", "))])
+
+
+def _prefix_chunk(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """The shingles in the rarest-first prefixes of a chunk's sets that other sets have too."""
+        rows = table.to_pylist()
+        facts = next(r for r in rows if r["ids"] is not None)
+        n = np.frombuffer(facts["facts"], np.uint64).reshape(-1, 3)[:, 0].astype(np.int64)
+        rows = [r for r in rows if r["tokens"] is not None]
+        # A shingle is known by its bucket and 32 bits; more alike only means more candidates.
+        token = np.concatenate([np.frombuffer(r["tokens"], np.uint32).astype(np.int64) | (r["p"] << 32) for r in rows])
+        doc = np.concatenate([np.frombuffer(r["docs"], np.uint16) for r in rows]).astype(np.int64)
+        often = np.concatenate([np.frombuffer(r["often"], np.uint32) for r in rows])
+        order = np.lexsort((token, often, doc))
+        token, doc, often = token[order], doc[order], often[order]
+        first = np.searchsorted(doc, np.arange(len(n)))
+        kept = (np.arange(len(doc)) - first[doc] < prefix_length(n, percent)[doc]) & (often > 1)
+        return pa.table({"node": pa.array(np.array(facts["ids"])[doc[kept]]), "t": pa.array(token[kept])})
+
+    return run
+
+
 def _sum_chunk(percent: int):
     def run(table: pa.Table) -> pa.Table:
         """Add up a chunk's counts and tell which documents cannot have a partner."""
@@ -254,10 +317,8 @@ def _connect_unit(percent: int):
         _, once = np.unique(node, return_index=True)
         table = table.take(pa.array(once))
         node = node[once]
-        lists = table.column("tokens").combine_chunks()
-        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-        first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]).astype(np.int64)
-        root = connect(lists.flatten().to_numpy(), first, percent)
+        first, values = _flat(table.column("tokens"))
+        root = connect(values, first, percent)
         return pa.table({"a": pa.array(node), "b": pa.array(node[root])})
 
     return run
@@ -273,7 +334,7 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     buckets = min(MAX_BUCKETS - 1, max(16, math.ceil(text_bytes(docs) / BUCKET_BYTES)))
-    scanned = docs.mapInArrow(_scan(buckets), _SCAN)
+    scanned = docs.mapInArrow(_scan(buckets, _text_sets), _SCAN)
     counted = scanned.groupBy("p").applyInArrow(_count_bucket, _COUNTS)
     facts = stored(counted.groupBy("chunk").applyInArrow(_sum_chunk(percent), _FACTS), "jaccard-facts")
 
@@ -290,17 +351,8 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
         "jaccard-sets",
     )
 
-    token = sets.select("node", "n", F.explode("tokens").alias("t"))
-    often = token.groupBy("t").agg(F.count("*").alias("often")).where("often > 1")
-    shared = token.join(often, "t")
-    of_node = Window.partitionBy("node")
-    ranked = shared.select(
-        "node",
-        "t",
-        (F.expr(f"n - (n * {percent} + 99) div 100 + 1") - (F.col("n") - F.count("*").over(of_node))).alias("room"),
-        F.row_number().over(of_node.orderBy("often", "t")).alias("place"),
-    )
-    prefix = stored(ranked.where("place <= room").select("node", "t"), "jaccard-prefixes")
+    weighed = sets.select("node", "tokens").mapInArrow(_scan(buckets, _stored_sets), _SCAN).groupBy("p").applyInArrow(_weigh_bucket, _OFTEN)
+    prefix = stored(weighed.groupBy("chunk").applyInArrow(_prefix_chunk(percent), "node long, t long"), "jaccard-prefixes")
     hubs = prefix.groupBy("t").agg(F.min("node").alias("hub"))
     groups = components(prefix.join(hubs, "t").select(F.col("node").alias("a"), F.col("hub").alias("b")), "jaccard-groups")
     groups = groups.union(groups.select("root", "root").distinct())
