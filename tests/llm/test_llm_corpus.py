@@ -1,0 +1,211 @@
+from __future__ import annotations
+
+import pathlib
+import sys
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+sys.path.insert(0, str(pathlib.Path(__file__).parent))
+
+import brute  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from tidestream.llm import mixing, packing  # noqa: E402
+from tidestream.llm.catalog import QUERIES, public_tokenizer  # noqa: E402
+from tidestream.llm.language_id import fit_languages, identify  # noqa: E402
+from tidestream.llm.storage import components  # noqa: E402
+
+
+def tokens_of(text):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizer()[0])
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=60) | st.sampled_from(["a <|endoftext|> b", "   \n\n x", "don't 12ab é€\U0001f600", "x" * 3000]))
+def test_ids_are_those_of_tokenizers(text):
+    got = packing.Encoder(*public_tokenizer()).encode(text)
+    assert got.tolist() == tokens_of(text)[:-1].tolist()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 32), st.integers(1, 40), max_size=12))
+def test_patterns_use_every_piece_once(counts):
+    patterns = packing.two_fit_patterns(counts, 32)
+    used = Counter()
+    for lengths, times in patterns:
+        assert times >= 1 and sum(lengths) <= 32
+        for n in lengths:
+            used[n] += times
+    assert used == Counter(counts)
+
+
+def test_two_documents_replace_the_smallest():
+    """Greedy takes 6 and 3 and leaves a gap of 1; the pair 2 + 2 fills it."""
+    assert packing.two_fit_patterns({6: 1, 3: 1, 2: 2}, 10)[0] == ([6, 2, 2], 1)
+
+
+def check_packing(found, texts, capacity=1024):
+    """Every document's ids are there, whole, and every sequence is gapless and short enough."""
+    bins, docs = defaultdict(list), defaultdict(list)
+    for r in found:
+        bins[r.sequence_id].append((r.offset, r.length))
+        docs[r.doc_id].append(r)
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    for doc_id, text in texts.items():
+        ids, at = tokens_of(text), 0
+        for k, r in enumerate(sorted(docs[doc_id], key=lambda r: r.piece)):
+            assert (r.piece, r.start) == (k, at) and (k == 0 or r.length == capacity)
+            assert r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes())
+            at += r.length
+        assert at == len(ids)
+    return len(bins)
+
+
+def test_packing_of_the_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    found = QUERIES["op9_packing"](spark, sf_dir).collect()
+    sequences = check_packing(found, {r.doc_id: r.text for r in docs})
+    assert sequences <= -(-sum(r.length for r in found) // 1024) * 1.01 + 1
+
+
+def test_packing_of_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 7)
+    rows = [(k, "some words " * (k % 9), 1, 2, 3) for k in range(60)]
+    rows += [(100, None, 1, 2, 3), (101, "", 1, 2, 3), (102, "long text " * 9000, 1, 2, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, rank int, block int")
+    check_packing(packing.pack(docs.repartition(4), public_tokenizer()).collect(), {d: t for d, t, *_ in rows})
+    doubled = packing.pack(docs.where("doc_id = 5 or doc_id is null").union(docs.where("doc_id = 5")), public_tokenizer()).collect()
+    assert len(doubled) == 2 and {r.ids_crc32 for r in doubled} == {doubled[0].ids_crc32}
+    assert packing.pack(docs.limit(0), public_tokenizer()).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 50), st.floats(0, 1)), max_size=30), st.integers(0, 9))
+def test_pivotal_rounding(items, seed):
+    sizes, chances = np.array([a for a, _ in items], float), np.array([p for _, p in items], float)
+    rounded = mixing.pivotal(sizes, chances, np.random.default_rng(seed).random(len(items)))
+    assert ((rounded > 0) & (rounded < 1)).sum() <= 1 and ((rounded >= 0) & (rounded <= 1)).all()
+    assert abs((sizes * rounded).sum() - (sizes * chances).sum()) < 1e-6
+
+
+def test_pivotal_rounding_keeps_chances():
+    sizes, chances = np.array([3.0, 7.0, 2.0, 9.0]), np.array([0.2, 0.7, 0.5, 0.4])
+    rng = np.random.default_rng(5)
+    mean = np.mean([mixing.pivotal(sizes, chances, rng.random(4)) for _ in range(6000)], axis=0)
+    assert np.abs(mean - chances).max() < 0.02
+
+
+def mix(spark, rows):
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, source string, size int, block string")
+    return docs, sorted(map(tuple, mixing.mix_copies(docs).select("doc_id", "size", "source_size", "target", "copies").collect()), key=repr)
+
+
+@pytest.mark.parametrize("block", [4096, 10])
+def test_mix_of_sources(spark, monkeypatch, block):
+    """Targets as by resharing step by step, sources near them, also through a deep tree."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", block)
+    monkeypatch.setattr(mixing, "FAN_IN", 3)
+    rows = [(k, "w " * (1 + k * 7 % 30), "hot" if k % 3 else f"s{k % 11}") for k in range(600)]
+    rows += [(700, "tiny", "a"), (701, None, "b"), (702, "", None), (703, "two words", None), (703, "two words", None), (None, "no id", "hot")]
+    docs, found = mix(spark, rows)
+    sizes, largest, taken, target = Counter(), Counter(), Counter(), {}
+    source = {(d, len((t or "").split())): s for d, t, s in rows}
+    for doc_id, size, source_size, goal, copies in found:
+        name = source[doc_id, size]
+        sizes[name] += size
+        largest[name] = max(largest[name], size)
+        taken[name] += copies * size
+        target[name] = (source_size, goal)
+        assert 0 <= copies <= 3
+    wanted = brute.targets({s: sizes[s] for s in set(source.values())})
+    for name, (source_size, goal) in target.items():
+        assert source_size == sizes[name] and goal == pytest.approx(wanted[name])
+        assert abs(taken[name] - goal) <= largest[name]
+    assert sum(g for _, g in target.values()) == pytest.approx(sum(sizes.values()))
+    assert mix(spark, rows)[1] == found
+    again = mixing.mix_copies(docs.repartition(5)).select("doc_id", "size", "source_size", "target", "copies").collect()
+    assert sorted(map(tuple, again), key=repr) == found
+
+
+def test_taking_the_mix(spark):
+    rows = [(k, "w " * 5, f"s{k % 4}") for k in range(80)]
+    docs, found = mix(spark, rows)
+    taken = mixing.take_mix(docs)
+    assert taken.columns == docs.columns
+    copies = {d: c for d, _, _, _, c in found}
+    assert Counter(r.doc_id for r in taken.collect()) == Counter({d: c for d, c in copies.items() if c})
+    assert mixing.take_mix(docs.limit(0)).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    edges = [(k, k + 1) for k in range(60)] + [(100, 101), (102, 101), (5, 5)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(1, 61)}, 101: 100, 102: 100}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_pipeline_against_brute_force(spark, sf_dir):
+    """Every stage, on what the stage before it left."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns = sorted(docs.columns)
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["language_id", "line_dedup", "jaccard_join", "mixing", "packing"]
+
+    known = stages["language_id"](spark, docs, sf_dir)
+    answers = {r.doc_id: r for r in identify(docs, fit_languages(docs)).collect()}
+    wanted = [d for d, r in answers.items() if r.lang_pred != "und" and r.cosine >= 0.02]
+    known = spark.createDataFrame(known.collect(), known.schema)
+    assert sorted(known.columns) == columns and sorted(r.doc_id for r in known.collect()) == sorted(wanted)
+
+    cleaned = stages["line_dedup"](spark, known, sf_dir)
+    sites = defaultdict(set)
+    rows = known.collect()
+    for r in rows:
+        for line in r.text.split("\n"):
+            sites[line.strip(" \t\r\x0b\x0c")].add(r.source)
+    wide = {line for line, found in sites.items() if len(found) >= 10 and len(line.split()) >= 3}
+    texts = {r.doc_id: "\n".join(x for x in r.text.split("\n") if x.strip(" \t\r\x0b\x0c") not in wide) for r in rows}
+    cleaned = spark.createDataFrame(cleaned.collect(), cleaned.schema)
+    assert {r.doc_id: r.text for r in cleaned.collect()} == texts and wide
+    assert all(r.n_chars == len(r.text) for r in cleaned.collect()) and sorted(cleaned.columns) == columns
+
+    single = stages["jaccard_join"](spark, cleaned, sf_dir)
+    kept = {d for d, n, c in brute.jaccard_components(sorted(texts.items())) if d == c}
+    single = spark.createDataFrame(single.collect(), single.schema)
+    assert sorted(r.doc_id for r in single.collect()) == sorted(kept) and sorted(single.columns) == columns
+
+    mixed = stages["mixing"](spark, single, sf_dir).collect()
+    sizes, largest, taken = Counter(), Counter(), Counter()
+    for r in single.collect():
+        n = len(brute.words(r.text))
+        sizes[r.source] += n
+        largest[r.source] = max(largest[r.source], n)
+    for r in mixed:
+        taken[r.source] += len(brute.words(r.text))
+    for name, goal in brute.targets(dict(sizes)).items():
+        assert abs(taken[name] - goal) <= largest[name]
+
+    copies = Counter(r.doc_id for r in mixed)
+    packed = stages["packing"](spark, spark.createDataFrame(mixed, single.schema), sf_dir).collect()
+    pieces = Counter((r.doc_id, r.piece) for r in packed)
+    assert {d: n for (d, piece), n in pieces.items() if piece == 0} == dict(copies)
+
+
+def test_registered_with_production_parameters():
+    import __spark_entry__
+
+    names = set(__spark_entry__.queries())
+    assert {n for n in names if n.startswith("op")} >= set(QUERIES) and len(QUERIES) == 10 and "pipeline" in names

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestream.llm.linear import bounded_sample, held_out
+from tidestream.llm.linear import held_out, sample_limit, sample_place
 from tidestream.llm.words import Piece, pieces
 
 PLACES = 1024
@@ -100,13 +100,11 @@ def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageMo
     """
     known = docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    chosen = None
-    for lang, count in sorted(counts.items()):
-        part = F.col("lang") == lang
-        rows = bounded_sample(known.where(part), count, sample_rows)
-        chosen = rows if chosen is None else chosen.union(rows)
-    if chosen is None:
+    if not counts:
         return LanguageModel([], np.zeros((0, PLACES), np.float32))
+    # One pass over the texts: every language has its own share of the range of the hash.
+    limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, sample_limit(n, sample_rows))])
+    chosen = known.where(sample_place("doc_id") < F.element_at(limits, F.col("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(), {}

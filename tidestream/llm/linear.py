@@ -19,10 +19,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, count: int, bound: int, key: str = "doc_id") -> DataFrame:
-    """About `bound` of the `count` rows, chosen by the hash of their key, or all if they are fewer."""
-    share = int(min(1.0, bound / max(1, count)) * _RESOLUTION)
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(_RESOLUTION)) < share)
+def sample_place(key: str) -> Column:
+    """A row's place in a fixed range, by the hash of its key."""
+    return F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(_RESOLUTION))
+
+
+def sample_limit(count: int, bound: int) -> int:
+    """The places below which about `bound` of `count` rows lie, or all if they are fewer."""
+    return int(min(1.0, bound / max(1, count)) * _RESOLUTION)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE_ROWS) -> DataFrame:
@@ -32,7 +36,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int =
     """
     known = labels.groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     known = known.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
-    chosen = bounded_sample(known, known.count(), bound)
+    chosen = known.where(sample_place("doc_id") < sample_limit(known.count(), bound))
     # The sample's ids and labels are bounded by `bound`: some hundred kilobytes.
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
 

@@ -95,10 +95,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sampl
 
 
 def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
-    """One row per document row: doc_id, held_out, severity, grade, score, predicted.
+    """One row per document row: doc_id, held_out, severity, grade, score, predicted, toxic.
 
     `severity` is the expected grade (0 to 3), `grade` the likeliest one, `score` the probability
-    of any toxicity and `predicted` 1 if that is at least 0.5. A null or empty text scores like a
+    of any toxicity; `predicted` is 1 and `toxic` true if that is at least 0.5. A null or empty text scores like a
     text without features; null ids and repeated rows are scored like any other.
     """
     weights, thresholds = model.weights.astype(np.float32), model.thresholds
@@ -117,4 +117,12 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = rows.mapInArrow(run, "doc_id long, severity double, grade int, score double")
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "severity", "grade", "score", predicted.alias("predicted"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "severity",
+        "grade",
+        "score",
+        predicted.alias("predicted"),
+        (predicted == 1).alias("toxic"),
+    )
