@@ -53,6 +53,17 @@ def test_the_earliest_copy_stays(spark):
     assert one(quality.drop_duplicate_events(frame))["timestamp"] == early
 
 
+def test_earliest_means_parsed_time_whatever_the_partitions(spark):
+    at = ("2024-01-05T10:00:00.900Z", "2024-01-05T10:00:00Z", "2024-01-05T11:00:00+02:00", "never")
+    rows = [event("a", at=t, user_id=f"u{k}") for k, t in enumerate(at)]
+    rows += [event("b", user_id=f"u{k}") for k in range(6)]
+    kept = {
+        tuple((r["event_id"], r["user_id"]) for r in quality.drop_duplicate_events(events_frame(spark, *rows).repartition(n)).orderBy("event_id").collect())
+        for n in (1, 3, 7)
+    }
+    assert len(kept) == 1 and ("a", "u2") in kept.pop()
+
+
 def test_data_quality_agrees_with_validation(spark):
     frame = events_frame(
         spark, event("a"), event("a"), event("b", user_id=None), event(None), event(None)
@@ -134,7 +145,16 @@ def test_envelopes(spark):
     assert ids(parsed) == ["a", "b"]
     # A whole number is fine where the schema says double.
     assert one(parsed.where("event_id = 'b'"))["product_price"] == 3.0
-    assert messages.corrupt_envelopes(frame).count() >= 1
+    assert messages.corrupt_envelopes(frame).count() == 1
+
+
+def test_one_bad_message_of_an_envelope(spark):
+    """It is in one output only, and the others of its envelope are events."""
+    text = _envelope(event("a"), event("bad", product_price="cheap"), event("b"))
+    frame = spark.createDataFrame([(text,)], "value STRING")
+    assert ids(messages.parse_envelopes(frame)) == ["a", "b"]
+    corrupt = one(messages.corrupt_envelopes(frame))
+    assert json.loads(corrupt["_corrupt_record"])["event_id"] == "bad"
 
 
 def test_broker_messages(spark):
@@ -165,7 +185,8 @@ def test_kafka_options():
     options = messages.kafka_options("h:9092", ["retail_clickstream", "retail_inventory"])
     assert options["subscribe"] == "retail_clickstream,retail_inventory"
     assert options["startingOffsets"] == "latest"
-    assert options["maxOffsetsPerTrigger"] == "125"
+    assert "maxOffsetsPerTrigger" not in options
+    assert messages.kafka_options("h:9092", ["a"], max_rows=7)["maxOffsetsPerTrigger"] == "7"
 
 
 def test_freshness(spark):

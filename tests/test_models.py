@@ -107,6 +107,8 @@ def test_registry_and_publication(spark, inputs, tmp_path):
     first = train_and_publish(inputs, registry, settings=QUICK)
     second = train_and_publish(inputs, registry, settings=QUICK)
     assert (first.version, second.version) == (1, 2)
+    assert first.drift is None
+    assert [r["drift_detected"] for r in second.drift.collect()] == [False, False]
     stages = {r["version"]: r["stage"] for r in registry.current().collect()}
     assert stages == {1: "Archived", 2: "Production"}
     assert registry.history().count() == 5

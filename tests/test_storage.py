@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidestream.operators import metrics
 from tidestream.operators.enrich import enrich_events
-from tidestream.plans.batch import process_batch
+from tidestream.plans.batch import daily_job, process_batch
 from tidestream.sinks import lake, warehouse
 from tidestream.sources.lake import preview, read_folder, read_table
 
@@ -44,7 +44,7 @@ def test_batch_job(spark, batch, tmp_path):
     tables = {
         t: read_folder(spark, lake.metric_path(f"{tmp_path}/processed", t)) for t in TABLES
     }
-    assert all({"batch_id", "year", "month", "day"} <= set(t.columns) for t in tables.values())
+    assert all({"year", "month", "day"} <= set(t.columns) for t in tables.values())
     hourly = tables["hourly"].where("day = 5").agg(F.sum("purchases").alias("n"))
     assert one(hourly)["n"] == 1  # one purchase ...
     products = tables["products"].where("day = 5").agg(F.sum("purchase_count").alias("n"))
@@ -60,7 +60,57 @@ def test_repeated_batch_replaces_itself(spark, batch, tmp_path):
         "b1": 4, "b2": 4,
     }
     hourly = read_folder(spark, lake.metric_path(f"{tmp_path}/processed", "hourly"))
-    assert hourly.groupBy("batch_id").agg(F.sum("total_events").alias("n")).where("n = 4").count() == 2
+    assert one(hourly.agg(F.sum("total_events").alias("n")))["n"] == 4  # copies count once
+
+
+def test_batches_of_one_day_and_a_repeat_that_is_empty(spark, tmp_path):
+    path = str(tmp_path)
+    process_batch(events_frame(spark, event("1"), event("2")), path, "b1", keep_rejected=True)
+    rejected = event("4", user_id=None)
+    later = event("5", at="2024-01-07T03:00:00Z")
+    process_batch(events_frame(spark, event("3"), rejected, later), path, "b2", keep_rejected=True)
+
+    def days(name="hourly"):
+        table = read_folder(spark, lake.metric_path(f"{path}/processed", name))
+        return {r["day"]: r["n"] for r in table.groupBy("day").agg(F.sum("total_events").alias("n")).collect()}
+
+    assert days() == {5: 3, 7: 1}
+    process_batch(events_frame(spark), path, "b2", keep_rejected=True)
+    assert days() == {5: 2}
+    assert read_folder(spark, lake.raw_path(f"{path}/raw")).count() == 2
+    quarantine = spark.read.schema("event STRING, reason STRING").parquet(lake.quarantine_path(f"{path}/raw"))
+    assert quarantine.count() == 0
+
+
+def test_conversion_rates_of_products_in_carts(spark, tmp_path):
+    """Views and cart adds name a brand, carts do not; all are one product."""
+    named = {"product_name": "Shoe", "product_brand": "Acme"}
+    cart = {"product_id": None, "product_category": None, "product_price": None}
+    rows = [event("1", **named), event("2", "add_to_cart", **named)]
+    rows.append(event("3", "purchase", **cart, cart_items=[item("P1", 10.0, 1), item("P2", 4.0, 2)]))
+    process_batch(events_frame(spark, *rows), str(tmp_path), "b1")
+    products = read_folder(spark, lake.metric_path(f"{tmp_path}/processed", "products"))
+    shoe = one(products.where("product_id = 'P1'"))
+    assert shoe["product_brand"] == "Acme" and shoe["purchase_count"] == 1
+    assert shoe["view_to_purchase_rate"] == pytest.approx(1 / 3) and shoe["cart_to_purchase_rate"] == 1.0
+    assert one(products.where("product_id = 'P2'"))["purchase_count"] == 1
+
+
+def test_daily_job_reads_two_days(spark, tmp_path):
+    path = str(tmp_path)
+    rows = [event(str(k), "purchase", f"2024-01-0{d}T10:00:00Z") for k, d in enumerate((1, 4, 5, 5))]
+    loaded = F.to_timestamp(F.lit("2024-01-05 10:30:00"))
+    process_batch(events_frame(spark, *rows), path, "b1", processed_at=loaded)
+    state = daily_job(spark, path, "2024-01-05 11:00:00")
+    assert state["status"] == "fresh" and state["age_seconds"] == 1800
+    report = read_folder(spark, f"{path}/curated/daily_summary")
+    assert {str(r["report_date"]): r["total_purchases"] for r in report.collect()} == {"2024-01-04": 1, "2024-01-05": 2}
+    assert daily_job(spark, path, "2024-01-09 11:00:00")["status"] == "missing"
+    raw = read_folder(spark, lake.raw_path(f"{path}/raw"))
+    recent = raw.where(metrics.since_yesterday("event_date", "2024-01-05", by_parts=True))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert all(column in pruned for column in ("year", "month", "day"))
 
 
 def test_empty_batch(spark, tmp_path):
@@ -113,6 +163,21 @@ def test_bulk_load_matches_by_name_and_repeats_safely(spark, batch, tmp_path):
     assert read_table(spark, "hourly_clickstream_metrics").count() == 2
 
 
+def test_bulk_load_keeps_other_batches(spark, tmp_path):
+    process_batch(events_frame(spark, event("1")), str(tmp_path), "b1")
+    process_batch(events_frame(spark, event("2"), event("3")), str(tmp_path), "b2")
+    columns = "event_id STRING, event_date DATE, batch_id STRING"
+    spark.sql(f"CREATE TABLE loaded_events ({columns}) USING parquet PARTITIONED BY (event_date, batch_id)")
+    raw = read_folder(spark, lake.raw_path(f"{tmp_path}/raw"))
+    for batch_id in ("b1", "b2", "b2"):
+        raw.where(F.col("batch_id") == batch_id).write.mode("overwrite").parquet(f"{tmp_path}/one")
+        warehouse.bulk_load(spark, f"{tmp_path}/one", "loaded_events")
+    assert read_table(spark, "loaded_events").count() == 3
+    spark.sql("CREATE TABLE flat_events (event_id STRING) USING parquet")
+    with pytest.raises(ValueError, match="not partitioned"):
+        warehouse.bulk_load(spark, f"{tmp_path}/one", "flat_events")
+
+
 def test_arrays_are_flattened_for_jdbc(spark):
     frame = spark.createDataFrame([(1, ["a", "b"])], "n INT, items ARRAY<STRING>")
     assert one(warehouse.flatten_arrays(frame)) == {"n": 1, "items": "a,b"}

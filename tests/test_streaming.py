@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import os
 
 import pytest
-from helpers import event
+from helpers import assert_same, event, events_frame
 from pyspark.sql import functions as F
 
 from tidestream.operators import windows
-from tidestream.sinks.lake import raw_path
-from tidestream.sources.messages import read_event_files
+from tidestream.plans.batch import process_batch, read_events
+from tidestream.sinks.lake import metric_path, quarantine_path, raw_path
+from tidestream.sources.messages import decode_messages, read_event_files
 from tidestream.streaming import queries
 
 
@@ -23,7 +25,11 @@ def inbox(tmp_path):
 
     def put(*rows):
         lines = [r if isinstance(r, str) else json.dumps(r) for r in rows]
-        (folder / f"{next(count):03d}.json").write_text("\n".join(lines))
+        number = next(count)
+        path = folder / f"{number:03d}.json"
+        path.write_text("\n".join(lines))
+        # A stream takes files in the order of their times; written at once, they may tie.
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
 
     put.folder = str(folder)
     return put
@@ -74,16 +80,58 @@ def test_clickstream_restarts_without_double_writes(spark, inbox, tmp_path):
     def run():
         stream = read_event_files(spark, inbox.folder)
         queries.start_clickstream(stream, lake, checkpoint, interval=None).awaitTermination()
-        return spark.read.parquet(raw_path(f"{lake}/raw"))
+        return read_events(spark, lake)
 
     inbox(event("1"), event("1"), event("2"), "{broken", event("3", at="never"))
     assert sorted(r["event_id"] for r in run().collect()) == ["1", "2"]
     inbox(event("2"), event("4"))
     assert sorted(r["event_id"] for r in run().collect()) == ["1", "2", "4"]
-    hourly = spark.read.parquet(f"{lake}/processed/analytics/hourly")
+    hourly = spark.read.parquet(metric_path(f"{lake}/processed", "hourly"))
     assert hourly.agg(F.sum("total_events")).first()[0] == 3
 
 
+def test_nothing_is_lost_and_topics_stay_apart(spark, inbox, tmp_path):
+    """Raw and quarantine together hold the input: late, repeated, malformed, after a new start."""
+    lake = f"{tmp_path}/lake"
+
+    def run(topic, checkpoint):
+        stream = read_event_files(spark, inbox.folder, max_files=1)
+        for start, name in ((queries.start_clickstream, "c"), (queries.start_quarantine, "q")):
+            start(stream, lake, f"{tmp_path}/{checkpoint}-{name}", topic, interval=None).awaitTermination()
+
+    inbox(event("a", at="2024-01-05T12:00:00Z"), event("b", at="2024-01-05T12:01:00Z"))
+    inbox(event("c", at="2024-01-05T14:00:00Z"), event("a", at="2024-01-05T12:00:00Z"))
+    inbox(event("late", at="2024-01-05T11:50:00Z"), "{broken", event("n", user_id=None))
+    for topic in ("one", "two"):
+        run(topic, topic)
+    run("one", "other")  # a new checkpoint adds its batches and replaces none
+    for topic, copies in (("one", 2), ("two", 1)):
+        raw = spark.read.parquet(raw_path(f"{lake}/raw", topic))
+        found = sorted(r["event_id"] for r in raw.collect())
+        assert found == sorted(["a", "a", "b", "c", "late"] * copies)
+        rejected = spark.read.parquet(quarantine_path(f"{lake}/raw", topic))
+        assert rejected.count() == 2 * copies
+        hourly = spark.read.parquet(metric_path(f"{lake}/processed", "hourly", topic))
+        assert {r["event_hour"]: r["total_events"] for r in hourly.collect()} == {11: 1, 12: 2, 14: 1}
+
+
+@pytest.mark.parametrize("cut", [1, 2, 5])
+def test_streamed_metrics_are_those_of_one_batch(spark, inbox, tmp_path, cut):
+    rows = [
+        event(str(k), ("page_view", "add_to_cart", "purchase", "search")[k % 4], f"2024-01-0{5 + k % 2}T{10 + k % 5}:00:00Z",
+              user_id=f"u{k % 2}", session_id=f"s{k % 2}", product_id=f"P{k % 3}")
+        for k in range(10)
+    ]
+    for k in range(0, 10, -(-10 // cut)):
+        inbox(*rows[k : k + -(-10 // cut)])
+    stream = read_event_files(spark, inbox.folder, max_files=1)
+    queries.start_clickstream(stream, f"{tmp_path}/s", f"{tmp_path}/cp", interval=None).awaitTermination()
+    process_batch(events_frame(spark, *rows), f"{tmp_path}/b", "b1")
+    for name in ("sessions", "products", "hourly", "categories", "devices"):
+        streamed, whole = (spark.read.parquet(metric_path(f"{tmp_path}/{x}/processed", name)) for x in "sb")
+        assert_same(streamed.select(*whole.columns), whole)
+
+
 def test_quarantine_gives_reasons(spark, inbox, tmp_path):
     inbox(event("1"), "{broken", event("3", at="never"), event("4", user_id=None))
     stream = read_event_files(spark, inbox.folder)
@@ -123,6 +171,20 @@ def test_every_window_metric_runs_on_a_stream(spark, inbox, tmp_path):
     assert [r["p50_seconds"] for r in latency] == [2.0]
 
 
+def test_every_rejected_message_counts_in_the_error_rate(spark, tmp_path):
+    """Malformed, undated and invalid messages, by broker time where they have no other."""
+    folder = tmp_path / "messages"
+    folder.mkdir()
+    values = [json.dumps(event("1")), "{broken", json.dumps(event("2", at="never")), json.dumps(event("3", user_id=None))]
+    sent = [{"value": v, "topic": "t", "partition": 0, "offset": k, "timestamp": "2024-01-05T10:00:00Z"} for k, v in enumerate(values)]
+    sent.append({**sent[0], "value": json.dumps(event("4", at="2024-01-05T18:00:00Z"))})
+    (folder / "a.json").write_text("\n".join(map(json.dumps, sent)))
+    schema = "key BINARY, value STRING, topic STRING, `partition` INT, offset BIGINT, timestamp TIMESTAMP"
+    stream = decode_messages(spark.readStream.schema(schema).json(str(folder)))
+    errors = drain(spark, windows.error_rate(queries.flagged_stream(stream)), tmp_path, "errors")
+    assert sum(r["rejected_events"] for r in errors) == 15
+
+
 def test_topics_go_to_their_jobs(spark, tmp_path):
     folder = tmp_path / "messages"
     folder.mkdir()

@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 
 from tidestream.functions import count_type, is_type, money, rate
 
-PRODUCT_KEYS = ("product_id", "product_name", "product_category", "product_brand", "event_date")
+PRODUCT_KEYS = ("product_id", "event_date")
+PRODUCT_NAMES = ("product_name", "product_category", "product_brand")
 
 
 def product_metrics(events: DataFrame) -> DataFrame:
     """Per product and day: events, users, sessions, cart adds, purchases, price and rates.
 
+    The product is its id. Carts carry no brand and spellings differ between events, so name,
+    category and brand are no keys: each is the largest value that the day's events have.
     total_views counts events of every type and total_value sums the price over all of
     them; revenue is in `revenue_per_hour` and `revenue_by_period`.
     """
@@ -26,6 +29,7 @@ def product_metrics(events: DataFrame) -> DataFrame:
         events.where(F.col("product_id").isNotNull())
         .groupBy(*PRODUCT_KEYS)
         .agg(
+            *[F.max(c).alias(c) for c in PRODUCT_NAMES],
             F.count("*").alias("total_views"),
             F.count_distinct("user_id").alias("unique_users"),
             F.count_distinct("session_id").alias("unique_sessions"),
@@ -97,10 +101,20 @@ def processing_summary(events: DataFrame) -> DataFrame:
     )
 
 
-def since_yesterday(date: str, as_of: str | dt.date | None = None) -> Column:
-    """The date column is no earlier than the day before `as_of` (default today)."""
+def since_yesterday(date: str, as_of: str | dt.date | None = None, by_parts: bool = False) -> Column:
+    """The date column is no earlier than the day before `as_of` (default today).
+
+    With `by_parts` also by year, month and day columns, which prunes the folders of a table
+    divided by them; later days than the as-of day are then left out.
+    """
     today = F.current_date() if as_of is None else F.to_date(F.lit(str(as_of)))
-    return F.col(date) >= F.date_sub(today, 1)
+    recent = F.col(date) >= F.date_sub(today, 1)
+    if not by_parts:
+        return recent
+    last = dt.date.today() if as_of is None else dt.date.fromisoformat(str(as_of)[:10])
+    days = [last - dt.timedelta(days=k) for k in (0, 1)]
+    parts = [(F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day) for d in days]
+    return recent & (parts[0] | parts[1])
 
 
 def daily_activity(events: DataFrame, as_of: str | None = None) -> DataFrame:

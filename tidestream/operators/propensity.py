@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 from tidestream.constants import BOOSTING_SETTINGS, LOGISTIC_SETTINGS, TRAIN_PERCENT
 from tidestream.functions import hash_percent, rate
 from tidestream.operators.features import LABEL
-from tidestream.session import ensure_checkpoint_dir
+from tidestream.session import stored
 
 LOGISTIC = "logistic_regression"
 BOOSTING = "gradient_boosted_trees"
@@ -62,12 +62,11 @@ def split_stats(labelled: DataFrame) -> DataFrame:
 def prepare(features: DataFrame) -> DataFrame:
     """Labelled and split training rows, cut off from the lineage that made them.
 
-    Fitting passes over these rows many times, so they are first dealt out evenly. The
-    checkpoint keeps a lost executor from costing the event scan, de-duplication and session
-    aggregation again.
+    Fitting passes over these rows many times, so they are first dealt out evenly. They are
+    stored as a table: a lost executor does not cost the event scan, de-duplication and session
+    aggregation again, and each pass reads its own columns.
     """
-    ensure_checkpoint_dir(features.sparkSession)
-    return assign_split(add_label(features)).hint("rebalance", "session_id").checkpoint()
+    return stored(assign_split(add_label(features)).hint("rebalance", "session_id"), "training")
 
 
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> PipelineModel:
@@ -127,17 +126,20 @@ def score(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(candidate: Candidate, prepared: DataFrame) -> dict[str, float]:
-    """Area under ROC and PR on both splits, accuracy and F1 on the test split."""
-    scored = candidate.model.transform(prepared).select(
-        "split", "label", "prediction", "rawPrediction"
-    )
-    scored = scored.persist()
+def score_metrics(scored: DataFrame, score: str = "rawPrediction") -> dict[str, float]:
+    """Area under ROC and PR on both splits, accuracy and F1 on the test split.
+
+    `scored` has split, label, prediction and a score that ranks the rows. The curves use every
+    distinct score.
+    """
+    scored = scored.select("split", "label", "prediction", score).persist()
     metrics = {}
     for split in ("train", "test"):
         rows = scored.where(F.col("split") == split)
         for name, metric in (("auc", "areaUnderROC"), ("pr_auc", "areaUnderPR")):
-            evaluator = BinaryClassificationEvaluator(labelCol="label", metricName=metric)
+            evaluator = BinaryClassificationEvaluator(
+                labelCol="label", rawPredictionCol=score, metricName=metric, numBins=0
+            )
             metrics[f"{split}_{name}"] = float(evaluator.evaluate(rows))
     test = scored.where(F.col("split") == "test")
     for metric in ("accuracy", "f1"):
@@ -147,6 +149,11 @@ def evaluate(candidate: Candidate, prepared: DataFrame) -> dict[str, float]:
     return metrics
 
 
+def evaluate(candidate: Candidate, prepared: DataFrame) -> dict[str, float]:
+    """The metrics of a fitted candidate."""
+    return score_metrics(candidate.model.transform(prepared))
+
+
 def train_candidates(
     prepared: DataFrame,
     columns: Sequence[str],

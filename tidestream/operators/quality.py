@@ -8,6 +8,9 @@ from pyspark.sql.window import Window
 
 from tidestream.constants import PRODUCT_EVENT_TYPES
 
+# Columns that say when and how a row was processed; two runs may differ in them.
+_PER_RUN = ("processed_at", "batch_id")
+
 
 def has_keys() -> Column:
     """User, session and event type are all present."""
@@ -53,14 +56,18 @@ def drop_missing_products(events: DataFrame, accept_carts: bool = False) -> Data
 
 
 def drop_duplicate_events(events: DataFrame) -> DataFrame:
-    """The earliest row per event_id.
+    """The earliest row per event_id, by parsed time; rows without a usable time come last.
 
-    A fixed choice among copies that differ stays the same when a lost task is repeated.
+    Copies of the same time are told apart by broker partition and offset, then by a hash of
+    the row, so the choice is the same under every partitioning and when a task is repeated.
     Spark keeps only the first row per id of each task before the shuffle, so an id that
-    arrives in masses is never gathered in one place.
+    arrives in masses is never gathered in one place. Rows without an id fold into one.
     """
-    copies = Window.partitionBy("event_id").orderBy("timestamp")
-    ranked = events.withColumn("copy", F.row_number().over(copies))
+    order = [F.try_to_timestamp("timestamp").asc_nulls_last()]
+    if "kafka_metadata" in events.columns:
+        order += [F.col(f"kafka_metadata.{c}").asc_nulls_last() for c in ("partition", "offset")]
+    order.append(F.xxhash64(*[F.col(f"`{c}`") for c in events.columns if c not in _PER_RUN]))
+    ranked = events.withColumn("copy", F.row_number().over(Window.partitionBy("event_id").orderBy(*order)))
     return ranked.where(F.col("copy") == 1).drop("copy")
 
 

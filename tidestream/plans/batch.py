@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidestream.constants import CLICKSTREAM_TOPIC
 from tidestream.operators import metrics as m
 from tidestream.operators.carts import expand_carts
 from tidestream.operators.enrich import add_time_partitions, enrich_events
-from tidestream.operators.quality import is_valid, validate_events
+from tidestream.operators.quality import drop_duplicate_events, freshness, is_valid, validate_events
 from tidestream.operators.sessions import session_metrics
-from tidestream.sinks.lake import write_metrics, write_quarantine, write_raw
-from tidestream.sources.lake import read_batch
+from tidestream.sinks.lake import (
+    batch_path,
+    part_path,
+    raw_path,
+    write_daily_summary,
+    write_metrics,
+    write_quarantine,
+    write_raw,
+)
+from tidestream.sources.lake import read_folder, read_parts
 from tidestream.sources.messages import conform_events
 
 
@@ -40,6 +49,33 @@ def rejected_rows(events: DataFrame, accept_carts: bool = True) -> DataFrame:
     )
 
 
+def read_events(spark: SparkSession, lake: str, topic: str = CLICKSTREAM_TOPIC) -> DataFrame:
+    """All raw events of a topic, copies in different batches removed."""
+    return drop_duplicate_events(read_folder(spark, raw_path(f"{lake}/raw", topic)))
+
+
+def read_days(spark: SparkSession, lake: str, days: set, schema: T.StructType, topic: str = CLICKSTREAM_TOPIC) -> DataFrame:
+    """The raw events of some days, copies in different batches removed."""
+    path = raw_path(f"{lake}/raw", topic)
+    folders = [part_path(path, day) for day in sorted(days, key=repr)]
+    return drop_duplicate_events(read_parts(spark, path, folders, schema))
+
+
+def refresh_days(spark: SparkSession, lake: str, days: set, schema: T.StructType, topic: str = CLICKSTREAM_TOPIC) -> None:
+    """Recompute the metric tables of some days from all batches stored for them.
+
+    So a session, product or hour has one row however its events were cut into batches, and
+    its distinct counts are right. The events of the days are read and de-duplicated once.
+    """
+    if not days:
+        return
+    events = read_days(spark, lake, days, schema, topic).persist()
+    try:
+        write_metrics(metric_frames(events), f"{lake}/processed", days, topic)
+    finally:
+        events.unpersist()
+
+
 def process_batch(
     events: DataFrame,
     lake: str,
@@ -47,25 +83,40 @@ def process_batch(
     topic: str = CLICKSTREAM_TOPIC,
     processed_at: Column | None = None,
     keep_rejected: bool = False,
-    validated: bool = False,
+    refresh: bool = True,
     spark: SparkSession | None = None,
 ) -> DataFrame:
-    """Store a batch of events and its metrics below `lake`; returns the batch summary.
+    """Store a batch of events and refresh the metrics of its days; returns the batch summary.
 
-    The events are validated and written once. The metrics then read the written rows, so
-    each scans only its own columns, none repeats the de-duplication, and nothing has to
-    stay cached. Running a batch_id again replaces what it wrote before. Events that are
-    `validated` and distinct already, as those of a stream, skip that step and its shuffle.
+    Running a batch_id again replaces what it wrote before, also if fewer or no events are
+    left. Late events go to their own day, whose metrics are computed anew. Without `refresh`
+    only the raw table is written, for a job that calls `refresh_days` at longer intervals.
     `spark` is the session for the metrics, by default that of the events.
     """
     spark = spark or events.sparkSession
     events = conform_events(events)
-    valid = events if validated else validate_events(events, accept_carts=True)
-    enriched = enrich_events(valid, processed_at, batch_id)
-    path = write_raw(enriched, f"{lake}/raw", batch_id, topic)
+    enriched = enrich_events(validate_events(events, accept_carts=True), processed_at, batch_id)
+    path = raw_path(f"{lake}/raw", topic)
+    filled, touched = write_raw(enriched, f"{lake}/raw", batch_id, topic)
     if keep_rejected:
-        write_quarantine(rejected_rows(events), f"{lake}/raw", batch_id)
-    stored = read_batch(spark, path, batch_id, add_time_partitions(enriched).schema)
-    if not stored.isEmpty():
-        write_metrics(metric_frames(stored), f"{lake}/processed", batch_id)
+        write_quarantine(rejected_rows(events), f"{lake}/raw", batch_id, topic)
+    schema = add_time_partitions(enriched).schema
+    if refresh:
+        refresh_days(spark, lake, {part[:3] for part in touched}, schema, topic)
+    folders = [batch_path(part_path(path, part), batch_id) for part in sorted(filled, key=repr)]
+    stored = read_parts(spark, path, folders, schema)
     return m.processing_summary(stored).withColumn("batch_id", F.lit(batch_id))
+
+
+def daily_job(spark: SparkSession, lake: str, as_of: str, topic: str = CLICKSTREAM_TOPIC) -> dict:
+    """The scheduled report: how fresh the raw table is, and the daily summary of two days.
+
+    Reads the folders of the as-of day and the day before only. The summary goes to the
+    curated table unless there is nothing from the as-of day; returns the freshness row.
+    """
+    raw = read_folder(spark, raw_path(f"{lake}/raw", topic))
+    state = freshness(raw, as_of).first().asDict()
+    if state["status"] != "missing":
+        recent = drop_duplicate_events(raw.where(m.since_yesterday("event_date", as_of[:10], by_parts=True)))
+        write_daily_summary(m.daily_summary(recent, as_of[:10]), f"{lake}/curated")
+    return state

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidestream.functions import render_counts
 from tidestream.operators import carts, enrich, features, metrics, predictions, propensity
 from tidestream.operators import quality, sessions, windows
+from tidestream.session import stored
 from tidestream.sources import messages, testdata
 from tidestream.sources.testdata import AS_OF, TEST_CATEGORIES
 
@@ -197,6 +198,13 @@ def purchase_lines(spark, sf_dir):
     )
 
 
+@query
+def cart_lines(spark, sf_dir):
+    """Lines of carts that hold whole orders."""
+    lines = carts.purchase_lines(testdata.whole_carts(spark, sf_dir))
+    return lines.select("order_id", "event_id", "line_number", "product_id", "quantity", "line_value")
+
+
 @query
 def order_values(spark, sf_dir):
     return carts.order_values(_lines(spark, sf_dir))
@@ -236,6 +244,24 @@ def product_metrics(spark, sf_dir):
     )
 
 
+@query
+def product_metrics_carts(spark, sf_dir):
+    """Products of views and of carts together: purchases name theirs in the cart only."""
+    purchases = testdata.whole_carts(spark, sf_dir)
+    others = testdata.enriched_events(spark, sf_dir).where("event_type <> 'purchase'")
+    blank = [F.lit(None).cast("string").alias(c) for c in ("product_id", *metrics.PRODUCT_NAMES)]
+    no_price = F.lit(None).cast("double").alias("product_price")
+    kept = ("event_type", "event_date", "user_id", "session_id")
+    bought = purchases.select(*kept, *blank, no_price, "cart_items")
+    viewed = others.select(*kept, "product_id", *metrics.PRODUCT_NAMES, "product_price")
+    events = viewed.unionByName(bought, allowMissingColumns=True)
+    events = events.withColumns({c: F.lit(None).cast(t) for c, t in (("quantity", "int"), ("total_value", "double"))})
+    products = metrics.product_metrics(carts.expand_carts(events))
+    rates = ("view_to_cart_rate", "view_to_purchase_rate", "cart_to_purchase_rate")
+    products = products.drop("avg_price", "total_value")
+    return products.withColumns({"event_date": _day("event_date"), **{c: _round(c) for c in rates}})
+
+
 @query
 def hourly_metrics(spark, sf_dir):
     hourly = metrics.hourly_metrics(testdata.enriched_events(spark, sf_dir))
@@ -435,9 +461,9 @@ def prediction_summary(spark, sf_dir):
 
 @query
 def prediction_drift(spark, sf_dir):
-    baseline = predictions.monitoring_metrics(
-        predictions.prediction_summary(_rule_scored(spark, sf_dir))
-    )
+    summary = predictions.prediction_summary(_rule_scored(spark, sf_dir))
+    # A handful of rows, stored as a run stores its baseline; both sides read them.
+    baseline = stored(predictions.monitoring_metrics(summary), "baseline")
     current = predictions.shift_metrics(baseline, DRIFT_FACTORS)
     drift = predictions.prediction_drift(current, baseline)
     return drift.withColumns(
@@ -468,6 +494,43 @@ def model_by_hour(spark, sf_dir):
     return predictions.model_by_hour(_rule_predictions(spark, sf_dir))
 
 
+@query
+def prediction_export_rule(spark, sf_dir):
+    export = predictions.prediction_export(_rule_scored(spark, sf_dir), predicted_at=F.to_timestamp(F.lit(AS_OF)))
+    return export.withColumns(
+        {
+            "event_date": _day("event_date"),
+            "prediction_timestamp": _time("prediction_timestamp"),
+            "categories_viewed": F.array_join("categories_viewed", ","),
+        }
+    )
+
+
+def _rule_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation of two fixed scores: the rule, and the number of cart additions."""
+    scored = stored(propensity.assign_split(_rule_scored(spark, sf_dir)), "rule-scores")
+    scored = scored.withColumns(
+        {"prediction": F.col("prediction_label").cast("double"), "carts": F.col("add_to_cart_events").cast("double")}
+    )
+    found = {
+        propensity.LOGISTIC: propensity.score_metrics(scored, "probability_purchase"),
+        propensity.BOOSTING: propensity.score_metrics(scored, "carts"),
+    }
+    rows = [(model, name, value) for model, values in found.items() for name, value in values.items()]
+    return spark.createDataFrame(rows, "model_type STRING, metric STRING, value DOUBLE")
+
+
+@query
+def model_metrics_rule(spark, sf_dir):
+    return _rule_metrics(spark, sf_dir).withColumn("value", _round("value"))
+
+
+@query
+def champion_rule(spark, sf_dir):
+    best = propensity.pick_champion(_rule_metrics(spark, sf_dir))
+    return best.withColumn("test_auc", _round("test_auc"))
+
+
 # -- models -------------------------------------------------------------------
 _trained: dict[tuple[str, str], tuple] = {}
 

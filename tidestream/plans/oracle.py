@@ -318,6 +318,17 @@ _oracle(
     select order_id, event_id, user_id, product_id, quantity,
       product_price, line_value from lines""",
 )
+_oracle(
+    "cart_lines",
+    "enriched",
+    sql="""
+    select 'ORD_' || event_number as order_id, event_id,
+      cast(row_number() over (partition by event_id
+        order by l_linenumber, 'P' || l_partkey, l_extendedprice / l_quantity, l_quantity) - 1 as integer) as line_number,
+      'P' || l_partkey as product_id, cast(l_quantity as integer) as quantity,
+      l_extendedprice / l_quantity * cast(l_quantity as integer) as line_value
+    from enriched join lineitem on l_orderkey = event_number where event_type = 'purchase'""",
+)
 _oracle(
     "order_values",
     "lines",
@@ -358,14 +369,42 @@ _oracle(
       round(case when add_to_cart_count > 0 then purchase_count / add_to_cart_count else 0e0 end, 6)
         as cart_to_purchase_rate
     from (
-      select product_id, product_name, product_category, product_brand, event_date,
+      select product_id, max(product_name) as product_name, event_date,
+        max(product_category) as product_category, max(product_brand) as product_brand,
         count(*) as total_views, count(distinct user_id) as unique_users,
         count(distinct session_id) as unique_sessions,
         count(*) filter (event_type = 'add_to_cart') as add_to_cart_count,
         count(*) filter (event_type = 'purchase') as purchase_count,
         avg(product_price) as avg_price, sum(product_price) as total_value
       from enriched where product_id is not null
-      group by product_id, product_name, product_category, product_brand, event_date) as totals""",
+      group by product_id, event_date) as totals""",
+)
+_oracle(
+    "product_metrics_carts",
+    "enriched",
+    sql="""
+    select product_id, product_name, product_category, product_brand, event_date,
+      total_views, unique_users, unique_sessions, add_to_cart_count, purchase_count,
+      round(add_to_cart_count / total_views, 6) as view_to_cart_rate,
+      round(purchase_count / total_views, 6) as view_to_purchase_rate,
+      round(case when add_to_cart_count > 0 then purchase_count / add_to_cart_count else 0e0 end, 6)
+        as cart_to_purchase_rate
+    from (
+      select product_id, max(product_name) as product_name, event_date,
+        max(product_category) as product_category, max(product_brand) as product_brand,
+        count(*) as total_views, count(distinct user_id) as unique_users,
+        count(distinct session_id) as unique_sessions,
+        count(*) filter (event_type = 'add_to_cart') as add_to_cart_count,
+        count(*) filter (event_type = 'purchase') as purchase_count
+      from (
+        select product_id, product_name, product_category, product_brand,
+          event_type, event_date, user_id, session_id
+        from enriched where event_type <> 'purchase' and product_id is not null
+        union all
+        select 'P' || l_partkey, null, null, null,
+          event_type, event_date, user_id, session_id
+        from enriched join lineitem on l_orderkey = event_number where event_type = 'purchase'
+      ) as named group by product_id, event_date) as totals""",
 )
 _oracle(
     "hourly_metrics",
@@ -680,6 +719,71 @@ _oracle(
       round(avg(probability_purchase) * 100, 1) as avg_probability_pct
     from scored group by event_hour order by event_hour""",
 )
+_oracle(
+    "prediction_export_rule",
+    "scored",
+    sql=f"""
+    select session_id, user_id, event_date, event_hour, prediction_label, probability_purchase,
+      cast(label as integer) as actual_converted, page_views, add_to_cart_events,
+      unique_products_viewed, session_duration_seconds, device_type, categories_viewed,
+      '{AS_OF} 00:00:00.000000' as prediction_timestamp,
+      'purchase_propensity_model' as model_name, '1' as model_version, probability_bucket
+    from scored""",
+)
+
+# Two fixed scores stand in for the two models.
+_EVALUATED = """
+    evaluated as (
+      select m.model_type, case when cast('0x' || substr(md5(session_id), 1, 8) as bigint) % 100 < 80
+          then 'train' else 'test' end as split, label, prediction_label,
+        case m.model_type when 'logistic_regression' then probability_purchase
+          else cast(add_to_cart_events as double) end as p
+      from scored, (values ('logistic_regression'), ('gradient_boosted_trees')) as m(model_type)),
+    ranks as (
+      select *, rank() over (partition by model_type, split order by p)
+          + (count(*) over (partition by model_type, split, p) - 1) / 2e0 as place
+      from evaluated),
+    areas as (
+      select model_type, split, (sum(place) filter (label = 1)
+          - count(*) filter (label = 1) * (count(*) filter (label = 1) + 1) / 2e0)
+          / (count(*) filter (label = 1) * count(*) filter (label = 0)) as auc
+      from ranks group by model_type, split),
+    points as (
+      select model_type, split, p, sum(tp) over w / sum(tp) over (partition by model_type, split) as recall,
+        sum(tp) over w / sum(n) over w as precision
+      from (select model_type, split, p, count(*) filter (label = 1) as tp, count(*) as n
+            from evaluated group by model_type, split, p) as steps
+      window w as (partition by model_type, split order by p desc)),
+    curves as (
+      select model_type, split,
+        sum((recall - earlier) * (precision + coalesce(higher, precision)) / 2e0) as pr_auc
+      from (select *, coalesce(lag(recall) over v, 0e0) as earlier, lag(precision) over v as higher
+            from points window v as (partition by model_type, split order by p desc)) as pairs
+      group by model_type, split),
+    classes as (
+      select e.model_type, c.label, count(*) filter (e.label = c.label) as actual,
+        count(*) filter (e.prediction_label = c.label) as predicted,
+        count(*) filter (e.label = c.label and e.prediction_label = c.label) as hit, count(*) as n
+      from evaluated as e, (values (0e0), (1e0)) as c(label) where split = 'test'
+      group by e.model_type, c.label)"""
+_oracle(
+    "model_metrics_rule",
+    "scored",
+    sql=f""", {_EVALUATED}
+    select model_type, metric, round(value, 6) as value from (
+      select model_type, split || '_auc' as metric, auc as value from areas
+      union all select model_type, split || '_pr_auc', pr_auc from curves
+      union all select model_type, 'test_accuracy', sum(hit) / max(n) from classes group by model_type
+      union all select model_type, 'test_f1', sum(actual * 2e0 * hit / (actual + predicted)) / max(n)
+        from classes where actual > 0 group by model_type) as found""",
+)
+_oracle(
+    "champion_rule",
+    "scored",
+    sql=f""", {_EVALUATED}
+    select model_type, round(auc, 6) as test_auc from areas where split = 'test'
+    order by auc desc, model_type desc limit 1""",
+)
 _oracle(
     "split_stats",
     "features",
@@ -714,7 +818,7 @@ def _statement(needs: tuple[str, ...], sql: str) -> str:
     for name in needs:
         want(name)
     clauses = [f"{name} as ({_PARTS[name][1].strip()})" for name in _PARTS if name in wanted]
-    return f"with {', '.join(clauses)} {sql.strip()}"
+    return f"with {', '.join(clauses)} {sql.strip()}"  # a statement that starts with a comma adds its own
 
 
 def oracle_sql() -> dict[str, str]:

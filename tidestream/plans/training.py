@@ -19,7 +19,8 @@ from tidestream.operators.propensity import (
     train_candidates,
 )
 from tidestream.operators.registry import ModelRegistry
-from tidestream.sinks.lake import append_baseline, write_csv
+from tidestream.session import stored
+from tidestream.sinks.lake import append_baseline, read_baseline, write_csv
 from tidestream.sinks.warehouse import save_predictions
 
 
@@ -30,6 +31,7 @@ class TrainingResult:
     run_ids: dict[str, str]
     export: DataFrame
     saved_to: str
+    drift: DataFrame | None = None  # against the baseline of the run before, if there is one
 
 
 def train_and_publish(
@@ -62,7 +64,10 @@ def train_and_publish(
 
     model = registry.load_production(fallback=best.model)
     scored = score(model, prepared.where("split = 'test'"))
-    summary = p.monitoring_metrics(p.prediction_summary(scored))
-    append_baseline(summary, f"{registry.root}/prediction_baseline", run_ids[champion])
+    summary = stored(p.monitoring_metrics(p.prediction_summary(scored)), "monitoring")
+    baseline = f"{registry.root}/prediction_baseline"
+    append_baseline(summary, baseline, run_ids[champion])
+    earlier = read_baseline(spark, baseline, before=run_ids[champion])
+    drift = None if earlier is None else p.prediction_drift(summary, earlier)
     export = p.prediction_export(scored, str(version))
-    return TrainingResult(champion, version, run_ids, export, save_predictions(export, jdbc))
+    return TrainingResult(champion, version, run_ids, export, save_predictions(export, jdbc), drift)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,6 +15,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Minutes of event ids or windows as state belong on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 
@@ -77,3 +82,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tidestream-checkpoint-"))
     return context.getCheckpointDir()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The frame written once as Parquet to the shared checkpoint folder and read back.
+
+    Like a checkpoint it cuts the lineage and survives lost executors, but later steps read
+    only the columns they need. The files stay until the folder is cleaned.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,19 +1,23 @@
 """Partitioned Parquet tables.
 
-Event and metric tables keep each batch in a folder of its own, batch_id=..., divided by
-date. Writing a batch replaces that folder, so a repeated batch replaces its own rows and
-leaves the others alone; no partition has to be renamed, which suits object stores.
+The raw table keeps the events of a batch in folders of its own below each hour:
+year/month/day/hour/batch_id. A date filter therefore prunes before any batch is listed, and a
+repeated batch replaces its own rows and no others. What a batch wrote is noted in a small
+manifest, so a repeat that no longer fills an hour empties it. The metric tables hold one
+version of each day, which `refresh_days` recomputes from all batches of the day.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidestream.constants import CLICKSTREAM_TOPIC
 from tidestream.operators.enrich import (
@@ -22,73 +26,108 @@ from tidestream.operators.enrich import (
     add_time_partitions,
 )
 
+Parts = tuple  # values of the leading partition columns, None for rows without a time
+
 
 def raw_path(root: str, topic: str = CLICKSTREAM_TOPIC) -> str:
     return f"{root.rstrip('/')}/clickstream/{topic}"
 
 
-def metric_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/analytics/{name}"
+def metric_path(root: str, name: str, topic: str = CLICKSTREAM_TOPIC) -> str:
+    return f"{root.rstrip('/')}/analytics/{topic}/{name}"
 
 
-# Files a single partition may be split into where Spark cannot adapt to its size.
-_SPLITS = 4
+def quarantine_path(root: str, topic: str = CLICKSTREAM_TOPIC) -> str:
+    return f"{root.rstrip('/')}/quarantine/topic={topic}"
 
 
-def _gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows of a partition gathered for writing, but never all of a big one in one task.
+def part_path(path: str, parts: Parts) -> str:
+    """The folder of a partition of a table, as Spark names it."""
+    names = [f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(PARTITION_COLUMNS, parts)]
+    return "/".join([path, *names])
+
+
+def batch_path(path: str, batch_id: str) -> str:
+    return f"{path}/batch_id={batch_id}"
 
-    Rebalancing merges small pieces into files of sensible size and splits large partitions.
-    It needs adaptive execution, which a stateful stream runs without; there each partition
-    is hashed to a few tasks instead.
-    """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", *columns)
-    if not columns:
-        return df
-    split = F.pmod(F.xxhash64(*df.columns), F.lit(_SPLITS))
-    return df.repartition(*columns, split)
 
+def _write(df: DataFrame, path: str, columns: Sequence[str], **options: str) -> set[Parts]:
+    """Write `df` over its partitions of `path`; returns the partitions that got rows.
 
-def _write(df: DataFrame, path: str, columns: Sequence[str], **options: str) -> None:
-    """Write `df` over `path`, divided by `columns`."""
-    pieces = _gathered(df, columns).write.mode("overwrite").options(**options)
+    Rows are gathered by partition, but a large one is split over as many tasks as it fills.
+    """
+    filled = Observation()
+    dated = df.observe(filled, F.collect_set(F.struct(*columns)).alias("parts")) if columns else df
+    pieces = dated.hint("rebalance", *columns).write.mode("overwrite").options(**options)
     pieces.partitionBy(*columns).parquet(path)
+    return {tuple(part) for part in filled.get["parts"]} if columns else set()
 
 
-def batch_path(path: str, batch_id: str) -> str:
-    return f"{path}/batch_id={batch_id}"
+def _empty(spark: SparkSession, schema: T.StructType, path: str, drop: Iterable[str]) -> None:
+    """Replace a folder by one without rows."""
+    kept = T.StructType([f for f in schema.fields if f.name not in set(drop)])
+    spark.createDataFrame([], kept).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def _manifest(spark: SparkSession, root: str, topic: str, batch_id: str) -> tuple[str, set[Parts]]:
+    """Where the hours that a batch has written are noted, and what is noted so far."""
+    path = f"{root.rstrip('/')}/batches/{topic}/{batch_id}"
+    try:
+        rows = spark.read.schema("year INT, month INT, day INT, hour INT").parquet(path).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return path, set()
+    return path, {tuple(r) for r in rows}
 
 
 def write_raw(
     events: DataFrame, root: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC
-) -> str:
-    """Enriched events by batch, year, month, day and hour; returns the table's folder."""
-    path = raw_path(root, topic)
-    dated = add_time_partitions(events).drop("batch_id")
-    _write(dated, batch_path(path, batch_id), PARTITION_COLUMNS)
-    return path
-
+) -> tuple[set[Parts], set[Parts]]:
+    """Enriched events of a batch by hour; returns the hours filled and the hours touched.
 
-def write_metrics(metrics: Mapping[str, DataFrame], root: str, batch_id: str) -> None:
-    """Metric tables by batch, year, month and day of their event_date.
+    Touched are also the hours that an earlier run of this batch had filled.
+    """
+    spark, path = events.sparkSession, raw_path(root, topic)
+    dated = add_time_partitions(events).drop("batch_id").withColumn("batch_id", F.lit(batch_id))
+    manifest, before = _manifest(spark, root, topic, batch_id)
+    columns = [*PARTITION_COLUMNS, "batch_id"]
+    filled = {part[:4] for part in _write(dated, path, columns, partitionOverwriteMode="dynamic")}
+    for part in before - filled:
+        _empty(spark, dated.schema, batch_path(part_path(path, part), batch_id), columns)
+    if filled != before:
+        hours = [tuple(part) for part in sorted(filled | before, key=repr)]
+        noted = spark.createDataFrame(hours, "year INT, month INT, day INT, hour INT")
+        noted.coalesce(1).write.mode("overwrite").parquet(manifest)
+    return filled, filled | before
+
+
+def write_metrics(
+    metrics: Mapping[str, DataFrame], root: str, days: set[Parts], topic: str = CLICKSTREAM_TOPIC
+) -> None:
+    """Metric tables by year, month and day; the given days are replaced, also by nothing.
 
     The tables do not depend on each other, so their jobs are submitted together and fill
     the executors that the tail of another job leaves idle.
     """
+    spark = next(iter(metrics.values())).sparkSession
+    columns = PARTITION_COLUMNS[:3]
 
     def write(name: str) -> None:
-        target = batch_path(metric_path(root, name), batch_id)
-        _write(add_day_partitions(metrics[name]), target, PARTITION_COLUMNS[:3])
+        path, dated = metric_path(root, name, topic), add_day_partitions(metrics[name])
+        filled = _write(dated, path, columns, partitionOverwriteMode="dynamic")
+        for day in days - filled:
+            _empty(spark, dated.schema, part_path(path, day), columns)
 
-    spark = next(iter(metrics.values())).sparkSession
     with ThreadPoolExecutor(len(metrics)) as pool:
         list(pool.map(inheritable_thread_target(spark)(write), metrics))
 
 
-def write_quarantine(rows: DataFrame, root: str, batch_id: str) -> None:
-    """Rejected rows of a batch, as JSON text with the reason."""
-    _write(rows, batch_path(f"{root.rstrip('/')}/quarantine", batch_id), ())
+def write_quarantine(
+    rows: DataFrame, root: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC
+) -> None:
+    """Rejected rows of a batch, as JSON text with the reason; none replace what there was."""
+    _write(rows, batch_path(quarantine_path(root, topic), batch_id), ())
 
 
 def write_daily_summary(summary: DataFrame, root: str) -> str:
@@ -110,3 +149,19 @@ def append_baseline(
     at = F.current_timestamp() if recorded_at is None else F.lit(recorded_at)
     rows = metrics.withColumns({"run_id": F.lit(run_id), "recorded_at": at})
     rows.coalesce(1).write.mode("append").parquet(path)
+
+
+def read_baseline(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
+    """The metrics (metric, value) of the run recorded last, `before` another run or at all.
+
+    None if there is no such run yet.
+    """
+    try:
+        rows = spark.read.schema("metric STRING, value DOUBLE, run_id STRING, recorded_at TIMESTAMP").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    others = rows if before is None else rows.where(F.col("run_id") != before)
+    newest = others.agg(F.max(F.struct("recorded_at", "run_id")).alias("run")).first()["run"]
+    return None if newest is None else rows.where(F.col("run_id") == newest["run_id"]).select("metric", "value")

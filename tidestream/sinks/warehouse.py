@@ -94,17 +94,23 @@ def load_predictions(export: DataFrame, table: str = PREDICTIONS_TABLE) -> None:
 def save_predictions(
     export: DataFrame, jdbc: Mapping[str, str] | None = None, table: str = PREDICTIONS_TABLE
 ) -> str:
-    """To the warehouse if one is reachable, else to a managed table; returns which."""
+    """To the warehouse if one is reachable, else to a managed table; returns which.
+
+    Only a failure to reach the warehouse's table leads to the managed one. An error in the
+    predictions themselves, or half-way through the write, is raised: the rows already sent
+    would else be in both places.
+    """
     if jdbc is not None:
         try:
-            write_jdbc(export, jdbc)
-            return "jdbc"
-        except (PySparkException, OSError) as error:
-            log.warning("warehouse write failed, using the managed table: %s", error)
+            spark = export.sparkSession
+            spark.read.format("jdbc").options(**jdbc).load().schema  # opens a connection, reads no row
         except Exception as error:  # the driver's own Java errors arrive as Py4JJavaError
-            if type(error).__name__ != "Py4JJavaError":
+            if not isinstance(error, (PySparkException, OSError)) and type(error).__name__ != "Py4JJavaError":
                 raise
-            log.warning("warehouse write failed, using the managed table: %s", error)
+            log.warning("the warehouse is not reachable, using the managed table: %s", error)
+        else:
+            write_jdbc(export, jdbc)
+            return "jdbc"
     export.write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(table)
     return "table"
 
@@ -112,10 +118,15 @@ def save_predictions(
 def bulk_load(
     spark: SparkSession, path: str, table: str, columns: Sequence[str] | None = None
 ) -> None:
-    """Load a lake folder into a table, replacing the partitions found in the folder.
+    """Load a lake folder into a partitioned table, replacing the partitions found in the folder.
 
-    Columns are matched by name, so partition folders and extra columns do no harm.
+    The folder must hold those partitions whole, as the metric tables do with their days. To
+    load the batches of a raw table one by one, divide the target by batch_id as well; a target
+    that is not partitioned would lose all other rows and is refused. Columns are matched by
+    name, so partition folders and extra columns do no harm.
     """
+    if not any(c.isPartition for c in spark.catalog.listColumns(table)):
+        raise ValueError(f"{table} is not partitioned; loading would replace all its rows")
     rows = spark.read.parquet(path).select(*(columns or spark.table(table).columns))
     with dynamic_overwrite(spark):
         rows.write.insertInto(table, overwrite=True)

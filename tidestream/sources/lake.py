@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,12 +14,13 @@ def read_folder(spark: SparkSession, path: str, schema: str | None = None) -> Da
     return reader.parquet(path)
 
 
-def read_batch(
-    spark: SparkSession, path: str, batch_id: str, schema: T.StructType
+def read_parts(
+    spark: SparkSession, path: str, folders: Sequence[str], schema: T.StructType
 ) -> DataFrame:
-    """The rows one batch wrote, found without listing any other batch."""
-    reader = spark.read.schema(schema).option("basePath", path)
-    return reader.parquet(f"{path}/batch_id={batch_id}")
+    """The rows of some folders of a table, found without listing any other."""
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

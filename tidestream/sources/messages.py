@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestream.constants import DEFAULT_JOB, TOPIC_BATCH_ROWS, TOPIC_JOBS
+from tidestream.constants import DEFAULT_JOB, TOPIC_JOBS
 from tidestream.schemas import (
     CORRUPT_COLUMN,
-    ENVELOPE_SCHEMA,
     EVENT_COLUMNS,
     EVENT_SCHEMA_WITH_CORRUPT,
     EVENT_TYPES_BY_COLUMN,
@@ -35,18 +34,17 @@ def kafka_options(
     starting: str = "latest",
     group: str = "tidestream",
 ) -> dict[str, str]:
-    """Reader options: subscribe to the topics, newest messages first seen, bounded batches.
+    """Reader options: subscribe to the topics, newest messages first seen.
 
-    Without `max_rows` each trigger takes the sum of the per-topic batch sizes.
+    A trigger takes whatever has arrived; `max_rows` bounds it, for a first run over a backlog.
     """
-    rows = max_rows or sum(TOPIC_BATCH_ROWS.get(t, TOPIC_BATCH_ROWS["retail_clickstream"]) for t in topics)
-    return {
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
-        "maxOffsetsPerTrigger": str(rows),
         "groupIdPrefix": group,
     }
+    return options if max_rows is None else {**options, "maxOffsetsPerTrigger": str(max_rows)}
 
 
 def read_kafka(spark: SparkSession, servers: str, topics: Sequence[str], **options) -> DataFrame:
@@ -88,10 +86,10 @@ def conform_events(events: DataFrame) -> DataFrame:
     )
 
 
-def read_event_files(spark: SparkSession, path: str, max_files: int = 100) -> DataFrame:
-    """Streaming events from a folder of JSON-lines files."""
+def read_event_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Streaming events from a folder of JSON-lines files, all new ones per trigger by default."""
     reader = spark.readStream.schema(EVENT_SCHEMA_WITH_CORRUPT).options(**_PERMISSIVE)
-    return reader.option("maxFilesPerTrigger", max_files).json(path)
+    return (reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)).json(path)
 
 
 def route_topics(
@@ -103,19 +101,43 @@ def route_topics(
     return messages.withColumn("job", F.coalesce(found, F.lit(default)))
 
 
-def parse_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
-    """Events of batch envelopes held as JSON text, one row per message.
+def _envelope_messages(envelopes: DataFrame, column: str) -> DataFrame:
+    """One row per message of the envelopes, as text; malformed envelopes give their own text."""
+    text = F.col(column)
+    parsed = envelopes.select(
+        text.alias("envelope"),
+        # Checks the outer JSON only; the messages stay text and are parsed one by one.
+        F.from_json(text, "messages ARRAY<STRING>", {"mode": "PERMISSIVE"}).alias("outer"),
+        F.get_json_object(text, "$").isNull().alias("broken"),
+    )
+    filled = F.col("envelope").isNotNull() & (F.length(F.trim("envelope")) > 0)
+    whole = F.when(F.col("broken") & filled, F.array("envelope"))
+    return parsed.select(F.explode(F.coalesce(whole, F.col("outer.messages"))).alias("message"), "broken")
+
+
+def decode_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
+    """Events of batch envelopes held as JSON text, decoded like broker messages.
 
-    Empty and malformed envelopes give no events; `corrupt_envelopes` keeps the latter.
+    One row per message. A message that is not valid keeps its text in the corrupt column and
+    null in every event field, and so does an envelope that is not valid JSON; the other
+    messages of an envelope are not affected. Empty envelopes give no rows.
     """
-    parsed = envelopes.select(_parsed(F.col(column), ENVELOPE_SCHEMA))
-    return parsed.select(F.inline("messages"))
+    rows = _envelope_messages(envelopes, column)
+    decoded = rows.select("message", "broken", _parsed(F.col("message"), EVENT_SCHEMA_WITH_CORRUPT))
+    corrupt = F.when(F.col("broken"), F.col("message")).otherwise(F.col(CORRUPT_COLUMN))
+    bad = corrupt.isNotNull()
+    return decoded.select(*[F.when(~bad, F.col(c)).alias(c) for c in EVENT_COLUMNS], corrupt.alias(CORRUPT_COLUMN))
+
+
+def parse_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
+    """The well-formed events of batch envelopes, one row per message."""
+    return well_formed(decode_envelopes(envelopes, column))
 
 
 def corrupt_envelopes(envelopes: DataFrame, column: str = "value") -> DataFrame:
-    """The text of envelopes that are not valid JSON."""
-    parsed = envelopes.select(_parsed(F.col(column), ENVELOPE_SCHEMA))
-    return parsed.select(CORRUPT_COLUMN).where(F.col(CORRUPT_COLUMN).isNotNull())
+    """The text of messages and envelopes that give no event, for quarantine."""
+    decoded = decode_envelopes(envelopes, column)
+    return decoded.select(CORRUPT_COLUMN).where(F.col(CORRUPT_COLUMN).isNotNull())
 
 
 def well_formed(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidestream.constants import CLICKSTREAM_TOPIC, TRANSACTIONS_TOPIC
 from tidestream.operators.enrich import enrich_events
 from tidestream.operators.quality import validate_events
-from tidestream.session import configure, fit_shuffles
+from tidestream.session import configure
 
 # How the test table's event types are read.
 _EVENT_NAMES = {"view": "page_view", "click": "add_to_cart", "signup": "search"}
@@ -57,7 +57,6 @@ def clickstream(spark: SparkSession, sf_dir: str, with_products: bool = True) ->
         renamed.alias("kind"),
     )
     part = table(spark, sf_dir, "part")
-    fit_shuffles(spark, source, part)
     if with_products:
         events = events.join(part, F.col("k") == F.col("p_partkey"), "left")
     else:
@@ -168,7 +167,6 @@ def cart_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id, hence the lines are joined after de-duplication.
     """
     lineitem = table(spark, sf_dir, "lineitem")
-    fit_shuffles(spark, lineitem)
     purchases = enriched_events(spark, sf_dir).where(F.col("event_type") == "purchase")
     item = F.struct(
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("product_id"),
@@ -180,8 +178,23 @@ def cart_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = lineitem.select(
         F.concat(F.lit("e_"), F.col("l_orderkey").cast("string")).alias("event_id"),
         F.array(item).alias("cart_items"),
+        F.col("l_linenumber").alias("line"),
     )
     number = F.substring_index("event_id", "_", -1)
     return purchases.join(lines, "event_id").withColumn(
         "order_id", F.concat(F.lit("ORD_"), number)
     )
+
+
+def whole_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid purchases with all lines of their order as one cart, in line order.
+
+    An order has a handful of lines, so its cart is a short array.
+    """
+    lines = cart_purchases(spark, sf_dir).select("event_id", "cart_items", F.col("line").alias("at"))
+    item = F.struct("at", F.col("cart_items")[0].alias("item"))
+    carts = lines.groupBy("event_id").agg(F.array_sort(F.collect_list(item)).alias("lines"))
+    carts = carts.select("event_id", F.col("lines.item").alias("cart_items"))
+    purchases = enriched_events(spark, sf_dir).where(F.col("event_type") == "purchase")
+    number = F.substring_index("event_id", "_", -1)
+    return purchases.join(carts, "event_id").withColumn("order_id", F.concat(F.lit("ORD_"), number))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,9 +55,41 @@ def valid_stream(events: DataFrame, watermark: str = WATERMARK, salts: int = 0)
 
 
 def flagged_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Timed events with an is_valid flag, the input of the streaming error rate."""
-    flagged = events.withColumn("is_valid", is_valid("cart_items" in events.columns))
-    return timed_events(flagged, watermark)
+    """All rows with an is_valid flag, the input of the streaming error rate.
+
+    Rows without a usable time of their own, malformed ones among them, count at the time the
+    broker received them. Only rows without either time are left out.
+    """
+    timed = add_event_time(events)
+    valid = is_valid("cart_items" in events.columns) & F.col("event_timestamp").isNotNull()
+    received = F.timestamp_millis("kafka_metadata.timestamp") if "kafka_metadata" in events.columns else F.lit(None)
+    flagged = timed.withColumns({"is_valid": valid, "event_timestamp": F.coalesce("event_timestamp", received)})
+    return flagged.where(F.col("event_timestamp").isNotNull()).withWatermark("event_timestamp", watermark)
+
+
+def stored_stream(events: DataFrame) -> DataFrame:
+    """The events a stream stores: well-formed, valid and with a usable time, however late.
+
+    What is left out is exactly what `start_quarantine` keeps. There is no watermark here, so
+    nothing is dropped for being late; copies are removed within a batch when it is written
+    and across batches when the days are read.
+    """
+    if CORRUPT_COLUMN in events.columns:
+        events = well_formed(events)
+    timed = events.where(is_valid("cart_items" in events.columns))
+    return timed.where(F.try_to_timestamp("timestamp").isNotNull())
+
+
+def query_identity(spark: SparkSession, checkpoint: str) -> str:
+    """A name that a query keeps over restarts and that a new checkpoint does not repeat."""
+    metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(metadata)["id"].replace("-", "")
+
+
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful operators have dropped behind the watermark so far."""
+    states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
+    return sum(state["numRowsDroppedByWatermark"] for state in states)
 
 
 def _trigger(writer, interval: str | None):
@@ -71,22 +104,22 @@ def start_clickstream(
     checkpoint: str,
     topic: str = CLICKSTREAM_TOPIC,
     interval: str | None = BATCH_INTERVAL,
-    watermark: str = WATERMARK,
-    salts: int = 0,
+    refresh: bool = True,
 ) -> StreamingQuery:
     """Each micro-batch through `process_batch`; without an interval, whatever is there now.
 
-    Offsets and state live in the checkpoint and a batch is stored under its own number, so
-    a batch that is repeated after a failure replaces itself. The metrics run in the outer
-    session, as adaptive execution is off inside a stateful stream.
+    All valid events are stored, late ones too, and the metrics of the days they belong to are
+    computed anew; with `refresh` off they are left to a scheduled `refresh_days`. A batch is
+    stored under the query's identity and its number: one that is repeated after a failure
+    replaces itself, and another query or checkpoint never does.
     """
     spark = events.sparkSession
 
     def store(batch: DataFrame, number: int) -> None:
-        batch_id = f"stream_{number}"
-        process_batch(batch, lake, batch_id, topic, validated=True, spark=spark)
+        batch_id = f"stream_{query_identity(spark, checkpoint)}_{number}"
+        process_batch(batch, lake, batch_id, topic, refresh=refresh, spark=spark)
 
-    writer = valid_stream(events, watermark, salts).writeStream.foreachBatch(store)
+    writer = stored_stream(events).writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
@@ -119,7 +152,11 @@ def start_router(
 
 
 def start_quarantine(
-    events: DataFrame, lake: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+    events: DataFrame,
+    lake: str,
+    checkpoint: str,
+    topic: str = CLICKSTREAM_TOPIC,
+    interval: str | None = BATCH_INTERVAL,
 ) -> StreamingQuery:
     """Malformed, invalid and undated rows to the quarantine table, with the reason."""
     timed = add_event_time(events)
@@ -134,7 +171,8 @@ def start_quarantine(
     ).where(F.col("reason").isNotNull())
 
     def store(batch: DataFrame, number: int) -> None:
-        write_quarantine(batch, f"{lake}/raw", f"stream_{number}")
+        identity = query_identity(events.sparkSession, checkpoint)
+        write_quarantine(batch, f"{lake}/raw", f"stream_{identity}_{number}", topic)
 
     writer = rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _trigger(writer, interval).start()
