@@ -20,6 +20,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidestream.llm.storage import small_batches
 from tidestream.llm.words import Piece, mix, pieces
 
 SAMPLES = 64
@@ -146,6 +147,7 @@ def fingerprint_documents(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE)
     A single document is followed by itself. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    small_batches(docs.sparkSession)
     docs = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST_ID)))
     ranges = min(MAX_RANGES, max(1, math.ceil(docs.count() / rows_per_range)))
     shares = [k / ranges for k in range(1, ranges)]

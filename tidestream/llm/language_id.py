@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestream.llm.linear import held_out, sample_limit, sample_place
+from tidestream.llm.storage import small_batches
 from tidestream.llm.words import Piece, pieces
 
 PLACES = 1024
@@ -98,6 +99,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageMo
     At most about `sample_rows` documents per language, chosen by the hash of their id. Rows
     without language or id teach nothing.
     """
+    small_batches(docs.sparkSession)
     known = docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
     counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:

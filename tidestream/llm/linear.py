@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidestream.llm.features import DIMENSIONS
+from tidestream.llm.storage import small_batches
 from tidestream.llm.words import pieces
 
 SAMPLE_ROWS = 12_000
@@ -86,5 +87,6 @@ def sigmoid(x):
 
 def whole_sample(rows: DataFrame, make, fit, schema: str) -> list:
     """Fit on a bounded sample in one task; the fitted numbers are bounded by the feature space."""
+    small_batches(rows.sparkSession)
     features = rows.mapInArrow(featurise(make), "label double, features array<int>")
     return features.groupBy(F.lit(0).alias("all")).applyInArrow(fit, schema).collect()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidestream.llm.storage import stored
+from tidestream.llm.storage import small_batches, stored
 from tidestream.llm.words import pieces
 
 CAPACITY = 1024
@@ -127,6 +127,7 @@ def pack(docs: DataFrame, tokenizer: tuple[str, str, str], capacity: int = CAPAC
     and the pattern that splits a text before merging. A null doc_id stays null, repeated rows
     are packed as separate documents, and only `doc_id` and `text` are read.
     """
+    small_batches(docs.sparkSession)
     tokenised = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenise(tokenizer, capacity), _PIECES)
     rows = stored(tokenised.withColumn("row", F.monotonically_increasing_id()), "packing-pieces")
     full = rows.where(F.col("length") == capacity)

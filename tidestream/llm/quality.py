@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidestream.llm.features import DIMENSIONS, dot, word_ngram_features
 from tidestream.llm.linear import SAMPLE_ROWS, Ftrl, feature_lists, held_out, labelled_sample, sigmoid, whole_sample
+from tidestream.llm.storage import small_batches
 from tidestream.llm.words import pieces
 
 EPOCHS = 3
@@ -67,6 +68,7 @@ def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
                 scores = sigmoid(dot(weights, *word_ngram_features(piece)) + float(weights[0]))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[piece.rows], pa.array(scores)], names=["doc_id", "score"])
 
+    small_batches(docs.sparkSession)
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))

@@ -50,6 +50,13 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python in batches of at most 1,000 rows, which bounds the buffers of a task."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def text_bytes(docs: DataFrame) -> int:
     """Bytes of all texts, to choose how many buckets a job needs."""
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from tidestream.llm.features import DIMENSIONS, dot, word_and_prefix_features
 from tidestream.llm.linear import SAMPLE_ROWS, Ftrl, feature_lists, held_out, labelled_sample, sigmoid, whole_sample
+from tidestream.llm.storage import small_batches
 from tidestream.llm.words import pieces
 
 GRADES = 4
@@ -114,6 +115,7 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
                     [batch.column(0)[piece.rows], *map(pa.array, columns)], names=["doc_id", "severity", "grade", "score"]
                 )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     scored = rows.mapInArrow(run, "doc_id long, severity double, grade int, score double")
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0)
