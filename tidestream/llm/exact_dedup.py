@@ -28,19 +28,29 @@ def _cell(section: int, bits: int) -> Column:
     return F.pmod(F.xxhash64("text_sha256", F.lit(section)), F.lit(per_section)) + F.lit(1 + section * per_section)
 
 
-def _bit_is_set(bitmap: str, cell: Column) -> Column:
+def filter_bits(rows: int, most: int = MAX_FILTER_BITS) -> int:
+    """Size of a filter for so many rows, a power of two, never more than `most`."""
+    return min(most, max(1 << 16, 1 << (FILTER_BITS_PER_ROW * max(1, rows) - 1).bit_length()))
+
+
+def bitmaps(cells: DataFrame) -> DataFrame:
+    """A column `cell` of numbers from 1 on as bitmaps of 4 KB: (bucket, cells)."""
+    return cells.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("cells")
+    )
+
+
+def bit_is_set(bitmap: str, cell: Column) -> Column:
+    """Whether the bitmap of the cell's bucket has its bit; false without a bitmap."""
     position = F.bitmap_bit_position(cell)
     byte = F.substring(F.col(bitmap), F.floor(position / 8).cast("int") + 1, F.lit(1))
     return F.coalesce(F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), (position % 8).cast("int")) == 1, F.lit(False))
 
 
 def repeated_cells(rows: DataFrame, bits: int) -> DataFrame:
-    """The cells set by more than one row, as bitmaps of 4 KB: (bucket, cells)."""
+    """Bitmaps of the cells set by more than one row."""
     cells = rows.select(F.explode(F.array(*[_cell(s, bits) for s in range(SECTIONS)])).alias("cell"))
-    again = cells.groupBy("cell").agg(F.count("*").alias("times")).where("times > 1")
-    return again.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("cells")
-    )
+    return bitmaps(cells.groupBy("cell").agg(F.count("*").alias("times")).where("times > 1"))
 
 
 def exact_groups(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> DataFrame:
@@ -55,22 +65,21 @@ def exact_groups(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Dat
     """
     hashed = docs.select(F.col("doc_id"), F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
     rows = stored(hashed.withColumn("row", F.monotonically_increasing_id()), "exact-hashes")
-    wanted = FILTER_BITS_PER_ROW * max(1, rows.count())
-    bits = min(max_filter_bits, max(1 << 16, 1 << (wanted - 1).bit_length()))
-    bitmaps = stored(repeated_cells(rows, bits), "exact-filter")
+    bits = filter_bits(rows.count(), max_filter_bits)
+    repeated = stored(repeated_cells(rows, bits), "exact-filter")
     probed = rows
     for s in range(SECTIONS):
-        section = bitmaps.select(F.col("bucket").alias(f"bucket{s}"), F.col("cells").alias(f"cells{s}"))
+        section = repeated.select(F.col("bucket").alias(f"bucket{s}"), F.col("cells").alias(f"cells{s}"))
         probed = probed.join(F.broadcast(section), F.bitmap_bucket_number(_cell(s, bits)) == F.col(f"bucket{s}"), "left")
     probed = probed.select(
         *rows.columns,
-        F.array_min(F.array(*[_bit_is_set(f"cells{s}", _cell(s, bits)) for s in range(SECTIONS)])).alias("maybe"),
+        F.array_min(F.array(*[bit_is_set(f"cells{s}", _cell(s, bits)) for s in range(SECTIONS)])).alias("maybe"),
     )
     maybe = probed.where("maybe").select(*rows.columns)
     groups = maybe.groupBy("text_sha256").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("first"), F.count("*").alias("group_size")
     )
-    repeated = maybe.join(groups, "text_sha256").select(
+    grouped = maybe.join(groups, "text_sha256").select(
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
         "group_size",
@@ -80,4 +89,4 @@ def exact_groups(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Dat
     unique = probed.where("not maybe").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256"
     )
-    return unique.union(repeated)
+    return unique.union(grouped)

@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestream.llm.storage import components, stored, text_bytes
+from tidestream.llm.exact_dedup import bit_is_set, bitmaps, filter_bits
+from tidestream.llm.storage import components, small_batches, stored, text_bytes
 from tidestream.llm.words import mix, pieces, shingle_sets, sums_by_text
 
 SHINGLE_WORDS = 5
@@ -37,7 +38,8 @@ SIMILARITY_PERCENT = 80
 BUCKET_BYTES = 6 << 20
 MAX_BUCKETS = 1 << 16
 BLOCK_SHINGLES = 4_000_000
-CHUNK_SHINGLES = 600_000
+ROOM_SHINGLES = 500_000
+CHUNK_SHINGLES = 400_000
 CHUNK_DOCS = 60_000
 ORDERS = 3
 
@@ -324,6 +326,19 @@ def _connect_unit(percent: int):
     return run
 
 
+def _likely(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The documents whose id is among the chosen, and a few more: a filter of at most 64 MB.
+
+    So only the texts that go on are shuffled by the join after it.
+    """
+    bits = filter_bits(chosen.count())
+    cell = F.pmod(F.xxhash64("id"), F.lit(bits)) + 1
+    found = stored(bitmaps(chosen.select(F.col("rep").alias("id")).select(cell.alias("cell"))), "jaccard-filter")
+    with_cell = docs.withColumn("id", F.col("doc_id")).withColumn("cell", cell)
+    near = with_cell.join(F.broadcast(found), F.bitmap_bucket_number("cell") == F.col("bucket"))
+    return near.where(bit_is_set("cells", F.col("cell"))).select("doc_id", "text")
+
+
 def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """One row per document row: doc_id, n_shingles, component_id (its smallest linked doc_id).
 
@@ -333,6 +348,7 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
     of `docs` are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    small_batches(docs.sparkSession)
     buckets = min(MAX_BUCKETS - 1, max(16, math.ceil(text_bytes(docs) / BUCKET_BYTES)))
     scanned = docs.mapInArrow(_scan(buckets, _text_sets), _SCAN)
     counted = scanned.groupBy("p").applyInArrow(_count_bucket, _COUNTS)
@@ -345,7 +361,8 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
         .withColumn("node", F.monotonically_increasing_id()),
         "jaccard-classes",
     )
-    chosen = docs.join(classes.select("node", "sig_a", "sig_b", "rep"), F.col("doc_id").eqNullSafe(F.col("rep")))
+    likely = _likely(docs, stored(classes.select("rep").distinct(), "jaccard-representatives"))
+    chosen = likely.join(classes.select("node", "sig_a", "sig_b", "rep"), F.col("doc_id").eqNullSafe(F.col("rep")))
     sets = stored(
         chosen.select("node", "sig_a", "sig_b", "text").mapInArrow(_sets, "node long, n long, tokens array<bigint>"),
         "jaccard-sets",
@@ -360,7 +377,7 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
     weights = groups.join(sets.select("node", "n"), "node").groupBy("root").agg(F.sum("n").alias("weight"))
     weights = stored(weights.withColumn("blocks", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")), "jaccard-weights")
     total, most = weights.agg(F.sum("weight"), F.max("blocks")).first()
-    rooms = max(1, math.ceil((total or 0) / BLOCK_SHINGLES))
+    rooms = max(1, math.ceil((total or 0) / ROOM_SHINGLES))
     placed = groups.join(weights, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     whole = placed.where("blocks = 1").select(
         "node", F.lit(-1).cast("long").alias("unit"), F.pmod(F.xxhash64("root"), F.lit(rooms)).alias("i"), F.lit(0).cast("long").alias("j")
