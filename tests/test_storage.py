@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidestream.operators import metrics
 from tidestream.operators.enrich import enrich_events
-from tidestream.plans.batch import daily_job, process_batch
+from tidestream.plans.batch import daily_job, load_warehouse, process_batch
 from tidestream.sinks import lake, warehouse
 from tidestream.sources.lake import preview, read_folder, read_table
 
@@ -185,6 +185,15 @@ def test_arrays_are_flattened_for_jdbc(spark):
     assert options["dbtable"] == "t" and options["numPartitions"] == "16"
 
 
+def test_warehouse_load_sends_the_stored_metrics(spark, batch, tmp_path, monkeypatch):
+    """Without a database: what would be written, and where."""
+    process_batch(batch, str(tmp_path), "b1")
+    sent = {}
+    monkeypatch.setattr(warehouse, "write_jdbc", lambda df, options: sent.update({options["dbtable"]: df.count()}))
+    load_warehouse(spark, str(tmp_path), warehouse.jdbc_options("jdbc:x", "", "u", "p", "org.Driver"))
+    assert set(sent) == set(warehouse.WAREHOUSE_TABLES.values()) and all(sent.values())
+
+
 def test_predictions_fall_back_to_a_table(spark):
     frame = spark.createDataFrame([("s1", ["a"])], "session_id STRING, categories ARRAY<STRING>")
     jdbc = warehouse.jdbc_options("jdbc:none://x", "t", "u", "p", "no.such.Driver")

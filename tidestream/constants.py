@@ -8,7 +8,7 @@ PRODUCT_EVENT_TYPES = ("page_view", "add_to_cart", "purchase")
 CATEGORIES = ("Electronics", "Clothing", "Footwear", "Home & Garden", "Sports", "Accessories")
 DEVICE_TYPES = ("desktop", "mobile", "tablet")
 
-# Topics, the job each one feeds, and rows per trigger.
+# Topics, the job each one feeds, and the interval of a stream.
 CLICKSTREAM_TOPIC = "retail_clickstream"
 TRANSACTIONS_TOPIC = "retail_transactions"
 INVENTORY_TOPIC = "retail_inventory"
@@ -18,7 +18,6 @@ TOPIC_JOBS = {
     INVENTORY_TOPIC: "inventory-processing-job",
 }
 DEFAULT_JOB = "default-processing-job"
-TOPIC_BATCH_ROWS = {CLICKSTREAM_TOPIC: 100, TRANSACTIONS_TOPIC: 50, INVENTORY_TOPIC: 25}
 BATCH_INTERVAL = "30 seconds"
 
 # Dashboard thresholds as (yellow from, green from).

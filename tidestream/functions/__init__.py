@@ -19,8 +19,9 @@ def flag(condition: Column) -> Column:
 
 
 def money(amounts: Column) -> Column:
-    """A sum of amounts in whole cents, so it does not depend on the order of summation."""
-    return F.round(F.sum(amounts), 2)
+    """A sum of amounts in whole cents, exact: it does not depend on the order of summation."""
+    exact = F.sum(F.round(amounts, 6).cast("decimal(28,6)"))
+    return F.round(exact, 2).cast("double")
 
 
 def is_type(event_type: str) -> Column:

@@ -1,9 +1,7 @@
-"""Scored sessions: rule score, export rows, BI reports, distribution and drift."""
+"""Scored sessions: export rows, BI reports, distribution and drift."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,41 +14,9 @@ from tidestream.constants import (
 )
 from tidestream.functions import probability_bucket
 
-# Weights of the rule score, device factors and score limits.
-RULE_BASE = 0.025
-RULE_CART_WEIGHT = 0.35
-RULE_LOG_VIEWS_WEIGHT = 0.018
-RULE_LOG_SECONDS_WEIGHT = 0.010
-RULE_SEARCH_WEIGHT = 0.012
-RULE_DEVICE_FACTORS = {"mobile": 0.75, "tablet": 0.85}
-RULE_LIMITS = (0.01, 0.90)
-
 DRIFT_METRICS = ("avg_predicted_probability", "predicted_positive_rate")
 
 
-def score_by_rule(inputs: DataFrame) -> DataFrame:
-    """Session inputs with a purchase probability from a fixed formula instead of a model."""
-    device_factor = F.lit(1.0)
-    for device, factor in RULE_DEVICE_FACTORS.items():
-        device_factor = F.when(F.col("device_type") == device, factor).otherwise(device_factor)
-    raw = (
-        F.lit(RULE_BASE)
-        + F.lit(RULE_CART_WEIGHT) * F.col("add_to_cart_events")
-        + F.lit(RULE_LOG_VIEWS_WEIGHT) * F.log(1 + F.col("page_views"))
-        + F.lit(RULE_LOG_SECONDS_WEIGHT) * F.log(1 + F.col("session_duration_seconds"))
-        + F.lit(RULE_SEARCH_WEIGHT) * F.col("search_events")
-    ) * device_factor
-    low, high = RULE_LIMITS
-    probability = F.round(F.greatest(F.least(raw, F.lit(high)), F.lit(low)), 6)
-    scored = inputs.withColumn("probability_purchase", probability)
-    return scored.withColumns(
-        {
-            "prediction_label": (F.col("probability_purchase") >= 0.5).cast("int"),
-            "label": F.col("converted_to_purchase").cast("double"),
-        }
-    )
-
-
 def prediction_export(
     scored: DataFrame, model_version: str = "1", predicted_at: Column | None = None
 ) -> DataFrame:
@@ -110,19 +76,6 @@ def monitoring_metrics(summary: DataFrame) -> DataFrame:
     return summary.select(F.inline(F.array(*rows)))
 
 
-def shift_metrics(metrics: DataFrame, factors: Mapping[str, float]) -> DataFrame:
-    """Metric rows scaled by a factor each; metrics without a factor are left out."""
-    rows = [
-        F.struct(F.lit(name).alias("name"), F.lit(factor).alias("factor"))
-        for name, factor in factors.items()
-    ]
-    return (
-        metrics.withColumn("shift", F.explode(F.array(*rows)))
-        .where(F.col("metric") == F.col("shift.name"))
-        .select("metric", (F.col("value") * F.col("shift.factor")).alias("value"))
-    )
-
-
 def prediction_drift(
     current: DataFrame, baseline: DataFrame, threshold: float = DRIFT_ABOVE
 ) -> DataFrame:

@@ -64,9 +64,11 @@ def prepare(features: DataFrame) -> DataFrame:
 
     Fitting passes over these rows many times, so they are first dealt out evenly. They are
     stored as a table: a lost executor does not cost the event scan, de-duplication and session
-    aggregation again, and each pass reads its own columns.
+    aggregation again, and each pass reads its own columns. Sessions without a valid time are
+    left out, as their hour and weekday are placeholders.
     """
-    return stored(assign_split(add_label(features)).hint("rebalance", "session_id"), "training")
+    dated = features.where("event_date is not null")
+    return stored(assign_split(add_label(dated)).hint("rebalance", "session_id"), "training")
 
 
 def fit_scaling(train: DataFrame, columns: Sequence[str]) -> PipelineModel:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +16,7 @@ from tidestream.operators.quality import drop_duplicate_events, freshness, is_va
 from tidestream.operators.sessions import session_metrics
 from tidestream.sinks.lake import (
     batch_path,
+    metric_path,
     part_path,
     raw_path,
     write_daily_summary,
@@ -21,6 +24,7 @@ from tidestream.sinks.lake import (
     write_quarantine,
     write_raw,
 )
+from tidestream.sinks.warehouse import WAREHOUSE_TABLES, write_metrics_jdbc
 from tidestream.sources.lake import read_folder, read_parts
 from tidestream.sources.messages import conform_events
 
@@ -120,3 +124,13 @@ def daily_job(spark: SparkSession, lake: str, as_of: str, topic: str = CLICKSTRE
         recent = drop_duplicate_events(raw.where(m.since_yesterday("event_date", as_of[:10], by_parts=True)))
         write_daily_summary(m.daily_summary(recent, as_of[:10]), f"{lake}/curated")
     return state
+
+
+def load_warehouse(spark: SparkSession, lake: str, connection: Mapping[str, str], topic: str = CLICKSTREAM_TOPIC) -> None:
+    """The stored hourly, product and category metrics to the warehouse, over JDBC.
+
+    The tables are computed already, so the few connections to the warehouse bound the write
+    alone and not the work that made them. Rows are appended: load a day once.
+    """
+    stored = {name: read_folder(spark, metric_path(f"{lake}/processed", name, topic)) for name in WAREHOUSE_TABLES}
+    write_metrics_jdbc(stored, connection)

@@ -57,7 +57,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predictions.score_by_rule(_inputs(spark, sf_dir))
+    return testdata.score_by_rule(_inputs(spark, sf_dir))
 
 
 def _rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -464,7 +464,7 @@ def prediction_drift(spark, sf_dir):
     summary = predictions.prediction_summary(_rule_scored(spark, sf_dir))
     # A handful of rows, stored as a run stores its baseline; both sides read them.
     baseline = stored(predictions.monitoring_metrics(summary), "baseline")
-    current = predictions.shift_metrics(baseline, DRIFT_FACTORS)
+    current = testdata.shift_metrics(baseline, DRIFT_FACTORS)
     drift = predictions.prediction_drift(current, baseline)
     return drift.withColumns(
         {

@@ -8,6 +8,7 @@ CART_ITEM = (
     "product_price: DOUBLE, quantity: INT>"
 )
 
+# The fields of an event and their types.
 _EVENT_FIELDS = {
     "event_id": "STRING",
     "event_type": "STRING",
@@ -43,15 +44,11 @@ _EVENT_FIELDS = {
 EVENT_TYPES_BY_COLUMN = dict(_EVENT_FIELDS)
 EVENT_COLUMNS = tuple(_EVENT_FIELDS)
 EVENT_SCHEMA = ", ".join(f"`{name}` {kind}" for name, kind in _EVENT_FIELDS.items())
-_EVENT_STRUCT = "STRUCT<" + ", ".join(f"`{n}`: {k}" for n, k in _EVENT_FIELDS.items()) + ">"
 
 CORRUPT_COLUMN = "_corrupt_record"
 EVENT_SCHEMA_WITH_CORRUPT = f"{EVENT_SCHEMA}, `{CORRUPT_COLUMN}` STRING"
-ENVELOPE_SCHEMA = (
-    f"`topic` STRING, `messages` ARRAY<{_EVENT_STRUCT}>, `timestamp` STRING, "
-    f"`batch_size` INT, `{CORRUPT_COLUMN}` STRING"
-)
 
+# The columns of the prediction table.
 PREDICTION_COLUMNS = {
     "session_id": "STRING",
     "user_id": "STRING",

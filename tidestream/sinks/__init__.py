@@ -1 +1 @@
-"""Writers: lake folders and warehouse tables, all safe to repeat."""
+"""Writers of tables and files. Batches and days replace themselves; JDBC and baselines append."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,14 @@ from tidestream.session import configure
 _EVENT_NAMES = {"view": "page_view", "click": "add_to_cart", "signup": "search"}
 # The six values that p_type takes stand in for the product categories.
 TEST_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+# Weights of the test score, device factors and score limits.
+RULE_BASE = 0.025
+RULE_CART_WEIGHT = 0.35
+RULE_LOG_VIEWS_WEIGHT = 0.018
+RULE_LOG_SECONDS_WEIGHT = 0.010
+RULE_SEARCH_WEIGHT = 0.012
+RULE_DEVICE_FACTORS = {"mobile": 0.75, "tablet": 0.85}
+RULE_LIMITS = (0.01, 0.90)
 # The test events end in January 2024.
 AS_OF = "2024-01-30"
 
@@ -198,3 +208,39 @@ def whole_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = enriched_events(spark, sf_dir).where(F.col("event_type") == "purchase")
     number = F.substring_index("event_id", "_", -1)
     return purchases.join(carts, "event_id").withColumn("order_id", F.concat(F.lit("ORD_"), number))
+
+
+def score_by_rule(inputs: DataFrame) -> DataFrame:
+    """Session inputs with a purchase probability from a fixed formula, as input for the reports."""
+    device_factor = F.lit(1.0)
+    for device, factor in RULE_DEVICE_FACTORS.items():
+        device_factor = F.when(F.col("device_type") == device, factor).otherwise(device_factor)
+    raw = (
+        F.lit(RULE_BASE)
+        + F.lit(RULE_CART_WEIGHT) * F.col("add_to_cart_events")
+        + F.lit(RULE_LOG_VIEWS_WEIGHT) * F.log(1 + F.col("page_views"))
+        + F.lit(RULE_LOG_SECONDS_WEIGHT) * F.log(1 + F.col("session_duration_seconds"))
+        + F.lit(RULE_SEARCH_WEIGHT) * F.col("search_events")
+    ) * device_factor
+    low, high = RULE_LIMITS
+    probability = F.round(F.greatest(F.least(raw, F.lit(high)), F.lit(low)), 6)
+    scored = inputs.withColumn("probability_purchase", probability)
+    return scored.withColumns(
+        {
+            "prediction_label": (F.col("probability_purchase") >= 0.5).cast("int"),
+            "label": F.col("converted_to_purchase").cast("double"),
+        }
+    )
+
+
+def shift_metrics(metrics: DataFrame, factors: Mapping[str, float]) -> DataFrame:
+    """Metric rows scaled by a factor each; metrics without a factor are left out."""
+    rows = [
+        F.struct(F.lit(name).alias("name"), F.lit(factor).alias("factor"))
+        for name, factor in factors.items()
+    ]
+    return (
+        metrics.withColumn("shift", F.explode(F.array(*rows)))
+        .where(F.col("metric") == F.col("shift.name"))
+        .select("metric", (F.col("value") * F.col("shift.factor")).alias("value"))
+    )
