@@ -204,6 +204,29 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     assert {d: n for (d, piece), n in pieces.items() if piece == 0} == dict(copies)
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, row int, cell string"
+
+
+def test_pipeline_stages_on_odd_tables(spark, sf_dir):
+    """Nulls anywhere, empty and long texts, repeated rows, other columns, nothing at all."""
+    rows = [(k, f"the thing was here and then number {k} of them went to the other one", "en", f"s{k % 3}", 1, 1, "x") for k in range(40)]
+    rows += [(None, "the other thing was not here", None, None, None, None, None), (50, None, "en", None, None, 1, None)]
+    rows += [(51, "", None, "s1", 0, 1, ""), (52, "12 %% 34", "en", "s1", 8, 1, ""), (53, "and the " * 20_000, "en", "s2", 1, 1, "")]
+    rows += [rows[0], rows[0]]
+    for table in (rows, rows[40:43], []):
+        docs = spark.createDataFrame(table, ODD)
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, docs, sf_dir)
+            if name != "packing":
+                assert made.columns == docs.columns
+            docs = spark.createDataFrame(made.collect(), made.schema)
+        assert docs.count() > 0 or len(table) < 40
+        lengths = defaultdict(int)
+        for r in docs.collect():
+            lengths[r.sequence_id] += r.length
+        assert all(n <= 1024 for n in lengths.values())
+
+
 def test_registered_with_production_parameters():
     import __spark_entry__
 

@@ -2,7 +2,64 @@
 
 from __future__ import annotations
 
+from tidestream.llm.license_scan import NOTICES, window_plan
+
+
+def _license_sql() -> str:
+    """Every window of every document against every notice, by joining their shingles."""
+    names = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
+    lengths = ", ".join(f"({m}, {length}, {step})" for m in range(1, 101) for length, step, _ in [window_plan(m)])
+    shingles = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))"
+    return f"""
+with notices as (select * from (values {names}) as n(license, body)),
+wanted as (
+  select distinct license, unnest({shingles}) as sh
+  from (select license, regexp_extract_all(lower(body), '[a-z0-9]+') as ws from notices) as w where len(ws) >= 5),
+shapes as (
+  select license, m, length, step from (select license, count(*) as m from wanted group by license) as c
+  join (values {lengths}) as p(m, length, step) using (m)),
+have as (
+  select doc_id, unnest({shingles}) as sh, unnest(range(len(ws) - 4)) as pos
+  from (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') as ws from documents) as w where len(ws) >= 5),
+hits as (
+  select doc_id, license, m, length, sh,
+    unnest(range(cast(ceil(greatest(pos - length + 1, 0) / step) as bigint), pos // step + 1)) * step as start
+  from have join wanted using (sh) join shapes using (license)),
+windows as (
+  select doc_id, license, length, start, count(distinct sh) / m as containment
+  from hits group by doc_id, license, m, length, start)
+select doc_id, license, containment, start as first_word, start + length + 3 as last_word
+from (select *, row_number() over (partition by doc_id, license order by containment desc, start) as place
+      from windows where containment >= 0.8) as best where place = 1"""
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 ORACLE = {
+    "op3_license_scan": _license_sql(),
+    "op5_jaccard_join": rf"""
+with recursive w as (
+  select doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws
+  from documents),
+s as (
+  select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+    else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) end) as sh
+  from w),
+n as (select doc_id, count(*) as n from s group by doc_id),
+shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from s as a join s as b on a.sh = b.sh and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id),
+links as (
+  select x, y from shared join n as nx on nx.doc_id = x join n as ny on ny.doc_id = y
+  where 100 * c >= 80 * (nx.n + ny.n - c)),
+reach as (
+  select doc_id, doc_id as root from documents
+  union
+  select y, root from reach join links on x = reach.doc_id)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, r.component_id
+from documents as d left join n using (doc_id)
+join (select doc_id, min(root) as component_id from reach group by doc_id) as r using (doc_id)""",
     "op2_line_dedup": r"""
 with lines as (
   select doc_id, coalesce('s' || source, 'none') as site, unnest(string_split(text, chr(10))) as line,
