@@ -18,60 +18,27 @@ SESSION_MEASURES = (
 
 
 def _session_cells(events: DataFrame) -> DataFrame:
-    """Events folded to cells per session: one per (category, device), one per product.
+    """Events folded to cells per session: one for all events, one per product, category and device.
 
-    Each event yields a base row, and a second row if it names a product. Grouping by
-    session and cell spreads a hot session over many tasks, and partial aggregation leaves
-    few rows of it to shuffle. The product cells make the later distinct count a plain one.
+    Grouping by session and cell spreads a hot session over many tasks, and partial aggregation
+    leaves few rows of it to shuffle. The product cells make the later distinct count a plain
+    one, and the category and device cells are the session's tallies already.
     """
-    product = F.col("product_id")
-    no_product = F.lit(None).cast("string")
-    rows = events.select(
-        *SESSION_KEYS,
-        "event_type",
-        "event_timestamp",
-        "product_category",
-        F.col("device_info.type").alias("device"),
-        F.explode(
-            F.when(product.isNotNull(), F.array(no_product, product)).otherwise(
-                F.array(no_product)
-            )
-        ).alias("product"),
-    )
-    base = F.col("product").isNull()
-    return (
-        rows.withColumns(
-            {
-                "category": F.when(base, F.col("product_category")),
-                "device": F.when(base, F.col("device")),
-            }
-        )
-        .groupBy(*SESSION_KEYS, "product", "category", "device")
-        .agg(
-            F.count_if(base).alias("n"),
-            F.count_if(base & is_type("add_to_cart")).alias("carts"),
-            F.count_if(base & is_type("purchase")).alias("purchases"),
-            F.count_if(base & is_type("search")).alias("searches"),
-            F.min("event_timestamp").alias("first_at"),
-            F.max("event_timestamp").alias("last_at"),
-        )
-    )
-
-
-def _tally(cells: Column, field: str) -> Column:
-    """Sorted array<struct<value, n>> of one field of the collected cells."""
-    known = F.filter(cells, lambda c: c[field].isNotNull())
-    values = F.array_sort(F.array_distinct(F.transform(known, lambda c: c[field])))
-    return F.transform(
-        values,
-        lambda v: F.struct(
-            v.alias("value"),
-            F.aggregate(
-                F.filter(known, lambda c: c[field] == v),
-                F.lit(0).cast("long"),
-                lambda total, c: total + c["n"],
-            ).alias("n"),
-        ),
+    values = {
+        "product": F.col("product_id"),
+        "category": F.col("product_category"),
+        "device": F.col("device_info.type"),
+    }
+    of_event = F.struct(F.lit("event").alias("kind"), F.lit(None).cast("string").alias("value"))
+    named = [F.when(v.isNotNull(), F.struct(F.lit(k).alias("kind"), v.alias("value"))) for k, v in values.items()]
+    rows = events.select(*SESSION_KEYS, "event_type", "event_timestamp", F.inline(F.array_compact(F.array(of_event, *named))))
+    return rows.groupBy(*SESSION_KEYS, "kind", "value").agg(
+        F.count("*").alias("n"),
+        F.count_if(is_type("add_to_cart")).alias("carts"),
+        F.count_if(is_type("purchase")).alias("purchases"),
+        F.count_if(is_type("search")).alias("searches"),
+        F.min("event_timestamp").alias("first_at"),
+        F.max("event_timestamp").alias("last_at"),
     )
 
 
@@ -84,36 +51,29 @@ def session_metrics(events: DataFrame) -> DataFrame:
     events stays a small row (`with_full_lists` spells the repeats out). device_type is the
     device of the session's first event.
     """
-    cell = F.struct("category", "device", "n", "first_at")
-    sessions = (
+
+    def of(kind: str, value: Column) -> Column:
+        return F.when(F.col("kind") == kind, value)
+
+    tally = F.struct(F.col("value").alias("value"), F.col("n").alias("n"))
+    first = F.when(F.col("first_at").isNotNull(), F.struct("first_at", "value"))
+    counted = (
         _session_cells(events)
         .groupBy(*SESSION_KEYS)
         .agg(
-            F.sum("n").alias("page_views"),
-            F.count("product").alias("unique_products_viewed"),
-            F.sum("carts").alias("add_to_cart_events"),
-            F.sum("purchases").alias("purchase_events"),
-            F.sum("searches").alias("search_events"),
+            F.sum(of("event", F.col("n"))).alias("page_views"),
+            F.count(of("product", F.col("value"))).alias("unique_products_viewed"),
+            F.sum(of("event", F.col("carts"))).alias("add_to_cart_events"),
+            F.sum(of("event", F.col("purchases"))).alias("purchase_events"),
+            F.sum(of("event", F.col("searches"))).alias("search_events"),
             F.min("first_at").alias("session_start"),
             F.max("last_at").alias("session_end"),
-            # One cell per distinct (category, device) pair of the session, not per event.
-            F.collect_list(F.when(F.col("product").isNull(), cell)).alias("cells"),
-        )
-    )
-    cells = F.col("cells")
-    first = F.array_min(
-        F.transform(
-            F.filter(cells, lambda c: c["device"].isNotNull() & c["first_at"].isNotNull()),
-            lambda c: F.struct(c["first_at"], c["device"]),
+            # One entry per distinct category and per distinct device of the session.
+            F.array_sort(F.collect_list(of("category", tally))).alias("category_counts"),
+            F.array_sort(F.collect_list(of("device", tally))).alias("device_counts"),
+            F.min(of("device", first))["value"].alias("device_type"),
         )
     )
-    counted = sessions.withColumns(
-        {
-            "category_counts": _tally(cells, "category"),
-            "device_counts": _tally(cells, "device"),
-            "device_type": first["device"],
-        }
-    )
     seconds = F.unix_timestamp("session_end") - F.unix_timestamp("session_start")
     return counted.select(
         *SESSION_KEYS,
