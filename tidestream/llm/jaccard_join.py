@@ -404,9 +404,11 @@ def keep_one_per_component(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
     Empty documents and rows without an id stay. Repeated rows of a document that stays are
-    folded into one. Columns and their order are those of `docs`.
+    folded into one. An id that stands for several texts goes only if all of them go. Columns
+    and their order are those of `docs`.
     """
-    found = jaccard_components(docs, percent)
-    drop = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    found = jaccard_components(docs, percent).where("doc_id is not null")
+    stays = F.max(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    drop = found.groupBy(F.col("doc_id").alias("__gone")).agg(stays.alias("__stays")).where("not __stays").select("__gone")
     kept = docs.join(drop, F.col("doc_id") == F.col("__gone"), "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])
