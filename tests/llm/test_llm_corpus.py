@@ -166,7 +166,8 @@ def test_pipeline_against_brute_force(spark, sf_dir):
 
     known = stages["language_id"](spark, docs, sf_dir)
     answers = {r.doc_id: r for r in identify(docs, fit_languages(docs)).collect()}
-    wanted = [d for d, r in answers.items() if r.lang_pred != "und" and r.cosine >= 0.02]
+    few = {r.doc_id for r in docs.collect() if sum(c.isalpha() for c in r.text) < 20}
+    wanted = [d for d, r in answers.items() if r.lang_pred != "und" and (r.cosine >= 0.02 or d in few)]
     known = spark.createDataFrame(known.collect(), known.schema)
     assert sorted(known.columns) == columns and sorted(r.doc_id for r in known.collect()) == sorted(wanted)
 

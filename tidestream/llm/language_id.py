@@ -55,7 +55,7 @@ class Profiler:
         self.letters = [np.roll(letters, shift, axis=1) for shift in (2, 1, 0)]
 
     def vectors(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
-        """A unit vector per text (0 for a text without letters), and whether it has letters."""
+        """A unit vector per text (0 for a text without letters), and how many letters it has."""
         texts = piece.texts()
         lengths = np.array([len(t) for t in texts])
         codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -63,7 +63,7 @@ class Profiler:
         kept = np.ones(len(classes), bool)
         kept[1:] = (classes[1:] > 0) | (classes[:-1] > 0) | (owner[1:] != owner[:-1])
         classes, owner = classes[kept].astype(np.int64), owner[kept]
-        has_letters = np.bincount(owner[classes > 0], minlength=len(texts)) > 0
+        letters = np.bincount(owner[classes > 0], minlength=len(texts))
         # A boundary on both sides of every text.
         ends = np.cumsum(np.bincount(owner, minlength=len(texts)))
         starts = np.concatenate([[0], ends[:-1]])
@@ -84,7 +84,7 @@ class Profiler:
         bound = self.letters[0][used // LETTERS**2] * self.letters[1][used // LETTERS % LETTERS] * self.letters[2][used % LETTERS]
         sums = counts.astype(np.float32) @ bound.astype(np.float32)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
-        return sums / np.maximum(norms, 1e-9), has_letters
+        return sums / np.maximum(norms, 1e-9), letters
 
 
 @dataclass
@@ -131,17 +131,18 @@ def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageMo
     return LanguageModel(languages, prototypes.astype(np.float32))
 
 
-def predict(profiler: Profiler, model: LanguageModel, piece: Piece) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, score and largest cosine of every text of a piece."""
-    vectors, has_letters = profiler.vectors(piece)
+def predict(profiler: Profiler, model: LanguageModel, piece: Piece) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, largest cosine and number of letters of every text of a piece."""
+    vectors, letters = profiler.vectors(piece)
+    has_letters = letters > 0
     if not model.languages:
-        return [UNKNOWN] * len(piece), np.zeros(len(piece)), np.zeros(len(piece))
+        return [UNKNOWN] * len(piece), np.zeros(len(piece)), np.zeros(len(piece)), letters
     cosines = (vectors @ model.prototypes.T).astype(np.float64)
     best = cosines.argmax(axis=1)
     shares = np.exp(SHARPNESS * (cosines - cosines.max(axis=1, keepdims=True)))
     score = np.where(has_letters, 1.0 / shares.sum(axis=1), 0.0)
     names = [model.languages[k] if known else UNKNOWN for k, known in zip(best, has_letters)]
-    return names, score, np.where(has_letters, cosines.max(axis=1), 0.0)
+    return names, score, np.where(has_letters, cosines.max(axis=1), 0.0), letters
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
@@ -156,7 +157,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
         profiler = Profiler()
         for batch in batches:
             for piece in pieces(batch.column(1)):
-                names, score, cosine = predict(profiler, model, piece)
+                names, score, cosine, _ = predict(profiler, model, piece)
                 columns = [batch.column(0)[piece.rows], pa.array(names, pa.string()), pa.array(score), pa.array(cosine)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang_pred", "score", "cosine"])
 
@@ -165,11 +166,12 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cosine")
 
 
-def keep_known_languages(docs: DataFrame, model: LanguageModel, min_cosine: float = 0.02) -> DataFrame:
+def keep_known_languages(docs: DataFrame, model: LanguageModel, min_cosine: float = 0.02, min_letters: int = 20) -> DataFrame:
     """The documents whose text is in one of the model's languages, with their own columns.
 
-    Rejected are texts without letters and texts that are like no prototype (cosine below
-    `min_cosine`, about half a standard deviation of unrelated vectors).
+    Rejected are texts without letters, and texts of at least `min_letters` letters that are like
+    no prototype (cosine below `min_cosine`, less than unrelated vectors of 1,024 places differ
+    by chance). Shorter texts have too few trigrams to be told apart from any language and stay.
     """
     names = [f.name for f in docs.schema.fields]
     at = names.index("text")
@@ -178,8 +180,8 @@ def keep_known_languages(docs: DataFrame, model: LanguageModel, min_cosine: floa
         profiler = Profiler()
         for batch in batches:
             for piece in pieces(batch.column(at)):
-                langs, _, cosine = predict(profiler, model, piece)
-                keep = (np.array(langs, object) != UNKNOWN) & (cosine >= min_cosine)
+                langs, _, cosine, letters = predict(profiler, model, piece)
+                keep = (np.array(langs, object) != UNKNOWN) & ((cosine >= min_cosine) | (letters < min_letters))
                 yield batch.slice(piece.rows.start, len(piece)).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,8 @@ from tidestream.llm.words import pieces
 
 GRADES = 4
 EPOCHS = 4
-THRESHOLD = 0.5
+THRESHOLD = 0.25
+L1 = 4.0
 MIN_DOCUMENTS = 5
 MIN_LOG_ODDS = 3.0
 MIN_GAP = 0.05
@@ -53,7 +54,7 @@ def grades_from_labels(features: list[np.ndarray], toxic: np.ndarray, grades: in
 
 def train(features: list[np.ndarray], grades: np.ndarray, levels: int = GRADES, epochs: int = EPOCHS, **settings) -> OrdinalModel:
     """FTRL updates of the shared weights, adaptive gradient steps of the ordered thresholds."""
-    model, order = Ftrl(**{"l1": 2.0, **settings}), np.random.default_rng(20240101)
+    model, order = Ftrl(**{"l1": L1, **settings}), np.random.default_rng(20240101)
     above = np.array([(grades >= k).mean() for k in range(1, levels)]) if len(grades) else np.full(levels - 1, 0.5)
     start = np.clip(above, 1e-3, 1 - 1e-3)
     thresholds = np.log(1 - start) - np.log(start)
@@ -99,7 +100,8 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     """One row per document row: doc_id, held_out, severity, grade, score, predicted, toxic.
 
     `severity` is the expected grade (0 to 3), `grade` the likeliest one, `score` the probability
-    of any toxicity; `predicted` is 1 and `toxic` true if that is at least 0.5. A null or empty text scores like a
+    of any toxicity; `predicted` is 1 and `toxic` true if that is at
+    least 0.25. A null or empty text scores like a
     text without features; null ids and repeated rows are scored like any other.
     """
     weights, thresholds = model.weights.astype(np.float32), model.thresholds
