@@ -80,7 +80,7 @@ def refresh_days(spark: SparkSession, lake: str, days: set, schema: T.StructType
         events.unpersist()
 
 
-def process_batch(
+def store_batch(
     events: DataFrame,
     lake: str,
     batch_id: str,
@@ -89,26 +89,33 @@ def process_batch(
     keep_rejected: bool = False,
     refresh: bool = True,
     spark: SparkSession | None = None,
-) -> DataFrame:
-    """Store a batch of events and refresh the metrics of its days; returns the batch summary.
+) -> tuple[list, T.StructType]:
+    """Store a batch of events and refresh the metrics of its days.
 
     Running a batch_id again replaces what it wrote before, also if fewer or no events are
     left. Late events go to their own day, whose metrics are computed anew. Without `refresh`
     only the raw table is written, for a job that calls `refresh_days` at longer intervals.
-    `spark` is the session for the metrics, by default that of the events.
+    `spark` is the session for the metrics, by default that of the events. Returns the hours
+    that got rows and the schema of the raw table.
     """
     spark = spark or events.sparkSession
     events = conform_events(events)
     enriched = enrich_events(validate_events(events, accept_carts=True), processed_at, batch_id)
-    path = raw_path(f"{lake}/raw", topic)
     filled, touched = write_raw(enriched, f"{lake}/raw", batch_id, topic)
     if keep_rejected:
         write_quarantine(rejected_rows(events), f"{lake}/raw", batch_id, topic)
     schema = add_time_partitions(enriched).schema
     if refresh:
         refresh_days(spark, lake, {part[:3] for part in touched}, schema, topic)
-    folders = [batch_path(part_path(path, part), batch_id) for part in sorted(filled, key=repr)]
-    stored = read_parts(spark, path, folders, schema)
+    return sorted(filled, key=repr), schema
+
+
+def process_batch(events: DataFrame, lake: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC, **options) -> DataFrame:
+    """`store_batch`, and the summary of what the batch has stored."""
+    filled, schema = store_batch(events, lake, batch_id, topic, **options)
+    path = raw_path(f"{lake}/raw", topic)
+    folders = [batch_path(part_path(path, part), batch_id) for part in filled]
+    stored = read_parts(options.get("spark") or events.sparkSession, path, folders, schema)
     return m.processing_summary(stored).withColumn("batch_id", F.lit(batch_id))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidestream.constants import BATCH_INTERVAL, CLICKSTREAM_TOPIC
 from tidestream.operators.enrich import add_event_time
 from tidestream.operators.quality import is_valid
-from tidestream.plans.batch import process_batch
+from tidestream.plans.batch import store_batch
 from tidestream.schemas import CORRUPT_COLUMN
 from tidestream.sinks.lake import write_quarantine
 from tidestream.sources.messages import route_topics, well_formed
@@ -106,7 +106,7 @@ def start_clickstream(
     interval: str | None = BATCH_INTERVAL,
     refresh: bool = True,
 ) -> StreamingQuery:
-    """Each micro-batch through `process_batch`; without an interval, whatever is there now.
+    """Each micro-batch through `store_batch`; without an interval, whatever is there now.
 
     All valid events are stored, late ones too, and the metrics of the days they belong to are
     computed anew; with `refresh` off they are left to a scheduled `refresh_days`. A batch is
@@ -117,7 +117,7 @@ def start_clickstream(
 
     def store(batch: DataFrame, number: int) -> None:
         batch_id = f"stream_{query_identity(spark, checkpoint)}_{number}"
-        process_batch(batch, lake, batch_id, topic, refresh=refresh, spark=spark)
+        store_batch(batch, lake, batch_id, topic, refresh=refresh, spark=spark)
 
     writer = stored_stream(events).writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
