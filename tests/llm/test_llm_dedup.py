@@ -67,10 +67,11 @@ def test_sliced_batches_and_nulls():
     assert sizes == [0, 2, 1]
 
 
-@pytest.mark.parametrize("block", [4_000_000, 150])
-def test_jaccard_components(spark, monkeypatch, block):
-    """All links, also where candidate groups are cut into blocks."""
+@pytest.mark.parametrize("block, megabytes", [(4_000_000, 0), (150, 0), (4_000_000, 500_000)])
+def test_jaccard_components(spark, monkeypatch, block, megabytes):
+    """All links, also where candidate groups are cut into blocks or there are very many buckets."""
     monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(jaccard_join, "text_bytes", lambda docs: megabytes << 20)
     rows = near_copies()
     rows += rows[:3] + [(None, rows[0][1], None), (None, "nothing like it at all here", None)]
     got = jaccard_join.jaccard_components(table(spark, rows).repartition(3)).collect()

@@ -30,16 +30,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidestream.llm.exact_dedup import bit_is_set, bitmaps, filter_bits
-from tidestream.llm.storage import components, small_batches, stored, text_bytes
+from tidestream.llm.storage import components, small_batches, text_bytes
 from tidestream.llm.words import mix, pieces, shingle_sets, sums_by_text
+from tidestream.session import stored
 
 SHINGLE_WORDS = 5
 SIMILARITY_PERCENT = 80
 BUCKET_BYTES = 6 << 20
-MAX_BUCKETS = 1 << 16
+MAX_BUCKETS = 1 << 20
 BLOCK_SHINGLES = 4_000_000
 ROOM_SHINGLES = 500_000
 CHUNK_SHINGLES = 400_000
+CHUNK_SHINGLES_PER_BUCKET = 8  # so that a packed row holds several shingles also with many buckets
 CHUNK_DOCS = 60_000
 ORDERS = 3
 
@@ -67,11 +69,12 @@ def _signatures(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
 class _Chunk:
     """Some hundred thousand shingles of documents on their way into the buckets."""
 
-    def __init__(self, number: int):
+    def __init__(self, number: int, buckets: int):
+        self.buckets, self.most = buckets, max(CHUNK_SHINGLES, CHUNK_SHINGLES_PER_BUCKET * buckets)
         self.number, self.ids, self.facts, self.tokens, self.docs, self.size = number, [], [], [], [], 0
 
     def room_for(self, ids: list, values: np.ndarray) -> bool:
-        return not self.ids or (len(self.ids) + len(ids) <= CHUNK_DOCS and self.size + len(values) <= CHUNK_SHINGLES)
+        return not self.ids or (len(self.ids) + len(ids) <= CHUNK_DOCS and self.size + len(values) <= self.most)
 
     def add(self, ids: list, values: np.ndarray, first: np.ndarray) -> None:
         n = np.diff(first)
@@ -81,9 +84,10 @@ class _Chunk:
         self.ids += ids
         self.size += len(values)
 
-    def batch(self, buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+    def batch(self, schema: pa.Schema) -> pa.RecordBatch:
+        buckets = self.buckets
         tokens, docs = np.concatenate(self.tokens), np.concatenate(self.docs)
-        bucket = ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint16)
+        bucket = ((tokens >> np.uint64(40)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
         order = np.argsort(bucket, kind="stable")
         at = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
         low, docs = tokens[order].astype(np.uint32), docs[order]
@@ -132,16 +136,16 @@ def _scan(buckets: int, sets_of):
         from pyspark import TaskContext
 
         schema, number = _arrow_schema(_SCAN), TaskContext.get().partitionId() << 32
-        chunk = _Chunk(number)
+        chunk = _Chunk(number, buckets)
         for batch in batches:
             for ids, values, first in sets_of(batch):
                 if not chunk.room_for(ids, values):
-                    yield chunk.batch(buckets, schema)
+                    yield chunk.batch(schema)
                     number += 1
-                    chunk = _Chunk(number)
+                    chunk = _Chunk(number, buckets)
                 chunk.add(ids, values, first)
         if chunk.ids:
-            yield chunk.batch(buckets, schema)
+            yield chunk.batch(schema)
 
     return run
 
@@ -349,7 +353,7 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     small_batches(docs.sparkSession)
-    buckets = min(MAX_BUCKETS - 1, max(16, math.ceil(text_bytes(docs) / BUCKET_BYTES)))
+    buckets = min(MAX_BUCKETS, max(16, math.ceil(text_bytes(docs) / BUCKET_BYTES)))
     scanned = docs.mapInArrow(_scan(buckets, _text_sets), _SCAN)
     counted = scanned.groupBy("p").applyInArrow(_count_bucket, _COUNTS)
     facts = stored(counted.groupBy("chunk").applyInArrow(_sum_chunk(percent), _FACTS), "jaccard-facts")

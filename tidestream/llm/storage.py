@@ -1,25 +1,11 @@
-"""Intermediate tables in the folder that all executors share, and connected components."""
+"""Reading documents, batch sizes, and connected components over stored intermediate tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestream.session import ensure_checkpoint_dir
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame once and read it back, so that later steps never recompute it.
-
-    The files lie in the checkpoint folder (`spark.checkpoint.dir`), survive the loss of
-    executors, and are columnar: later steps read the columns they need.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from tidestream.session import stored
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
