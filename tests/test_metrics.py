@@ -8,10 +8,10 @@ import pytest
 from helpers import assert_same, event, events_frame, one
 from pyspark.sql import functions as F
 
-from tidestream.sources import testdata
 from tidestream.operators import features, metrics, predictions, sessions, windows
 from tidestream.operators.enrich import enrich_events
 from tidestream.operators.sessions import SESSION_KEYS
+from tidestream.sources import testdata
 
 
 def enriched(spark, *rows):
@@ -204,3 +204,13 @@ def test_drift_flags_large_changes_of_shared_metrics(spark):
     now = spark.createDataFrame([("avg_predicted_probability", 0.3), ("other", 9.0)], schema)
     row = one(predictions.prediction_drift(now, base))
     assert row["metric"] == "avg_predicted_probability" and row["drift_detected"]
+
+
+def test_approximate_distinct_counts_take_one_pass(spark):
+    rows = spark.range(20_000).selectExpr("concat('u', id % 3000) user_id", "concat('s', id % 900) session_id", "concat('P', id % 40) product_id")
+    exact, rough = (one(metrics.processing_summary(rows, approximate)) for approximate in (False, True))
+    assert rough["total_events_processed"] == exact["total_events_processed"]
+    for name in ("unique_users", "unique_sessions", "unique_products"):
+        assert abs(rough[name] - exact[name]) <= 0.15 * exact[name]
+    plans = [metrics.processing_summary(rows, a)._jdf.queryExecution().executedPlan().toString() for a in (False, True)]
+    assert "Expand" in plans[0] and "Expand" not in plans[1]

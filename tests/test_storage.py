@@ -82,6 +82,21 @@ def test_batches_of_one_day_and_a_repeat_that_is_empty(spark, tmp_path):
     assert quarantine.count() == 0
 
 
+def test_batches_without_valid_events_and_days_that_empty(spark, tmp_path):
+    """Rows that vanish only while the job runs, in a plan that can't know it."""
+    path, bad = str(tmp_path), event("1", user_id=None)
+    folder = f"{path}/in"
+    events_frame(spark, bad, bad).write.parquet(folder)
+    summary = one(process_batch(spark.read.parquet(folder), path, "b1", keep_rejected=True))
+    assert summary["total_events_processed"] == 0
+    process_batch(events_frame(spark, event("2")), path, "b2")
+    process_batch(spark.read.parquet(folder), path, "b2")
+    for name in TABLES:
+        table = lake.part_path(lake.metric_path(f"{path}/processed", name), (2024, 1, 5))
+        assert spark.read.schema("event_date DATE").parquet(table).count() == 0
+    assert spark.read.schema("event_id STRING").parquet(lake.raw_path(f"{path}/raw")).count() == 0
+
+
 def test_conversion_rates_of_products_in_carts(spark, tmp_path):
     """Views and cart adds name a brand, carts do not; all are one product."""
     named = {"product_name": "Shoe", "product_brand": "Acme"}
