@@ -61,6 +61,17 @@ def test_late_rows_are_dropped(spark, inbox, tmp_path):
     assert {r["window_start"].hour for r in rows} == {10, 12}
 
 
+def test_rows_dropped_for_being_late_are_counted(spark, inbox, tmp_path):
+    stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1))
+    minutes = windows.category_minute(stream)
+    inbox(event("1", at="2024-01-05T12:00:00Z"))
+    inbox(event("2", at="2024-01-05T12:30:00Z"))
+    inbox(event("late", at="2024-01-05T09:00:00Z"), event("3", at="2024-01-05T12:31:00Z"))
+    query = queries.start_window_table(minutes, f"{tmp_path}/out", f"{tmp_path}/cp", interval=None)
+    query.awaitTermination()
+    assert queries.dropped_rows(query) == 1
+
+
 @pytest.mark.parametrize("salts", [0, 3])
 def test_duplicates_across_batches(spark, inbox, tmp_path, salts):
     def sent(event_id, offset):
