@@ -10,11 +10,13 @@ import pytest
 from compare import differences, duck
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).parent))
 
 import brute  # noqa: E402
 
+import corpus_pipeline  # noqa: E402
 from tidestream.llm import jaccard_join, license_scan, line_dedup  # noqa: E402
 from tidestream.llm.catalog import QUERIES  # noqa: E402
 from tidestream.llm.exact_dedup import exact_groups  # noqa: E402
@@ -179,6 +181,16 @@ def test_line_dedup_by_sites(spark):
     assert found[3][0].key == "k"
 
 
+def test_pipeline_removes_short_lines_by_sites_alone(spark):
+    """Labels of one or two words go at the threshold of sites, stay below it; blank lines stay."""
+    rows = [(k, f"Read more\n\n  Of. \nown line of {k}\n ", f"s{k}") for k in range(10)]
+    rows += [(50 + k, f"Nine sites\nNine\ntext {k} stays here", f"s{k}") for k in range(9)]
+    docs = table(spark, rows).withColumn("n_chars", F.lit(0).cast("long"))
+    found = {r.doc_id: r for r in corpus_pipeline.line_stage(spark, docs, "").collect()}
+    assert found[3].text == "\nown line of 3\n " and found[3].n_chars == 16
+    assert found[55].text == "Nine sites\nNine\ntext 5 stays here"
+
+
 def test_line_dedup_counts_a_null_site_once(spark):
     rows = [(k, "shared line here", None if k < 5 else f"s{k}") for k in range(13)]
     found = line_dedup.boilerplate_lines(table(spark, rows)).count()

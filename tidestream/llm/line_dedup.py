@@ -26,21 +26,21 @@ def _lines(text: Column) -> Column:
     return F.split(text, "\n")
 
 
-def _key(line: Column) -> Column:
-    """The hash of a line without outer blanks; null for lines too short to be boilerplate."""
+def _key(line: Column, min_words: int) -> Column:
+    """The hash of a line without outer blanks; null for blank lines and those of too few words."""
     bare = F.btrim(line, F.lit(_BLANKS))
-    long_enough = bare.rlike(r"^\S+" + r"[\x20\x09-\x0D]+\S+" * (MIN_WORDS - 1))
+    long_enough = bare.rlike(r"^\S+" + r"[\x20\x09-\x0D]+\S+" * (min_words - 1))
     return F.when(long_enough, F.xxhash64(bare))
 
 
-def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def boilerplate_lines(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """Hashes of the lines found on at least `min_sites` different sources, as rows (key).
 
-    A null source counts as one site.
+    A null source counts as one site. With `min_words` 1 every line that is not blank counts.
     """
     site = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("none"))
     lines = docs.select(site.alias("site"), F.explode(_lines(F.col("text"))).alias("line"))
-    lines = lines.select("site", _key(F.col("line")).alias("key")).where("key is not null")
+    lines = lines.select("site", _key(F.col("line"), min_words).alias("key")).where("key is not null")
     sketches = lines.groupBy("key").agg(F.hll_sketch_agg("site", F.lit(LOG_SKETCH_SIZE)).alias("sketch"))
     spread = sketches.select("key", F.hll_sketch_estimate("sketch").alias("sites"))
     wide = stored(spread.where(F.col("sites") >= min_sites * (1 - MARGIN)), "line-spread")
@@ -59,18 +59,18 @@ def _without(lines: Column, gone: Column) -> Column:
     return F.array_join(kept, "\n")
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
     """All rows of `docs` with boilerplate lines removed from `text`, plus two counts.
 
     `__lines` is the number of lines of the text and `__removed` how many went. Lines are what
-    lies between line feeds, compared without outer blanks; lines of fewer than three words
-    always stay. A text without boilerplate is unchanged, a null text stays null, and a text
+    lies between line feeds, compared without outer blanks; blank lines and lines of fewer
+    than `min_words` words always stay. A text without boilerplate is unchanged, a null text stays null, and a text
     of boilerplate alone becomes empty. Rows with the same text, null ids and repeated rows
     all keep their row; other columns pass through.
     """
-    boilerplate = boilerplate_lines(docs, min_sites)
+    boilerplate = boilerplate_lines(docs, min_sites, min_words)
     lines = docs.select(F.md5(F.col("text").cast("binary")).alias("t"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
-    hits = lines.select("t", "pos", _key(F.col("line")).alias("key")).join(boilerplate, "key")
+    hits = lines.select("t", "pos", _key(F.col("line"), min_words).alias("key")).join(boilerplate, "key")
     gone = hits.groupBy("t").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
     keyed = docs.withColumn("__t", F.md5(F.col("text").cast("binary")))
     marked = keyed.join(gone.withColumnRenamed("t", "__t"), "__t", "left").drop("__t")
