@@ -236,6 +236,39 @@ def test_license_scan_against_brute_force(spark):
     assert sorted(map(repr, got)) == sorted(map(repr, wanted))
 
 
+def test_license_scan_of_short_notices(spark):
+    """A notice of fewer than five words is found wherever all its words stand in a row, and nowhere else."""
+    notices = {**license_scan.NOTICES, **license_scan.SHORT_NOTICES, "unlicensed": "UNLICENSED"}
+    texts = ["All rights reserved.", "(c) me. ALL  RIGHTS\nreserved! more", "all rights are reserved", "all rights", None, "", "unlicensed",
+             "some words, all rights reserved, Released under the MIT License."]
+    rows = [(k, t, "s") for k, t in enumerate(texts)]
+    found = {tuple(r) for r in license_scan.scan_licenses(table(spark, rows), notices).collect()}
+    assert found == {
+        (0, "all-rights-reserved", 1.0, 0, 2),
+        (1, "all-rights-reserved", 1.0, 2, 4),
+        (6, "unlicensed", 1.0, 0, 0),
+        (7, "all-rights-reserved", 1.0, 2, 4),
+        (7, "mit", 1.0, 5, 9),
+    }
+
+
+def test_license_headers_and_texts(spark):
+    """Standard headers are found, and no other version or license of the family with them."""
+    gnu = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1}General Public License as published by the Free Software Foundation; either version {2} of the License, or (at your option) any later version."
+    headers = {
+        "gpl-2.0-header": gnu.format("program", "", "2"),
+        "gpl-3.0-header": gnu.format("program", "", "3"),
+        "lgpl-2.0-header": gnu.format("library", "Library ", "2"),
+        "lgpl-2.1-header": gnu.format("library", "Lesser ", "2.1"),
+        "lgpl-3.0-header": gnu.format("library", "Lesser ", "3"),
+        "agpl-3.0-header": gnu.format("program", "Affero ", "3"),
+    }
+    headers |= {k: v for k, v in license_scan.LICENSE_TEXTS.items() if k not in headers}
+    rows = [(k, f"some words before\n{text} and after it", "s") for k, text in enumerate(headers.values())]
+    found = license_scan.scan_licenses(table(spark, rows)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == list(enumerate(headers))
+
+
 def test_band_settings_keep_their_promise():
     for m in (1, 3, 8, 50, 400):
         length, step, bands = license_scan.window_plan(m)

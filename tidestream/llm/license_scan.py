@@ -2,7 +2,8 @@
 
 Words are the runs of a-z and 0-9 of the lower-cased text. A notice is the set of hashes of its
 five-word shingles, and it is in a document if at least 0.8 of them lie in one window of the
-document. For a notice of m shingles the windows hold m + s - 1 shingles and begin every
+document. A notice of fewer words is one shingle, its whole word sequence, and is compared with
+the document's runs of that length in the same way. For a notice of m shingles the windows hold m + s - 1 shingles and begin every
 s = max(1, m div 4), so any occurrence lies whole in some window. A window and a notice it holds
 then have a Jaccard similarity of at least 0.8 m / (m + s - 1 + 0.2 m), from which the number of
 MinHash bands follows: at least one band of the two agrees with a probability of 0.9999. Windows
@@ -15,8 +16,9 @@ The notices are a short list given by the caller, and they travel in the plan as
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidestream.session import stored
@@ -42,15 +44,106 @@ NOTICES = {
     ),
 }
 
+# Standard headers and characteristic passages of license texts. The GNU passages
+# are short enough that another version or another license of the family stays below 0.8.
+LICENSE_TEXTS = {
+    "mit-conditions": (
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        'of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING '
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."
+    ),
+    "bsd-conditions": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met"
+    ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission."
+    ),
+    "bsd-disclaimer": (
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+        "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+        "PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "isc-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ),
+    "gpl-2.0-header": (
+        "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"
+    ),
+    "gpl-3.0-header": (
+        "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"
+    ),
+    "lgpl-2.0-header": (
+        "under the terms of the GNU Library General Public License as published by the Free Software Foundation; "
+        "either version 2 of the License"
+    ),
+    "lgpl-2.1-header": (
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License"
+    ),
+    "lgpl-3.0-header": (
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License"
+    ),
+    "agpl-3.0-header": (
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License"
+    ),
+    "gnu-text": (
+        "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+    ),
+    "apache-2.0-header": (
+        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+        "http://www.apache.org/licenses/LICENSE-2.0"
+    ),
+    "apache-2.0-text": (
+        '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 '
+        "through 9 of this document."
+    ),
+    "mpl-2.0-header": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+    ),
+    "epl-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License"
+    ),
+    "cc-text": (
+        "THE WORK (AS DEFINED BELOW) IS PROVIDED UNDER THE TERMS OF THIS CREATIVE COMMONS PUBLIC LICENSE. THE WORK IS "
+        "PROTECTED BY COPYRIGHT AND/OR OTHER APPLICABLE LAW. ANY USE OF THE WORK OTHER THAN AS AUTHORIZED UNDER THIS "
+        "LICENSE OR COPYRIGHT LAW IS PROHIBITED."
+    ),
+    "cc-4.0-text": (
+        "To the extent this Public License may be interpreted as a contract, You are granted the Licensed Rights in "
+        "consideration of Your acceptance of these terms and conditions, and the Licensor grants You such rights in "
+        "consideration of benefits the Licensor receives from making the Licensed Material available under these terms "
+        "and conditions."
+    ),
+    "cc0-text": (
+        "to the extent that he or she is an owner of Copyright and Related Rights in the Work, voluntarily elects to "
+        "apply CC0 to the Work and publicly distribute the Work under its terms"
+    ),
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+}
+
+# Searched for by default. The SQL of op3_license_scan has NOTICES alone.
+TEMPLATES = {**NOTICES, **LICENSE_TEXTS}
+
+# Not searched for by default: the SQL leaves out notices of fewer than five words.
+SHORT_NOTICES = {"all-rights-reserved": "All rights reserved."}
 
-def _with_shingles(df: DataFrame, name: str) -> DataFrame:
-    """Replace `text` by the hashes of its shingles; rows of fewer than five words have none and go."""
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+
+def _words() -> Column:
+    return F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
+
+
+def _with_shingles(df: DataFrame, name: str, size: int) -> DataFrame:
+    """Replace `text` by the hashes of its shingles of `size` words; rows of fewer words have none and go."""
     others = [c for c in df.columns if c != "text"]
     # The generator makes the words once per row; inlined, they would be made for every shingle.
-    df = df.select(*others, F.explode(F.array(words)).alias("words")).where(F.size("words") >= SHINGLE_WORDS)
-    starts = F.sequence(F.lit(0), F.size("words") - SHINGLE_WORDS)
-    shingle = F.transform(starts, lambda i: F.xxhash64(*[F.col("words")[i + k] for k in range(SHINGLE_WORDS)]))
+    df = df.select(*others, F.explode(F.array(_words())).alias("words")).where(F.size("words") >= size)
+    starts = F.sequence(F.lit(0), F.size("words") - size)
+    shingle = F.transform(starts, lambda i: F.xxhash64(*[F.col("words")[i + k] for k in range(size)]))
     return df.select(*others, shingle.alias(name))
 
 
@@ -72,26 +165,39 @@ def window_plan(m: int, containment: float = CONTAINMENT) -> tuple[int, int, int
     return length, step, math.ceil(math.log(1 - COLLISION_PROBABILITY) / math.log(1 - least))
 
 
-def _notice_table(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
-    """Rows (license, m, notice): the shingle hashes of every notice long enough to have any."""
-    table = spark.createDataFrame(list(notices.items()), "license string, text string")
-    shingles = _with_shingles(table, "shingles").select("license", F.array_sort(F.array_distinct("shingles")).alias("notice"))
+def _notice_table(texts: DataFrame, size: int) -> DataFrame:
+    """Rows (license, m, notice): the shingle hashes of every notice with shingles of `size` words."""
+    shingles = _with_shingles(texts.where(_shingle_size() == size), "shingles", size)
+    shingles = shingles.select("license", F.array_sort(F.array_distinct("shingles")).alias("notice"))
     return shingles.select("license", F.size("notice").alias("m"), "notice")
 
 
+def _shingle_size() -> Column:
+    """How many words the shingles of a notice have: five, or all of a shorter one."""
+    return F.least(F.size(_words()), F.lit(SHINGLE_WORDS))
+
+
 def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, containment: float = CONTAINMENT) -> DataFrame:
     """Rows (doc_id, license, containment, first_word, last_word), one per document row and notice.
 
     `first_word` and `last_word` are the ends (from 0) of the best window, the earliest of
-    equals. Documents without a notice have no row; null and short texts have none. A null
-    doc_id stays null, and repeated rows each give their rows. Notices of fewer than five words
-    can't be searched for. Only `doc_id` and `text` are read.
+    equals. Documents without a notice have no row; null texts have none. A null doc_id stays
+    null, and repeated rows each give their rows. A notice of fewer than five words must occur
+    word for word; one without words can't be searched for. Notices of one, two, three and four
+    words take a pass over the texts for each of these lengths. Only `doc_id` and `text` are read.
     """
-    spark = docs.sparkSession
-    table = _notice_table(spark, NOTICES if notices is None else notices)
+    notices = TEMPLATES if notices is None else notices
+    texts = docs.sparkSession.createDataFrame(list(notices.items()), "license string, text string")
+    sizes = sorted(r.size for r in texts.select(_shingle_size().alias("size")).distinct().collect() if r.size > 0)
+    found = [_scan(docs, _notice_table(texts, size), size, containment) for size in sizes]
+    return reduce(DataFrame.union, found)
+
+
+def _scan(docs: DataFrame, table: DataFrame, size: int, containment: float) -> DataFrame:
+    """The rows of `scan_licenses` for notices with shingles of `size` words."""
     known = table.collect()  # the caller's short list
     everything = _longs(sorted({s for r in known for s in r.notice}))
-    hashed = _with_shingles(docs.select("doc_id", "text"), "shingles").where(F.arrays_overlap("shingles", everything))
+    hashed = _with_shingles(docs.select("doc_id", "text"), "shingles", size).where(F.arrays_overlap("shingles", everything))
     likely = stored(hashed.withColumn("row", F.monotonically_increasing_id()), "license-documents")
 
     plans = [(m, *window_plan(m, containment)) for m in sorted({r.m for r in known})]
@@ -118,5 +224,5 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
         "license",
         F.col("b.containment").alias("containment"),
         first.cast("long").alias("first_word"),
-        (first + F.col("b.length") + SHINGLE_WORDS - 2).cast("long").alias("last_word"),
+        (first + F.col("b.length") + size - 2).cast("long").alias("last_word"),
     )
