@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pathlib
+import random
+import string
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -205,6 +207,32 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     assert {d: n for (d, piece), n in pieces.items() if piece == 0} == dict(copies)
 
 
+def test_language_stage_rejects_junk_and_other_languages(spark, sf_dir):
+    """Clean texts stay, junk and a language that was not learned go, also if they are short."""
+    rng = random.Random(11)
+    kinds = {
+        "words": "abcdefghijklmnopqrstuvwxyz" * 4 + " " * 20,
+        "base64": string.ascii_letters + string.digits + "+/",
+        "hex": "0123456789abcdef",
+        "cyrillic": "абвгдежзийклмнопрстуфхцчшщыьэюя     ",
+        "han": "".join(map(chr, range(0x4E00, 0x5200))),
+    }
+    made = [(kind, "".join(rng.choices(letters, k=n))) for kind, letters in kinds.items() for n in (250, 3000) for _ in range(40)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.createDataFrame([(1_000_000 + k, text, None) for k, (_, text) in enumerate(made)], docs.schema)
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs.union(junk), sf_dir).collect()}
+    passed = Counter(kind for k, (kind, _) in enumerate(made) if 1_000_000 + k in kept)
+    assert all(passed[kind] <= 4 for kind in kinds), passed
+    clean = {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text)}
+    assert len(clean - kept) <= len(clean) // 100
+
+
+def test_language_stage_without_languages_keeps_texts(spark):
+    rows = [(1, "a text of more than twenty letters in no language", None), (2, "12 %%", None), (3, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert [r.doc_id for r in corpus_pipeline.language_stage(spark, docs, "").collect()] == [1]
+
+
 ODD = "doc_id long, text string, lang string, source string, n_chars long, row int, cell string"
 
 

@@ -29,6 +29,10 @@ LETTERS = 128
 SAMPLE_ROWS = 4_000
 UNKNOWN = "und"
 SHARPNESS = 20.0
+MIN_LETTERS = 20
+LENGTH_CLASSES = 8  # each of twice the letters of the one before it, from MIN_LETTERS on; the last is open
+BOUND_QUANTILE = 0.01
+NOISE = 5 / PLACES**0.5  # five standard deviations of the cosine of unrelated vectors
 
 
 def letter_classes() -> np.ndarray:
@@ -93,6 +97,17 @@ class LanguageModel:
     prototypes: np.ndarray
 
 
+def _sample(docs: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[str, int]]:
+    """Documents to learn from, and how many of each language there are to choose from."""
+    known = docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return known, counts
+    # One pass over the texts: every language has its own share of the range of the hash.
+    limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, sample_limit(n, sample_rows))])
+    return known.where(sample_place("doc_id") < F.element_at(limits, F.col("lang"))), counts
+
+
 def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Prototypes from the texts and languages of documents that are not held out.
 
@@ -100,13 +115,9 @@ def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageMo
     without language or id teach nothing.
     """
     small_batches(docs.sparkSession)
-    known = docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    chosen, counts = _sample(docs, sample_rows)
     if not counts:
         return LanguageModel([], np.zeros((0, PLACES), np.float32))
-    # One pass over the texts: every language has its own share of the range of the hash.
-    limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, sample_limit(n, sample_rows))])
-    chosen = known.where(sample_place("doc_id") < F.element_at(limits, F.col("lang")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler, sums = Profiler(), {}
@@ -166,22 +177,64 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cosine")
 
 
-def keep_known_languages(docs: DataFrame, model: LanguageModel, min_cosine: float = 0.02, min_letters: int = 20) -> DataFrame:
+def length_class(letters: np.ndarray) -> np.ndarray:
+    """The class of texts by their number of letters, -1 below MIN_LETTERS."""
+    return np.searchsorted(MIN_LETTERS << np.arange(LENGTH_CLASSES), letters, "right") - 1
+
+
+def fit_bounds(docs: DataFrame, model: LanguageModel, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
+    """For every length class, the cosine below which a text is in none of the model's languages.
+
+    The bound is what unrelated vectors do not reach by chance, or less if more than a hundredth
+    of the labelled texts of that length, which are not held out, lie below it. The beginnings of
+    longer texts count for the short classes; a class without texts has the bound of the one
+    before it, and before the first class with texts the bound is 0.
+    """
+    small_batches(docs.sparkSession)
+    chosen, counts = _sample(docs, sample_rows)
+    if not counts:
+        return np.zeros(LENGTH_CLASSES)
+    cuts = [F.substring("text", 1, (MIN_LETTERS << k) * 7 // 4) for k in range(LENGTH_CLASSES - 1)]
+    texts = chosen.select(F.explode(F.array_distinct(F.array(*cuts, F.col("text")))).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiler = Profiler()
+        for batch in batches:
+            for piece in pieces(batch.column(0)):
+                _, _, cosine, letters = predict(profiler, model, piece)
+                columns = [pa.array(length_class(letters).astype(np.int32)), pa.array(cosine)]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "cosine"])
+
+    cosines = texts.mapInArrow(run, "class int, cosine double").where("class >= 0")
+    low = cosines.groupBy("class").agg(F.percentile(F.round("cosine", 6), BOUND_QUANTILE).alias("low")).collect()
+    low, bounds = {r["class"]: r.low for r in low}, np.zeros(LENGTH_CLASSES)
+    for k in range(LENGTH_CLASSES):
+        bounds[k] = min(NOISE, low[k]) if k in low else bounds[max(k - 1, 0)]
+    return bounds
+
+
+def keep_known_languages(
+    docs: DataFrame, model: LanguageModel, min_cosine: float = 0.02, min_letters: int = MIN_LETTERS, bounds: np.ndarray | None = None
+) -> DataFrame:
     """The documents whose text is in one of the model's languages, with their own columns.
 
     Rejected are texts without letters, and texts of at least `min_letters` letters that are like
-    no prototype (cosine below `min_cosine`, less than unrelated vectors of 1,024 places differ
-    by chance). Shorter texts have too few trigrams to be told apart from any language and stay.
+    no prototype: their cosine is below `min_cosine` or below the bound of their length class
+    (`fit_bounds`). Shorter texts have too few trigrams to be told apart from any language and
+    stay. If no language could be learned, all texts with letters stay.
     """
     names = [f.name for f in docs.schema.fields]
     at = names.index("text")
+    least = np.maximum(min_cosine, np.zeros(LENGTH_CLASSES) if bounds is None else bounds)
+    learned = bool(model.prototypes.any())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler = Profiler()
         for batch in batches:
             for piece in pieces(batch.column(at)):
-                langs, _, cosine, letters = predict(profiler, model, piece)
-                keep = (np.array(langs, object) != UNKNOWN) & ((cosine >= min_cosine) | (letters < min_letters))
+                _, _, cosine, letters = predict(profiler, model, piece)
+                known = cosine >= least[np.maximum(length_class(letters), 0)]
+                keep = (letters > 0) & (known | (letters < min_letters) | (not learned))
                 yield batch.slice(piece.rows.start, len(piece)).filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
