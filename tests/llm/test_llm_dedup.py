@@ -125,6 +125,21 @@ def test_one_document_per_component(spark):
     assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == sorted(map(repr, wanted))
 
 
+def test_one_document_per_component_without_ids(spark):
+    """A row without an id gives way to one with an id; of rows that all lack it one stays."""
+    texts = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcd"]
+    near = [f"{t} more" for t in texts]
+    rows = [(7, near[0], "s"), (3, texts[0], "s"), (None, texts[0], "s"), (None, near[0].upper(), "s")]
+    rows += [(None, texts[1], "s"), (None, texts[1].upper(), "s"), (None, near[1], "s"), (None, near[1], "s")]
+    rows += [(None, texts[2], "s"), (9, texts[3], "s"), (None, "", "s"), (None, None, "s")]
+    kept = jaccard_join.keep_one_per_component(table(spark, rows).repartition(3)).collect()
+    assert [c for c in kept[0].asDict()] == [c.split()[0] for c in SCHEMA.split(", ")]
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [3, 9]
+    loose = [r.text for r in kept if r.doc_id is None]
+    assert len(loose) == 4 and {"", None, texts[2]} < set(loose)
+    assert sum(t in (texts[1], texts[1].upper(), near[1]) for t in loose) == 1
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_operator_matches_sql(spark, sf_dir, name):
     assert differences(QUERIES[name](spark, sf_dir), duck(sf_dir), ORACLE[name]) is None

@@ -351,6 +351,20 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
     each give a row. Very short texts are one shingle, their whole word sequence. Other columns
     of `docs` are not read.
     """
+    found = _linked(docs, percent)
+    return found.select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
+    )
+
+
+def _linked(docs: DataFrame, percent: int) -> DataFrame:
+    """One row per document row: doc_id, n_shingles, its set's signature, and its component.
+
+    `root` tells components apart, also those without any id; it is null for sets that have no
+    partner and no equal. `component_id` is the smallest doc_id, if there is one.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     small_batches(docs.sparkSession)
     buckets = min(MAX_BUCKETS, max(16, math.ceil(text_bytes(docs) / BUCKET_BYTES)))
@@ -395,24 +409,51 @@ def jaccard_components(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> Da
 
     named = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = named.join(smallest, "root").select("sig_a", "sig_b", "component_id")
-    result = facts.join(by_class, ["sig_a", "sig_b"], "left")
-    return result.select(
-        "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
-    )
+    by_class = named.join(smallest, "root").select("sig_a", "sig_b", "root", "component_id")
+    return facts.join(by_class, ["sig_a", "sig_b"], "left").select("doc_id", "n_shingles", "sig_a", "sig_b", "root", "component_id")
+
+
+def _signed(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` with the size and the signature of their shingle sets."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch.column(at)):
+                values, first = shingle_sets(piece, SHINGLE_WORDS)
+                a, b = _signatures(values, first)
+                rows = batch.slice(piece.rows.start, len(piece))
+                columns = [pa.array(np.diff(first).astype(np.int64)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
+                yield pa.RecordBatch.from_arrays([*rows.columns, *columns], names=[*rows.schema.names, "__n", "__a", "__b"])
+
+    schema = docs.limit(0).withColumns({name: F.lit(0).cast("long") for name in ("__n", "__a", "__b")}).schema
+    return docs.mapInArrow(run, schema)
+
+
+def _one_without_id(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """Of the rows without an id, one of every component that has no id at all, and empty ones."""
+    signed = _signed(docs.where("doc_id is null").dropDuplicates(["text"])).withColumn("__h", F.xxhash64("text"))
+    nameless = found.where("doc_id is null and n_shingles > 0 and component_id is null").select("root", "sig_a", "sig_b").distinct()
+    alone = nameless.where("root is null").select(F.col("sig_a").alias("__a"), F.col("sig_b").alias("__b"))
+    first = nameless.where("root is not null").groupBy("root").agg(F.min(F.struct("sig_a", "sig_b")).alias("s"))
+    stays = alone.union(first.select("s.sig_a", "s.sig_b"))
+    filled = signed.where("__n > 0").join(stays, ["__a", "__b"], "left_semi")
+    # Different texts can have the same set.
+    least = filled.groupBy("__a", "__b").agg(F.min("__h").alias("__h"))
+    kept = filled.join(least, ["__a", "__b", "__h"], "left_semi")
+    return kept.select(docs.columns).union(signed.where("__n = 0").select(docs.columns))
 
 
 def keep_one_per_component(docs: DataFrame, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """The documents without near duplicates: of each component, the one with the smallest id stays.
 
-    Empty documents and rows without an id stay. Repeated rows of a document that stays are
-    folded into one. An id that stands for several texts goes only if all of them go. Columns
+    A row without an id stays only if no row of its component has an id, and then one of them.
+    Empty documents stay. Repeated rows of a document that stays are folded into one. An id that stands for several texts goes only if all of them go. Columns
     and their order are those of `docs`.
     """
-    found = jaccard_components(docs, percent).where("doc_id is not null")
-    stays = F.max(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-    drop = found.groupBy(F.col("doc_id").alias("__gone")).agg(stays.alias("__stays")).where("not __stays").select("__gone")
-    kept = docs.join(drop, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    found = _linked(docs, percent)
+    stays = F.max((F.col("n_shingles") == 0) | F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    known = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__gone"))
+    drop = known.agg(stays.alias("__stays")).where("not __stays").select("__gone")
+    kept = docs.where("doc_id is not null").join(drop, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return kept.dropDuplicates(["doc_id", "text"]).union(_one_without_id(docs, found))
