@@ -16,6 +16,7 @@ from tidestream.llm.line_dedup import remove_boilerplate
 from tidestream.llm.mixing import mix_copies
 from tidestream.llm.packing import pack
 from tidestream.llm.quality import fit_quality, score_quality
+from tidestream.llm.simhash import simhash_components
 from tidestream.llm.storage import read_documents
 from tidestream.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -79,6 +80,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(read_documents(spark, sf_dir))
+    return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,5 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fingerprints,
         op9_packing,
         op10_mixing,
+        op13_simhash,
     )
 }

@@ -36,6 +36,20 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def join_hot(rows: DataFrame, lookup: DataFrame, key: str, count: str) -> DataFrame:
+    """Rows joined with a lookup table of unique keys that says how often each key occurs.
+
+    Keys that hold more than a thousandth of all rows, fewer than a thousand of them, are
+    broadcast, so their rows stay where they are; the others are shuffled. Rows whose key is not in
+    the lookup table go.
+    """
+    total = lookup.agg(F.sum(count)).first()[0] or 0
+    often = F.col(count) * 1000 > F.lit(total)
+    hot, cold = lookup.where(often).drop(count), lookup.where(~often).drop(count)
+    spread = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
+    return rows.join(F.broadcast(hot), key).unionByName(spread)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts go to Python in batches of at most 1,000 rows, which bounds the buffers of a task."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
