@@ -16,9 +16,11 @@ from tidestream.llm.line_dedup import remove_boilerplate
 from tidestream.llm.mixing import mix_copies
 from tidestream.llm.packing import pack
 from tidestream.llm.quality import fit_quality, score_quality
+from tidestream.llm.ranked_search import search
 from tidestream.llm.simhash import simhash_components
 from tidestream.llm.storage import read_documents
 from tidestream.llm.toxicity import fit_toxicity, score_toxicity
+from tidestream.llm.vector_codes import compress
 
 
 def public_tokenizer() -> tuple[str, str, str]:
@@ -80,6 +82,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(read_documents(spark, sf_dir))
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
@@ -98,6 +108,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_fingerprints,
         op9_packing,
         op10_mixing,
+        op11_vector_codes,
+        op12_ranked_search,
         op13_simhash,
     )
 }

@@ -35,7 +35,63 @@ from (select *, row_number() over (partition by doc_id, license order by contain
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '{u}', '{l}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(u=_UPPER, l=_UPPER.lower())
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Codebooks round by round: each an assignment of all parts and the means of what was assigned."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as (
+  select id, vec_id, label, p, v, best.e as e, best.d as d from (
+    select x.id, x.vec_id, x.label, x.p, x.v, min({{'d': list_sum(list_transform(list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': c.e}}) as best
+    from x join c{r} as c using (p) group by x.id, x.vec_id, x.label, x.p, x.v) as n)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} as (
+  select p, e, list(cast((s - ((s % n) + n) % n) // n as bigint) order by k) as v
+  from (select p, e, k, sum(y) as s, count(*) as n from (select p, e, unnest(v) as y, unnest(range(len(v))) as k from a{r}) as u group by p, e, k) as t
+  group by p, e),
+c{r + 1} as (select c.p, c.e, coalesce(m.v, c.v) as v from c{r} as c left join m{r} as m using (p, e))""")
+    return f"""
+with kept as (
+  select row_number() over (order by vec_id) - 1 as id, vec_id, label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+x as (
+  select id, vec_id, label, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] as v
+  from kept, (select unnest(range({parts})) as p) as parts),
+c0 as (select p, id as e, v from x where id < {entries}),{",".join(steps)},
+books as (
+  select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) as codebooks_sha256 from c{rounds}),
+codes as (
+  select id, vec_id, label, lower(string_agg(printf('%02x', e), '' order by p)) as code, cast(sum(d) as bigint) as error
+  from a{rounds} group by id, vec_id, label)
+select vec_id, label, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from codes, books"""
+
+
 ORACLE = {
+    "op11_vector_codes": _codes_sql(),
+    "op12_ranked_search": rf"""
+with words as (select doc_id, {_TERMS} as ws from documents),
+sizes as (select doc_id, len(ws) as n from words where len(ws) > 0),
+whole as (select count(*) as docs, cast(sum(n) as bigint) as total from sizes),
+tf as (select doc_id, term, count(*) as tf from (select doc_id, unnest(ws) as term from words) as w group by doc_id, term),
+df as (select term, count(*) as df from tf group by term),
+weights as (select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w from df, whole),
+asked as (select item_id, unnest({_TERMS}) as term from benchmark),
+scores as (
+  select item_id, doc_id,
+    cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // total))))) as bigint) as score
+  from asked join tf using (term) join weights using (term) join sizes using (doc_id), whole
+  group by item_id, doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score
+  from scores where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10""",
     "op3_license_scan": _license_sql(),
     "op5_jaccard_join": rf"""
 with recursive w as (

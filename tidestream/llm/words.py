@@ -73,7 +73,7 @@ class Piece:
         for done in range(0, _LANE_BYTES, 8):
             at = np.flatnonzero(left > done) if done else slice(None)
             lane = lanes[starts[at] + done] & _LOW_BYTES[np.minimum(left[at] - done, 8)]
-            hashes[at] = mix((hashes[at] ^ lane) * _STEP + lane)
+            hashes[at] = mix((hashes[at] ^ lane) * _STEP)
         for k in np.flatnonzero(ends - starts > _LANE_BYTES):
             digest = hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest()
             hashes[k] = int.from_bytes(digest, "little")
