@@ -187,7 +187,7 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     stars = _unfolded(met, radius).withColumns({"hub": F.first("fingerprint").over(at_variant)})
     reached = F.bit_count(F.col("variant").bitwiseXOR(F.col("hub"))) <= 1
     found = stars.where(reached & (F.col("hub") != F.col("fingerprint")) & (hamming("hub", "fingerprint") <= radius))
-    return found.select(F.col("hub").alias("a"), F.col("fingerprint").alias("b")).distinct()
+    return found.select(F.least("hub", "fingerprint").alias("a"), F.greatest("hub", "fingerprint").alias("b")).distinct()
 
 
 def simhash_components(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
