@@ -52,8 +52,8 @@ class CellMemo:
 
     def __init__(self, entries: np.ndarray, max_cells: int = MAX_CELLS):
         self.entries, self.max_cells = entries, max_cells
-        # Cubes about as wide as the entries spread in the direction of most spread.
-        self.width = max(1, 1 << int(np.log2(max(1.0, entries.std(axis=0).max()))))
+        # Cubes about half as wide as the entries spread in the direction of most spread.
+        self.width = 1 << int(np.log2(max(1.0, entries.std(axis=0).max() / 2)))
         self.evaluated = 0
         self._forget()
 
