@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).parent))
 
@@ -19,7 +20,7 @@ import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 from tidestream.llm import mixing, packing  # noqa: E402
 from tidestream.llm.catalog import QUERIES, public_tokenizer  # noqa: E402
-from tidestream.llm.language_id import fit_languages, identify  # noqa: E402
+from tidestream.llm.language_id import fit_bounds, fit_languages, identify  # noqa: E402
 from tidestream.llm.storage import components  # noqa: E402
 
 
@@ -142,6 +143,34 @@ def test_mix_of_sources(spark, monkeypatch, block):
     assert sorted(map(tuple, again), key=repr) == found
 
 
+def test_masses_of_equal_rows_spread_over_blocks(spark, monkeypatch):
+    """50,000 rows without id fill as many blocks as their number asks for, whatever their partitioning."""
+    blocks = []
+    rounding = mixing._round_block
+
+    def seen(level):
+        inner = rounding(level)
+
+        def run(table):
+            assert table.num_rows <= 3 * mixing.BLOCK_DOCUMENTS
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(mixing, "_round_block", seen)
+    hot = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("three same words").alias("text"), F.lit("a").alias("source"))
+    other = spark.range(3000).select("id", F.lit("some other words of this").alias("text"), F.lit("b").alias("source"))
+    docs = hot.union(other)
+    for parts in (3, 8):
+        taken = mixing.mix_copies(docs.repartition(parts)).groupBy("size", "source_size", "copies").count().collect()
+        blocks.append(sorted(map(tuple, taken)))
+    assert blocks[0] == blocks[1]
+    assert sum(r[3] for r in blocks[0] if r[0] == 3) == 50_000
+    taken = sum(r[0] * r[2] * r[3] for r in blocks[0] if r[0] == 3)
+    target = mixing.mix_copies(docs).where("size = 3").first().target
+    assert abs(taken - target) <= 3
+
+
 def test_taking_the_mix(spark):
     rows = [(k, "w " * 5, f"s{k % 4}") for k in range(80)]
     docs, found = mix(spark, rows)
@@ -159,17 +188,22 @@ def test_components_of_a_long_chain(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_pipeline_against_brute_force(spark, sf_dir):
+def test_pipeline_against_brute_force(spark):
     """Every stage, on what the stage before it left."""
+    sf_dir = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     columns = sorted(docs.columns)
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["language_id", "line_dedup", "jaccard_join", "mixing", "packing"]
 
     known = stages["language_id"](spark, docs, sf_dir)
-    answers = {r.doc_id: r for r in identify(docs, fit_languages(docs)).collect()}
-    few = {r.doc_id for r in docs.collect() if sum(c.isalpha() for c in r.text) < 20}
-    wanted = [d for d, r in answers.items() if r.lang_pred != "und" and (r.cosine >= 0.02 or d in few)]
+    model = fit_languages(docs)
+    bounds = fit_bounds(docs, model)
+    answers = {r.doc_id: r for r in identify(docs, model).collect()}
+    letters = {r.doc_id: sum(c.isalpha() for c in r.text) for r in docs.collect()}
+    # The bound of the longest class that a text's letters reach, and never less than 0.02.
+    bound = {d: max(0.02, bounds[max(k for k in range(len(bounds)) if k == 0 or 20 << k <= n)]) for d, n in letters.items()}
+    wanted = [d for d, r in answers.items() if letters[d] and (letters[d] < 20 or r.cosine >= bound[d])]
     known = spark.createDataFrame(known.collect(), known.schema)
     assert sorted(known.columns) == columns and sorted(r.doc_id for r in known.collect()) == sorted(wanted)
 
@@ -179,7 +213,7 @@ def test_pipeline_against_brute_force(spark, sf_dir):
     for r in rows:
         for line in r.text.split("\n"):
             sites[line.strip(" \t\r\x0b\x0c")].add(r.source)
-    wide = {line for line, found in sites.items() if len(found) >= 10 and len(line.split()) >= 3}
+    wide = {line for line, found in sites.items() if len(found) >= 10 and line}
     texts = {r.doc_id: "\n".join(x for x in r.text.split("\n") if x.strip(" \t\r\x0b\x0c") not in wide) for r in rows}
     cleaned = spark.createDataFrame(cleaned.collect(), cleaned.schema)
     assert {r.doc_id: r.text for r in cleaned.collect()} == texts and wide
@@ -260,4 +294,4 @@ def test_registered_with_production_parameters():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {n for n in names if n.startswith("op")} >= set(QUERIES) and len(QUERIES) == 10 and "pipeline" in names
+    assert {n for n in names if n.startswith("op")} >= set(QUERIES) and len(QUERIES) == 13 and "pipeline" in names

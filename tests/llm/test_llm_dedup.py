@@ -182,18 +182,20 @@ def test_empty_tables(spark):
 
 
 def test_line_dedup_by_sites(spark):
-    """Lines on exactly the threshold go, lines on one site less stay, short lines always stay."""
-    rows = [(k, f"own line of {k}\nshared line here\n  padded shared line \nOf.", f"s{k}") for k in range(10)]
+    """Lines on exactly the threshold go, lines on one site less stay, blank lines always stay."""
+    rows = [(k, f"own line of {k}\nshared line here\n  padded shared line \n \nOf.", f"s{k}") for k in range(10)]
     rows += [(50 + k, f"nine sites only\ntext {k} stays here", f"s{k}") for k in range(9)]
     rows += [(90, "nine sites only", "s1"), (91, None, "s1"), (92, "", None), (93, "shared line here", "s2"), (93, "shared line here", "s2")]
     found = {}
-    for r in line_dedup.remove_boilerplate(table(spark, rows)).collect():
-        found.setdefault(r.doc_id, []).append(r)
-    assert found[3][0].text == "own line of 3\nOf." and found[3][0]["__removed"] == 2
+    for r in line_dedup.clean_texts(table(spark, rows)).collect():
+        found.setdefault(r.document.doc_id, []).append(r)
+    assert found[3][0].text == "own line of 3\n " and (found[3][0].lines, found[3][0].removed) == (5, 3)
     assert found[55][0].text == "nine sites only\ntext 5 stays here"
     assert found[91][0].text is None and found[92][0].text == ""
     assert [r.text for r in found[93]] == ["", ""]
-    assert found[3][0].key == "k"
+    assert found[3][0].document.key == "k"
+    words = line_dedup.clean_texts(table(spark, rows), min_words=2).where("document.doc_id = 3").first()
+    assert words.text == "own line of 3\n \nOf."
 
 
 def test_pipeline_removes_short_lines_by_sites_alone(spark):
@@ -289,3 +291,92 @@ def test_band_settings_keep_their_promise():
         length, step, bands = license_scan.window_plan(m)
         least = 0.8 * m / (length + 0.2 * m)
         assert length == m + step - 1 and 1 - (1 - least) ** bands >= 0.9999
+
+
+CLASHES = ("__t", "__gone", "__lines", "__removed", "__a", "__b", "__h", "__n", "__row", "__copy", "__copies", "__source", "a.b", "t", "gone",
+           "document", "row", "copy", "copies", "n", "a", "b", "h", "key", "size", "root", "node", "stays")
+
+
+def test_callers_columns_pass_whatever_their_names(spark):
+    """Every filtering operator gives back the caller's columns, also those with a name used inside."""
+    from tidestream.llm.mixing import take_mix
+
+    rows = [(k, f"line shared by all\nown words of the document number {k} and some more", f"s{k % 12}") for k in range(24)]
+    rows += [(None, "a text without an id but with words", "s1"), (7, rows[7][1], "s7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for at, name in enumerate(CLASHES):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{at}-"), F.coalesce(F.col("doc_id"), F.lit(-1))))
+    for operator in (line_dedup.remove_boilerplate, jaccard_join.keep_one_per_component, take_mix, corpus_pipeline.mixing_stage, corpus_pipeline.near_duplicate_stage):
+        made = operator(docs) if operator.__module__.startswith("tidestream") else operator(spark, docs, "")
+        assert made.columns == docs.columns
+        found = made.collect()
+        assert found
+        for r in found:
+            assert [r[name] for name in CLASHES] == [f"{at}-{-1 if r.doc_id is None else r.doc_id}" for at in range(len(CLASHES))]
+    with_counts = docs.withColumn("n_chars", F.lit(0).cast("long"))
+    assert corpus_pipeline.line_stage(spark, with_counts, "").columns == with_counts.columns
+
+
+def test_words_with_equal_power_sums_do_not_link(spark):
+    """The Thue-Morse word and its complement had one hash, so their documents were one component."""
+    word = "".join("ab"[k.bit_count() % 2] for k in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found = jaccard_join.jaccard_components(table(spark, [(1, word, "s"), (2, other, "s")])).collect()
+    assert sorted(map(tuple, found)) == [(1, 1, 1), (2, 1, 2)]
+
+
+def near_pairs(pairs, ids):
+    rng = random.Random(3)
+    rows = []
+    for k in range(pairs):
+        text = [f"w{rng.randrange(10**6)}" for _ in range(30)]
+        rows += [(2 * k if ids else None, " ".join(text), "s"), (2 * k + 1 if ids else None, " ".join([*text[:-1], "end"]), "s")]
+    return rows
+
+
+def test_near_pairs_without_ids_cost_no_more(spark):
+    """Representatives are told apart by their texts, so rows without ids do not meet in masses."""
+    import time
+
+    took = {}
+    for ids in (True, False):
+        docs = table(spark, near_pairs(2000, ids)).repartition(4)
+        start = time.perf_counter()
+        found = jaccard_join.jaccard_components(docs).collect()
+        took[ids] = time.perf_counter() - start
+        assert len(found) == 4000
+        if ids:
+            assert all(r.component_id == r.doc_id // 2 * 2 for r in found)
+    assert took[False] < 1.5 * took[True] + 3
+    assert jaccard_join.keep_one_per_component(table(spark, near_pairs(50, False))).count() == 50
+
+
+def test_one_id_for_many_texts(spark):
+    rows = [(7, text, s) for _, text, s in near_pairs(300, False)] + [(7, "same text in many rows of one id", "s")] * 300
+    found = jaccard_join.jaccard_components(table(spark, rows).repartition(4)).collect()
+    assert len(found) == 900 and {r.component_id for r in found} == {7}
+    assert jaccard_join.keep_one_per_component(table(spark, rows)).count() == 601
+
+
+@pytest.mark.parametrize("chunk", [400_000, 40])
+def test_shingle_in_every_document(spark, monkeypatch, chunk):
+    """A shingle that all share leaves a chunk once, and is still known to be shared in every document."""
+    monkeypatch.setattr(jaccard_join, "CHUNK_SHINGLES", chunk)
+    monkeypatch.setattr(jaccard_join, "CHUNK_SHINGLES_PER_BUCKET", 1)
+    rng = random.Random(9)
+    rows = []
+    for k in range(60):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(6)]
+        rows += [(3 * k, " ".join(["the same five words here", *own]), "s"), (3 * k + 1, " ".join(["the same five words here", *own, "x"]), "s")]
+    got = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    wanted = brute.jaccard_components([(d, t) for d, t, _ in rows])
+    assert sorted(map(tuple, got)) == sorted(wanted)
+
+
+def test_bucket_rows_hold_shingles_once_per_chunk():
+    """2,000 documents of one chunk with one shingle: one entry, and all of them known to share it."""
+    chunk = jaccard_join._Chunk(0, 16)
+    chunk.add(list(range(2000)), [0] * 2000, np.full(2000, 77, np.uint64), np.arange(2001))
+    rows = chunk.batch(jaccard_join._arrow_schema(jaccard_join._SCAN), weigh=False).to_pylist()
+    assert [len(r["tokens"]) for r in rows if r["tokens"]] == [4]
+    assert (np.frombuffer(rows[-1]["facts"], np.uint64).reshape(-1, 4)[:, 3] == 1).all()

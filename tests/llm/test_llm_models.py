@@ -1,18 +1,26 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import os
 import pathlib
+import random
+import subprocess
 import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(pathlib.Path(__file__).parent))
 
 import brute  # noqa: E402
 
+from tidestream.llm import features as features_of  # noqa: E402
 from tidestream.llm import fingerprints as fp  # noqa: E402
+from tidestream.llm import language_id, linear, quality, toxicity, words  # noqa: E402
 from tidestream.llm.catalog import QUERIES  # noqa: E402
 from tidestream.llm.features import DIMENSIONS  # noqa: E402
 from tidestream.llm.language_id import PLACES, LanguageModel, fit_languages, identify, keep_known_languages, letter_vectors  # noqa: E402
@@ -176,3 +184,195 @@ def test_single_and_no_document(spark):
 def test_repeated_ids_each_have_a_row(spark):
     found = fingerprint_rows(spark, [(1, "a b c"), (1, "a b c"), (1, "z y x"), (2, "q")])
     assert len(found) == 4
+
+
+def test_equal_ids_in_masses_are_cut_into_ranges(spark):
+    """Rows of one id, or of none, fill many ranges; each is followed by the next in the order of hashes."""
+    import xxhash
+
+    signed = lambda t: int(np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64))
+    for hot in (50, None):
+        rows = [(k, f"document {k} here") for k in range(100)] + [(hot, f"hot words {k} and {k * 7 % 50}") for k in range(400)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = fp.fingerprint_documents(docs.repartition(3), rows_per_range=20).collect()
+        order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(r[1]), r[1]))
+        after = {a: b[1] for a, b in zip(order, [*order[1:], order[0]])}
+        made = sorted((r.doc_id is None, r.doc_id or 0, r.edited_sha256) for r in found)
+        assert made == sorted((d is None, d or 0, hashlib.sha256(fp.edited(t, after[d, t]).encode()).hexdigest()) for d, t in rows)
+        keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(2**63 - 1)).alias("key"), F.xxhash64("text").alias("h"))
+        sizes = [r["count"] for r in fp._in_ranges(keyed, 20).groupBy("range").count().collect()]
+        assert max(sizes) <= 60 and len(sizes) >= 20
+
+
+# --- Bounded samples and plain versions of the models ------------------------------------------
+
+
+def test_sample_is_bounded_for_repeated_rows(spark):
+    """A labelled id with very many rows gives one row to learn from, whatever the order."""
+    ids = [k for k in range(1, 400) if zlib.crc32(str(k).encode()) % 5]
+    rows = [(ids[0], f"text {k}") for k in range(3000)] + [(k, f"other {k}") for k in ids[1:60]] + [(None, "x"), (ids[61], None)]
+    labels = [(ids[0], 1), (ids[0], 0), (ids[61], 1), (None, 1), (ids[62], None), (10**9, 1)] + [(k, k % 2) for k in ids[1:60]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    table = spark.createDataFrame(labels, "doc_id long, quality int")
+    sample = linear.labelled_sample(docs, table, "quality").collect()
+    assert len(sample) == 61
+    assert [r.label for r in sample if (r.text or "").startswith("text")] == [1.0]
+    again = linear.labelled_sample(docs.repartition(7), table, "quality").collect()
+    assert sorted(map(str, again)) == sorted(map(str, sample))
+
+
+def test_models_without_labels_or_documents(spark):
+    docs = spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string")
+    nothing = docs.limit(0)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    blank = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for table, given in ((docs, labels), (docs, blank), (nothing, labels)):
+        scores = quality.score_quality(table, quality.fit_quality(table, given)).collect()
+        assert [r.score for r in scores] == [0.5] * table.count()
+        graded = toxicity.score_toxicity(table, toxicity.fit_toxicity(table, given)).collect()
+        assert len(graded) == table.count() and all(0 <= r.severity <= 3 for r in graded)
+        found = language_id.identify(table, language_id.fit_languages(table.withColumn("lang", F.lit(None).cast("string")))).collect()
+        assert all(r.lang_pred == "und" and r.score == 0 for r in found)
+
+
+def plain_ftrl(rows, epochs, alpha=0.1, beta=1.0, l1=1.0, l2=0.0):
+    """Per-coordinate FTRL for logistic regression, a feature at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    order = np.random.default_rng(20240101)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            features, label = rows[k]
+            at = [0, *features]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-max(-35, min(35, sum(w.values()))))) - label
+            for i in at:
+                rate = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - rate * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_ftrl_against_plain_loops():
+    rng = random.Random(6)
+    rows = []
+    for _ in range(300):
+        label = rng.random() < 0.4
+        rows.append((sorted(rng.sample(range(1, 40) if label else range(20, 60), 8)), float(label)))
+    weights = quality.train([np.array(f) for f, _ in rows], np.array([y for _, y in rows]))
+    wanted = plain_ftrl(rows, quality.EPOCHS)
+    assert {int(k) for k in np.flatnonzero(weights)} == set(wanted) and len(wanted) > 10
+    assert all(weights[k] == pytest.approx(w, abs=1e-9) for k, w in wanted.items())
+
+
+def test_ordinal_steps_against_numeric_gradients():
+    """The update of the score is the gradient of -log P(grade), taken numerically."""
+    thresholds = np.array([-1.0, 0.3, 1.2])
+
+    def loss(f, grade):
+        above = [1.0, *(1 / (1 + math.exp(-(f - t))) for t in thresholds), 0.0]
+        return -math.log(above[grade] - above[grade + 1])
+
+    for grade in range(4):
+        for f in (-2.0, 0.1, 1.7):
+            upper = float(linear.sigmoid(thresholds[grade] - f)) if grade < 3 else 1.0
+            lower = float(linear.sigmoid(thresholds[grade - 1] - f)) if grade else 0.0
+            numeric = (loss(f + 1e-6, grade) - loss(f - 1e-6, grade)) / 2e-6
+            assert 1.0 - upper - lower == pytest.approx(-numeric, abs=1e-5) or 1.0 - upper - lower == pytest.approx(numeric, abs=1e-5)
+
+
+def test_toxicity_scores_against_plain_sums(spark):
+    """Expected grades from weights and thresholds, a feature at a time."""
+    rng = np.random.default_rng(4)
+    model = toxicity.OrdinalModel(rng.normal(0, 0.3, toxicity.DIMENSIONS).astype(np.float32).astype(float), np.array([-0.5, 0.4, 1.5]))
+    texts = ["some plain words", "Other WORDS there", "", None, "x " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    (piece,) = words.pieces(pa.array(texts))
+    features, first = features_of.word_and_prefix_features(piece)
+    for k in range(len(texts)):
+        f = sum(model.weights[i] for i in features[first[k] : first[k + 1]])
+        above = [1 / (1 + math.exp(t - f)) for t in model.thresholds]
+        assert found[k].severity == pytest.approx(sum(above), abs=1e-4) and found[k].score == pytest.approx(above[0], abs=1e-4)
+        assert found[k].predicted == (above[0] >= 0.25) and found[k].toxic == bool(found[k].predicted)
+
+
+# --- Languages --------------------------------------------------------------------------------
+
+
+def plain_profile(text, classes, letters):
+    """The sum of bound trigrams of a text, letter by letter, and its number of letters."""
+    codes, last = [0], 0
+    for c in text or "":
+        k = int(classes[ord(c)])
+        if k or last or len(codes) == 1:
+            codes.append(k)
+        last = k
+    codes.append(0)
+    total = np.zeros(language_id.PLACES, int)
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        if b:
+            total += np.roll(letters[a], 2) * np.roll(letters[b], 1) * letters[c]
+    return total / max(np.linalg.norm(total), 1e-9)
+
+
+def test_language_predictions_against_plain_profiles(spark):
+    """Prototypes and predictions, Latin and other scripts, from loops over letters."""
+    rng = random.Random(12)
+    kinds = {
+        "en": ["the", "house", "of", "and", "there", "which"],
+        "ru": ["дом", "который", "и", "на", "это", "человек"],
+        "zh": ["你好", "世界", "我们", "中文", "文字"],
+        "ko": ["안녕", "하세요", "우리", "한국어", "글자"],
+    }
+    rows = [(k, " ".join(rng.choices(kinds[lang], k=rng.randrange(4, 20))), lang) for k, lang in enumerate(sorted(kinds) * 12)]
+    rows += [(100, "12 -- 34", "en"), (101, None, "ru"), (102, "", None), (103, "house и 你好 우리 there", None), (None, "дом и дом", "ru")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_languages(docs)
+    classes, letters = language_id.letter_classes(), language_id.letter_vectors().astype(int)
+    learned = [(t, lang) for d, t, lang in rows if d is not None and lang and zlib.crc32(str(d).encode()) % 5]
+    for k, lang in enumerate(model.languages):
+        total = sum(plain_profile(t, classes, letters) for t, known in learned if known == lang)
+        assert np.abs(model.prototypes[k] - total / np.linalg.norm(total)).max() < 1e-4
+    found = {r.doc_id: r for r in language_id.identify(docs, model).collect()}
+    for d, text, lang in rows:
+        cosines = model.prototypes @ plain_profile(text, classes, letters)
+        if any(c.isalpha() for c in text or ""):
+            assert found[d].lang_pred == model.languages[int(cosines.argmax())]
+            assert found[d].cosine == pytest.approx(cosines.max(), abs=1e-4)
+        else:
+            assert found[d].lang_pred == "und" and found[d].score == 0
+    assert all(found[k].lang_pred == lang for k, (_, _, lang) in enumerate(rows[:48]))
+
+
+def test_all_letters_have_a_class():
+    import unicodedata
+
+    classes = language_id.letter_classes()
+    for code in [*range(0, 0x110000, 7), *range(0x3400, 0x3500), *range(0xD7A0, 0xD800), *range(0x323A0, 0x323C0)]:
+        assert (classes[code] > 0) == (unicodedata.category(chr(code))[0] == "L"), hex(code)
+
+
+def test_profiles_of_large_scripts_need_little_memory():
+    """10 MB of Han, Hangul and mixed scripts, in a process of its own, stay far below 1 GB."""
+    program = """
+import random, resource, sys
+import pyarrow as pa
+from tidestream.llm.language_id import Profiler
+from tidestream.llm.words import pieces
+rng, profiler = random.Random(1), Profiler()
+ranges = [(0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x61, 0x7A), (0x410, 0x44F)]
+for kinds in (ranges[:1], ranges[1:2], ranges):
+    texts = ["".join(chr(rng.randint(*rng.choice(kinds))) for _ in range(340)) for _ in range(3300)]
+    for piece in pieces(pa.array(texts)):
+        profiler.vectors(piece)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    root = str(pathlib.Path(__file__).parents[2])
+    done = subprocess.run([sys.executable, "-c", program], cwd=root, capture_output=True, text=True, timeout=300, env={**os.environ, "PYTHONPATH": root})
+    assert int(done.stdout) < 1000, done.stderr

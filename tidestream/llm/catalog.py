@@ -12,7 +12,7 @@ from tidestream.llm.fingerprints import fingerprint_documents
 from tidestream.llm.jaccard_join import jaccard_components
 from tidestream.llm.language_id import fit_languages, identify
 from tidestream.llm.license_scan import scan_licenses
-from tidestream.llm.line_dedup import remove_boilerplate
+from tidestream.llm.line_dedup import clean_texts
 from tidestream.llm.mixing import mix_copies
 from tidestream.llm.packing import pack
 from tidestream.llm.quality import fit_quality, score_quality
@@ -36,12 +36,11 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = remove_boilerplate(read_documents(spark, sf_dir))
     text = F.coalesce(F.col("text"), F.lit(""))
-    return cleaned.select(
-        "doc_id",
-        F.col("__lines").alias("lines"),
-        F.col("__removed").alias("removed"),
+    return clean_texts(read_documents(spark, sf_dir)).select(
+        "document.doc_id",
+        "lines",
+        "removed",
         F.length(text).cast("long").alias("cleaned_chars"),
         F.sha2(text.cast("binary"), 256).alias("cleaned_sha256"),
     )

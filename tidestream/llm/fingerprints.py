@@ -27,7 +27,7 @@ SAMPLES = 64
 _SAMPLES_AT_ONCE = 16
 _LAST_ID = 2**63 - 1
 ROWS_PER_RANGE = 2000
-MAX_RANGES = 4096
+LEAST_ERROR = 1e-5  # of the ranks of cuts; with more ranges than this allows for, some are larger
 _OUTPUT = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 )
@@ -136,6 +136,31 @@ def _fingerprint_partitions(piece_chars: int = 1 << 19):
     return run
 
 
+def _in_ranges(docs: DataFrame, rows_per_range: int) -> DataFrame:
+    """The documents with a range of about so many rows; ranges follow the order of key and h.
+
+    The ranges are cut at quantiles of the key. A key with more rows than two ranges is cut at equal
+    steps of h, so that masses of one id, or of none, are divided too. The driver holds a number per range.
+    """
+    ranges = max(1, math.ceil(docs.count() / rows_per_range))
+    shares = [k / ranges for k in range(1, ranges)]
+    number = F.col("key").cast("double")
+    cuts = docs.select(number.alias("k")).approxQuantile("k", shares, max(0.25 / ranges, LEAST_ERROR)) if shares else []
+    often = docs.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > 2 * rows_per_range)
+    hot = [(r["key"], math.ceil(r["rows"] / rows_per_range)) for r in often.collect()]  # fewer than there are ranges
+    splits = [-math.inf, *(sorted({*cuts, *(float(key) for key, _ in hot)}) or [0.0]), math.inf]
+    placed = Bucketizer(splits=splits, inputCol="k", outputCol="r").transform(docs.withColumn("k", number))
+    if not hot:
+        return placed.select(F.col("r").cast("long").alias("range"), "key", "h", "doc_id", "text")
+    hot = {float(splits.index(float(key))): (key, steps) for key, steps in hot}
+    hot = docs.sparkSession.createDataFrame([(r, *of) for r, of in hot.items()], "r double, hot long, steps long")
+    placed = placed.join(F.broadcast(hot), "r", "left")
+    # In the range of a hot key come lesser keys, its own steps, and greater ones.
+    step = F.shiftright((F.shiftright("h", 33) + (1 << 30)) * F.col("steps"), 31)
+    within = F.when(F.col("key") == F.col("hot"), step + 1).when(F.col("key") > F.col("hot"), F.col("steps") + 1).otherwise(0)
+    return placed.select((F.col("r").cast("long") * (1 << 32) + within).alias("range"), "key", "h", "doc_id", "text")
+
+
 def fingerprint_documents(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, in the order of doc_id.
 
@@ -143,25 +168,21 @@ def fingerprint_documents(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE)
     near_next), one per document row. The edit of a document takes from the next one in the order
     of doc_id, for which the documents are cut into ranges of ids; every range also gets the
     first document of the next range. Null texts are empty; null ids come last; equal ids are
-    ordered by their texts. Texts without words have the fingerprint of zeros and are alike.
-    A single document is followed by itself. Other columns are not read.
+    ordered by the xxHash64 of their texts and then by the texts. Texts without words have the
+    fingerprint of zeros and are alike. Very long texts are sampled whole, one at a time. A single
+    document is followed by itself, and an empty table gives no rows. Other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
     small_batches(docs.sparkSession)
-    docs = docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST_ID)))
-    ranges = min(MAX_RANGES, max(1, math.ceil(docs.count() / rows_per_range)))
-    shares = [k / ranges for k in range(1, ranges)]
-    cuts = docs.select(F.col("key").cast("double").alias("k")).approxQuantile("k", shares, 0.25 / ranges) if shares else []
-    splits = [-math.inf, *(sorted(set(cuts)) or [0.0]), math.inf]
-    numbered = Bucketizer(splits=splits, inputCol="k", outputCol="r").transform(docs.withColumn("k", F.col("key").cast("double")))
-    numbered = numbered.select(F.col("r").cast("int").alias("range"), "key", "doc_id", "text")
-    # One row per range: its first id. The first document of a range follows the last of the one before.
-    first = {r["range"]: r["key"] for r in numbered.groupBy("range").agg(F.min("key").alias("key")).collect()}
+    numbered = _in_ranges(docs.withColumn("key", F.coalesce("doc_id", F.lit(_LAST_ID))), rows_per_range)
+    # One row per range: its first id and hash. The first document of a range follows the last of the one before.
+    first = {r["range"]: r["first"] for r in numbered.groupBy("range").agg(F.min(F.struct("key", "h")).alias("first")).collect()}
     filled = sorted(first)
-    tails = [(first[after], before) for before, after in zip(filled, [*filled[1:], *filled[:1]])]
-    tails = docs.sparkSession.createDataFrame(tails, "key long, before int")
-    head = docs.join(F.broadcast(tails), "key").groupBy("before").agg(F.min("key").alias("key"), F.min("text").alias("text"))
-    head = head.select(F.col("before").alias("range"), F.lit(True).alias("tail"), F.lit(None).cast("long").alias("doc_id"), "text", "key")
-    rows = numbered.select("range", F.lit(False).alias("tail"), "doc_id", "text", "key").unionByName(head)
-    rows = rows.repartition(F.col("range")).sortWithinPartitions("range", "tail", "key", "text")
+    tails = [(*first[after], before) for before, after in zip(filled, [*filled[1:], *filled[:1]])]
+    tails = docs.sparkSession.createDataFrame(tails, "key long, h long, before long")
+    head = numbered.join(F.broadcast(tails), ["key", "h"]).groupBy("before").agg(F.min("key").alias("key"), F.min("h").alias("h"), F.min("text").alias("text"))
+    head = head.select(F.col("before").alias("range"), F.lit(True).alias("tail"), F.lit(None).cast("long").alias("doc_id"), "text", "key", "h")
+    rows = numbered.select("range", F.lit(False).alias("tail"), "doc_id", "text", "key", "h").unionByName(head)
+    rows = rows.repartition(F.col("range")).sortWithinPartitions("range", "tail", "key", "h", "text")
     return rows.select("range", "tail", "doc_id", "text").mapInArrow(_fingerprint_partitions(), _OUTPUT)

@@ -29,6 +29,10 @@ LETTERS = 128
 SAMPLE_ROWS = 4_000
 UNKNOWN = "und"
 SHARPNESS = 20.0
+LAST_LETTER = 0x3FFFF  # planes beyond the third hold no letters
+DENSE_TEXTS = 16  # trigrams of so many texts of a piece are added by matrix products
+GRAMS_AT_ONCE = 2048
+PAIRS_AT_ONCE = 512
 MIN_LETTERS = 20
 LENGTH_CLASSES = 8  # each of twice the letters of the one before it, from MIN_LETTERS on; the last is open
 BOUND_QUANTILE = 0.01
@@ -38,12 +42,10 @@ NOISE = 5 / PLACES**0.5  # five standard deviations of the cosine of unrelated v
 def letter_classes() -> np.ndarray:
     """The class of every code point: 0 for none, 1-26 for a-z, 27-127 for other letters."""
     classes = np.zeros(0x110000, np.uint8)
-    for code in (*range(0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x10000), *range(0x10000, 0x1F000)):
+    for code in range(LAST_LETTER + 1):
         if unicodedata.category(chr(code))[0] == "L":
             low = ord(chr(code).lower()[0])
             classes[code] = low - 96 if 97 <= low <= 122 else 27 + low * 40503 % 101
-    for begin, end in ((0x3400, 0x4DC0), (0x4E00, 0xA000), (0xAC00, 0xD7A4), (0x20000, 0x323B0)):  # ideographs, syllables
-        classes[begin:end] = 27 + np.arange(begin, end) * 40503 % 101
     return classes
 
 
@@ -56,7 +58,44 @@ class Profiler:
 
     def __init__(self):
         self.classes, letters = letter_classes(), letter_vectors()
-        self.letters = [np.roll(letters, shift, axis=1) for shift in (2, 1, 0)]
+        # The product of the first two rotated letters, for all pairs, and the third.
+        self.first_two = np.roll(letters, 2, axis=1)[:, None] * np.roll(letters, 1, axis=1)[None]
+        self.third = letters
+
+    def _bound(self, grams: np.ndarray) -> np.ndarray:
+        """The vectors of trigrams."""
+        return self.first_two[grams // LETTERS**2, grams // LETTERS % LETTERS] * self.third[grams % LETTERS]
+
+    def _bundled(self, grams: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+        """For every text the sum of the vectors of its trigrams; whole numbers, so exact in any order.
+
+        Trigrams that many texts share are added by matrix products over blocks of trigrams, all
+        others text by text. Either holds some megabytes, however many trigrams there are.
+        """
+        both, counts = np.unique(grams * texts + owner, return_counts=True)
+        grams, owner = both // texts, both % texts
+        starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+        spread = np.diff(np.append(starts, len(grams)))
+        number = np.repeat(np.cumsum(spread >= DENSE_TEXTS) - 1, spread)
+        dense = np.repeat(spread >= DENSE_TEXTS, spread)
+        sums = np.zeros((texts, PLACES), np.float32)
+        shared = grams[starts[spread >= DENSE_TEXTS]]
+        at, by, times = number[dense], owner[dense], counts[dense]
+        for low in range(0, len(shared), GRAMS_AT_ONCE):
+            block = slice(*np.searchsorted(at, [low, low + GRAMS_AT_ONCE]))
+            width = min(GRAMS_AT_ONCE, len(shared) - low)
+            table = np.zeros((texts, width), np.float32)
+            table[by[block], at[block] - low] = times[block]
+            sums += table @ self._bound(shared[low : low + width]).astype(np.float32)
+        order = np.flatnonzero(~dense)
+        order = order[np.argsort(owner[order], kind="stable")]
+        for low in range(0, len(order), PAIRS_AT_ONCE):
+            part = order[low : low + PAIRS_AT_ONCE]
+            first = owner[part[0]]
+            table = np.zeros((owner[part[-1]] - first + 1, len(part)), np.float32)
+            table[owner[part] - first, np.arange(len(part))] = counts[part]
+            sums[first : first + len(table)] += table @ self._bound(grams[part]).astype(np.float32)
+        return sums
 
     def vectors(self, piece: Piece) -> tuple[np.ndarray, np.ndarray]:
         """A unit vector per text (0 for a text without letters), and how many letters it has."""
@@ -78,15 +117,7 @@ class Profiler:
         classes, owner = classes[order], owner[order]
         whole = (owner[2:] == owner[:-2]) & (classes[1:-1] > 0)
         grams = (classes[:-2] * LETTERS + classes[1:-1]) * LETTERS + classes[2:]
-        grams, owner = grams[whole], owner[:-2][whole]
-        seen = np.zeros(LETTERS**3, bool)
-        seen[grams] = True
-        used = np.flatnonzero(seen)
-        number = np.zeros(LETTERS**3, np.int32)
-        number[used] = np.arange(len(used))
-        counts = np.bincount(owner * len(used) + number[grams], minlength=len(texts) * len(used)).reshape(len(texts), -1)
-        bound = self.letters[0][used // LETTERS**2] * self.letters[1][used // LETTERS % LETTERS] * self.letters[2][used % LETTERS]
-        sums = counts.astype(np.float32) @ bound.astype(np.float32)
+        sums = self._bundled(grams[whole], owner[:-2][whole], len(texts))
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
         return sums / np.maximum(norms, 1e-9), letters
 

@@ -126,12 +126,12 @@ LICENSE_TEXTS = {
     "unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
-# Searched for by default. The SQL of op3_license_scan has NOTICES alone.
-TEMPLATES = {**NOTICES, **LICENSE_TEXTS}
-
-# Not searched for by default: the SQL leaves out notices of fewer than five words.
+# A notice of fewer than five words.
 SHORT_NOTICES = {"all-rights-reserved": "All rights reserved."}
 
+# Searched for by default.
+TEMPLATES = {**NOTICES, **SHORT_NOTICES, **LICENSE_TEXTS}
+
 
 def _words() -> Column:
     return F.regexp_extract_all(F.lower("text"), F.lit("[a-z0-9]+"), F.lit(0))
@@ -184,7 +184,8 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
     equals. Documents without a notice have no row; null texts have none. A null doc_id stays
     null, and repeated rows each give their rows. A notice of fewer than five words must occur
     word for word; one without words can't be searched for. Notices of one, two, three and four
-    words take a pass over the texts for each of these lengths. Only `doc_id` and `text` are read.
+    words take a pass over the texts for each of these lengths. Very long texts are searched whole,
+    and an empty table gives no rows. Only `doc_id` and `text` are read.
     """
     notices = TEMPLATES if notices is None else notices
     texts = docs.sparkSession.createDataFrame(list(notices.items()), "license string, text string")

@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidestream.llm.storage import packed
 from tidestream.session import stored
 
 MIN_SITES = 10
-MIN_WORDS = 3
+MIN_WORDS = 1
 LOG_SKETCH_SIZE = 12
 MARGIN = 0.05  # three standard errors of a sketch with 2**12 registers
 
@@ -59,23 +60,37 @@ def _without(lines: Column, gone: Column) -> Column:
     return F.array_join(kept, "\n")
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
-    """All rows of `docs` with boilerplate lines removed from `text`, plus two counts.
+def clean_texts(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per row of `docs`: document (all of its columns), text, lines, removed.
 
-    `__lines` is the number of lines of the text and `__removed` how many went. Lines are what
-    lies between line feeds, compared without outer blanks; blank lines and lines of fewer
-    than `min_words` words always stay. A text without boilerplate is unchanged, a null text stays null, and a text
-    of boilerplate alone becomes empty. Rows with the same text, null ids and repeated rows
-    all keep their row; other columns pass through.
+    `text` is without boilerplate lines, `lines` is the number of lines of the text and `removed`
+    how many went. Lines are what lies between line feeds, compared without outer blanks; blank
+    lines and those of fewer than `min_words` words always stay. A text without boilerplate is
+    unchanged, a null text stays null with no line, and a text of boilerplate alone becomes empty.
+    Very long texts are cleaned whole. A line on exactly `min_sites` sites goes. Rows with the same
+    text, null ids and repeated rows all keep their row, and an empty table gives none. Only `text`
+    and `source` are read.
     """
     boilerplate = boilerplate_lines(docs, min_sites, min_words)
+    text = F.col("document.text")
+    keyed = packed(docs).withColumn("t", F.md5(text.cast("binary")))
     lines = docs.select(F.md5(F.col("text").cast("binary")).alias("t"), F.posexplode(_lines(F.col("text"))).alias("pos", "line"))
     hits = lines.select("t", "pos", _key(F.col("line"), min_words).alias("key")).join(boilerplate, "key")
-    gone = hits.groupBy("t").agg(F.sort_array(F.collect_set("pos")).alias("__gone"))
-    keyed = docs.withColumn("__t", F.md5(F.col("text").cast("binary")))
-    marked = keyed.join(gone.withColumnRenamed("t", "__t"), "__t", "left").drop("__t")
-    text = F.col("text")
-    marked = marked.withColumn("__lines", F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long"))
-    marked = marked.withColumn("text", F.when(F.col("__gone").isNull(), text).otherwise(_without(_lines(text), F.col("__gone"))))
-    removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
-    return marked.withColumn("__removed", removed).drop("__gone")
+    gone = hits.groupBy("t").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    marked = keyed.join(gone, "t", "left")
+    return marked.select(
+        "document",
+        F.when(F.col("gone").isNull(), text).otherwise(_without(_lines(text), F.col("gone"))).alias("text"),
+        F.when(text.isNull(), 0).otherwise(F.size(_lines(text))).cast("long").alias("lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed"),
+    )
+
+
+def remove_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, min_words: int = MIN_WORDS) -> DataFrame:
+    """All rows of `docs` with boilerplate lines removed from `text`, as `clean_texts` does.
+
+    Columns and their order are those of `docs`; all but `text` pass through, whatever their names.
+    """
+    cleaned = clean_texts(docs, min_sites, min_words)
+    columns = [F.col("text") if c == "text" else F.col(f"document.`{c}`").alias(c) for c in docs.columns]
+    return cleaned.select(*columns)

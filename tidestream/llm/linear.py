@@ -33,13 +33,18 @@ def sample_limit(count: int, bound: int) -> int:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE_ROWS) -> DataFrame:
     """Rows (label, text) to learn from: labelled, not held out, at most about `bound` of them.
 
-    Of several labels of a document the largest counts; null labels and ids are no labels.
+    Of several labels of a document the largest counts; null labels and ids are no labels. Of several
+    rows with one id the one with the smallest hash of its text counts, so the bound holds however
+    often an id is repeated. Without labels, or without their documents, there are no rows. Very
+    long texts count whole. Only doc_id and text, and doc_id and the label column, are read.
     """
     known = labels.groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
     known = known.where("doc_id is not null and label is not null").where(~held_out(F.col("doc_id")))
     chosen = known.where(sample_place("doc_id") < sample_limit(known.count(), bound))
     # The sample's ids and labels are bounded by `bound`: some hundred kilobytes.
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id").agg(F.max("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    return one.select("label", "text")
 
 
 def featurise(make):

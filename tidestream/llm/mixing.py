@@ -11,12 +11,15 @@ from its target by less than one document. All chances come from hashes, so reru
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidestream.llm.storage import packed
 from tidestream.llm.words import mix
 from tidestream.session import stored
 
@@ -99,25 +102,50 @@ def _round_block(level: int):
     return run
 
 
+def _spread(todo: DataFrame) -> DataFrame:
+    """The rows with a key of their own where more rows share one than a block holds.
+
+    Rows with the same key are alike in id, size and text, so it does not matter which of them is
+    taken, but masses of them must not meet in one block. They are numbered 0, 1, ... in groups of
+    about a block's size and the number joins the key, so the outcome does not depend on how the
+    table is partitioned.
+    """
+    hot = stored(todo.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK_DOCUMENTS), "mixing-hot")
+    most = hot.agg(F.max("rows")).first()[0]
+    if most is None:
+        return todo
+    groups = math.ceil(most / BLOCK_DOCUMENTS)
+    mine = todo.join(hot.select("key"), "key").withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
+    sizes = mine.groupBy("key", "group").agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("key").orderBy("group")) - F.col("rows")
+    numbered = mine.join(sizes.select("key", "group", before.alias("before")), ["key", "group"])
+    number = F.col("before") + F.row_number().over(Window.partitionBy("key", "group").orderBy("row"))
+    renamed = numbered.withColumn("own", F.xxhash64("key", number)).drop("key").withColumnRenamed("own", "key")
+    return todo.join(hot.select("key"), "key", "left_anti").unionByName(renamed.select(*todo.columns))
+
+
 def mix_copies(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES, row: str | None = None) -> DataFrame:
     """How often the mix takes every document: (row, doc_id, size, source_size, target, copies).
 
     A null text has no words, a null source is a source of its own, the last. Documents without
     words take nothing and change no sum. Repeated rows and null ids count as documents. `row`
     names a column that numbers the rows; without it they are numbered here. Columns other than
-    `doc_id`, `source`, `text` and that one are not read.
+    `doc_id`, `source`, `text` and that one are not read. Very long texts count whole. Rows with the
+    same id, size and text are interchangeable, however many there are; nothing else ties. An empty
+    table gives no rows.
     """
     number = F.col(row) if row else F.monotonically_increasing_id()
-    sizes = stored(docs.select("doc_id", "source", word_count("text").alias("size"), number.alias("row")), "mixing-sizes")
+    sizes = stored(docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("t"), number.alias("row")), "mixing-sizes")
     targets = stored(source_targets(sizes, weights, most), "mixing-targets")
     joined = sizes.join(targets.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source")))
     each = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    joined = joined.select("row", "doc_id", "size", "source_id", "source_size", "documents", "target", each.alias("each"))
-    key = F.xxhash64("doc_id", "size")
+    joined = joined.select("row", "doc_id", "size", "t", "source_id", "source_size", "documents", "target", each.alias("each"))
     blocks = F.ceil(F.col("documents") / BLOCK_DOCUMENTS)
-    todo = joined.select(
-        "row", "source_id", F.pmod(F.xxhash64(key), blocks).alias("block"), "size", key.alias("key"), (F.col("each") - F.floor("each")).alias("chance")
-    ).where("chance > 0 and chance < 1")
+    fraction = F.col("each") - F.floor("each")
+    todo = joined.select("row", "source_id", blocks.alias("blocks"), "size", F.xxhash64("doc_id", "size", "t").alias("key"), fraction.alias("chance"))
+    todo = _spread(todo.where("chance > 0 and chance < 1"))
+    block = F.pmod(F.xxhash64("key"), F.col("blocks"))
+    todo = todo.select("row", "source_id", block.alias("block"), "size", "key", "chance")
     most_blocks = int(targets.agg(F.max(F.ceil(F.col("documents") / BLOCK_DOCUMENTS))).first()[0] or 0)
     settled, level = None, 0
     while True:
@@ -139,10 +167,12 @@ def mix_copies(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES, row: s
 def take_mix(docs: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """The documents of the mix: every row of `docs` as often as it is taken, same columns.
 
-    Documents without words are in no share and go.
+    Documents without words are in no share and go. Every other column passes through, whatever its
+    name.
     """
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "mixing-documents")
-    copies = mix_copies(numbered, weights, most, row="__row").where("copies > 0")
-    taken = numbered.join(copies.select(F.col("row").alias("__row"), F.col("copies").alias("__copies")), "__row")
-    repeated = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])
+    numbered = stored(packed(docs).withColumn("row", F.monotonically_increasing_id()), "mixing-documents")
+    read = numbered.select("document.doc_id", "document.source", "document.text", "row")
+    copies = mix_copies(read, weights, most, row="row").where("copies > 0")
+    taken = numbered.join(copies.select("row", "copies"), "row")
+    repeated = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return repeated.select("document.*")

@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
-from tidestream.llm.license_scan import NOTICES, window_plan
+from tidestream.llm.license_scan import SHINGLE_WORDS, TEMPLATES, window_plan
 
 
 def _license_sql() -> str:
     """Every window of every document against every notice, by joining their shingles."""
-    names = ", ".join(f"('{name}', '{text}')" for name, text in NOTICES.items())
-    lengths = ", ".join(f"({m}, {length}, {step})" for m in range(1, 101) for length, step, _ in [window_plan(m)])
-    shingles = "list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))"
+    names = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES.items())
+    lengths = ", ".join(f"({m}, {length}, {step})" for m in range(1, 401) for length, step, _ in [window_plan(m)])
     return f"""
-with notices as (select * from (values {names}) as n(license, body)),
+with notices as (
+  select license, ws, least(len(ws), {SHINGLE_WORDS}) as size
+  from (select license, regexp_extract_all(lower(body), '[a-z0-9]+') as ws from (values {names}) as n(license, body)) as w),
 wanted as (
-  select distinct license, unnest({shingles}) as sh
-  from (select license, regexp_extract_all(lower(body), '[a-z0-9]+') as ws from notices) as w where len(ws) >= 5),
+  select distinct license, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) as sh
+  from notices),
 shapes as (
   select license, m, length, step from (select license, count(*) as m from wanted group by license) as c
   join (values {lengths}) as p(m, length, step) using (m)),
 have as (
-  select doc_id, unnest({shingles}) as sh, unnest(range(len(ws) - 4)) as pos
-  from (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') as ws from documents) as w where len(ws) >= 5),
+  select doc_id, size,
+    unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i + size - 1], ' '))) as sh,
+    unnest(range(len(ws) - size + 1)) as pos
+  from (select doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') as ws from documents) as w,
+       (select distinct size from notices) as s where len(ws) >= size),
 hits as (
-  select doc_id, license, m, length, sh,
+  select doc_id, license, m, length, size, sh,
     unnest(range(cast(ceil(greatest(pos - length + 1, 0) / step) as bigint), pos // step + 1)) * step as start
-  from have join wanted using (sh) join shapes using (license)),
+  from have join wanted using (size, sh) join shapes using (license)),
 windows as (
-  select doc_id, license, length, start, count(distinct sh) / m as containment
-  from hits group by doc_id, license, m, length, start)
-select doc_id, license, containment, start as first_word, start + length + 3 as last_word
+  select doc_id, license, length, size, start, count(distinct sh) / m as containment
+  from hits group by doc_id, license, m, length, size, start)
+select doc_id, license, containment, start as first_word, start + length + size - 2 as last_word
 from (select *, row_number() over (partition by doc_id, license order by containment desc, start) as place
       from windows where containment >= 0.8) as best where place = 1"""
 
@@ -123,7 +127,7 @@ with lines as (
   from documents where text is not null),
 keyed as (select *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) as bare from lines),
 wide as (
-  select bare from keyed where regexp_matches(bare, '^[^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]+[^\x20\x09-\x0D]+')
+  select bare from keyed where bare <> ''
   group by bare having count(distinct site) >= 10),
 kept as (
   select doc_id, count(*) as lines, count(*) filter (where w.bare is not null) as removed,

@@ -50,6 +50,15 @@ def join_hot(rows: DataFrame, lookup: DataFrame, key: str, count: str) -> DataFr
     return rows.join(F.broadcast(hot), key).unionByName(spread)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns of `docs` in one column `document`.
+
+    So columns that an operator adds for itself never meet one of the caller's. The operator reads
+    `document.text`, and `select("document.*")` gives the caller's columns back.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Texts go to Python in batches of at most 1,000 rows, which bounds the buffers of a task."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
