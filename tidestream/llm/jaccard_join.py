@@ -112,6 +112,9 @@ class _Chunk:
             each = times
         else:
             each = np.where(times > 1, np.uint16(_MANY), docs[starts])
+            # In the order of documents within a bucket their numbers compress to almost nothing.
+            by_doc = np.argsort((bucket << 16) | each)
+            low, each = low[by_doc], each[by_doc]
             known = np.bincount(docs[np.repeat(times > 1, times)], minlength=len(self.ids))
             facts = np.column_stack([facts, known.astype(np.uint64)])
         full = np.flatnonzero(np.diff(at))
