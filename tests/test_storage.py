@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 import pytest
 from helpers import event, events_frame, item, one
 from pyspark.sql import functions as F
@@ -204,9 +206,22 @@ def test_warehouse_load_sends_the_stored_metrics(spark, batch, tmp_path, monkeyp
     """Without a database: what would be written, and where."""
     process_batch(batch, str(tmp_path), "b1")
     sent = {}
-    monkeypatch.setattr(warehouse, "write_jdbc", lambda df, options: sent.update({options["dbtable"]: df.count()}))
-    load_warehouse(spark, str(tmp_path), warehouse.jdbc_options("jdbc:x", "", "u", "p", "org.Driver"))
-    assert set(sent) == set(warehouse.WAREHOUSE_TABLES.values()) and all(sent.values())
+    monkeypatch.setattr(warehouse, "write_jdbc", lambda df, options, mode: sent.update({(options["dbtable"], mode): df}))
+    run = []
+    monkeypatch.setattr(warehouse, "run_statements", lambda spark, options, statements: run.append(statements))
+    options = warehouse.jdbc_options("jdbc:x", "", "u", "p", "org.Driver")
+    for _ in range(2):  # a load can be repeated
+        load_warehouse(spark, str(tmp_path), options, [dt.date(2024, 1, 6), dt.date(2024, 1, 9)])
+    assert set(sent) == {(f"{name}_staging", "overwrite") for name in warehouse.WAREHOUSE_TABLES.values()}
+    hourly = sent["hourly_clickstream_metrics_staging", "overwrite"]
+    assert [(str(r.event_date), r.total_events) for r in hourly.collect()] == [("2024-01-06", 1)]
+    assert not {"year", "month", "day"} & set(hourly.columns)
+    delete, insert = run[0]
+    assert delete == "DELETE FROM hourly_clickstream_metrics WHERE event_date IN (DATE '2024-01-06', DATE '2024-01-09')"
+    assert insert.startswith("INSERT INTO hourly_clickstream_metrics (event_date, event_hour, ") and insert.endswith(" FROM hourly_clickstream_metrics_staging")
+    assert run[:3] == run[3:]
+    load_warehouse(spark, str(tmp_path), options, [])
+    assert len(run) == 6
 
 
 def test_predictions_fall_back_to_a_table(spark):

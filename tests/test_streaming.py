@@ -10,7 +10,7 @@ from helpers import assert_same, event, events_frame
 from pyspark.sql import functions as F
 
 from tidestream.operators import windows
-from tidestream.plans.batch import process_batch, read_events
+from tidestream.plans.batch import current_metrics, process_batch, read_events
 from tidestream.sinks.lake import metric_path, quarantine_path, raw_path
 from tidestream.sources.messages import decode_messages, read_event_files
 from tidestream.streaming import queries
@@ -143,6 +143,33 @@ def test_streamed_metrics_are_those_of_one_batch(spark, inbox, tmp_path, cut):
         assert_same(streamed.select(*whole.columns), whole)
 
 
+def test_merged_metrics_of_a_stream(spark, inbox, tmp_path):
+    """Cells of micro-batches, with copies in other batches, late events and a restart, against one batch."""
+    rows = [
+        event(str(k), ("page_view", "add_to_cart", "purchase", "search")[k % 4], f"2024-01-0{5 + k % 2}T{10 + k % 5}:00:00Z",
+              user_id=f"u{k % 2}", session_id=f"s{k % 2}", product_id=f"P{k % 3}")
+        for k in range(12)
+    ]
+    lake, days = f"{tmp_path}/s", [(2024, 1, 5), (2024, 1, 6)]
+
+    def run():
+        stream = read_event_files(spark, inbox.folder, max_files=1)
+        queries.start_clickstream(stream, lake, f"{tmp_path}/cp", interval=None, refresh="merge").awaitTermination()
+
+    inbox(*rows[6:], rows[7])
+    inbox(*rows[:4], rows[8])
+    run()
+    inbox(*rows[4:6], rows[0])
+    run()
+    process_batch(events_frame(spark, *rows), f"{tmp_path}/b", "b1")
+    merged = current_metrics(spark, lake, days)
+    for name in ("sessions", "products", "hourly", "categories", "devices"):
+        whole = spark.read.parquet(metric_path(f"{tmp_path}/b/processed", name))
+        columns = merged[name].columns
+        assert_same(merged[name].select(*columns), whole.select(*columns))
+    assert read_events(spark, lake).count() == 12
+
+
 def test_quarantine_gives_reasons(spark, inbox, tmp_path):
     inbox(event("1"), "{broken", event("3", at="never"), event("4", user_id=None))
     stream = read_event_files(spark, inbox.folder)

@@ -17,7 +17,7 @@ SESSION_MEASURES = (
 )
 
 
-def _session_cells(events: DataFrame) -> DataFrame:
+def session_cells(events: DataFrame) -> DataFrame:
     """Events folded to cells per session: one for all events, one per product, category and device.
 
     Grouping by session and cell spreads a hot session over many tasks, and partial aggregation
@@ -51,6 +51,11 @@ def session_metrics(events: DataFrame) -> DataFrame:
     events stays a small row (`with_full_lists` spells the repeats out). device_type is the
     device of the session's first event.
     """
+    return sessions_from_cells(session_cells(events))
+
+
+def sessions_from_cells(cells: DataFrame) -> DataFrame:
+    """The rows of `session_metrics` from session cells, one for every key and value."""
 
     def of(kind: str, value: Column) -> Column:
         return F.when(F.col("kind") == kind, value)
@@ -58,7 +63,7 @@ def session_metrics(events: DataFrame) -> DataFrame:
     tally = F.struct(F.col("value").alias("value"), F.col("n").alias("n"))
     first = F.when(F.col("first_at").isNotNull(), F.struct("first_at", "value"))
     counted = (
-        _session_cells(events)
+        cells
         .groupBy(*SESSION_KEYS)
         .agg(
             F.sum(of("event", F.col("n"))).alias("page_views"),

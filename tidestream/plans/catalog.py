@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tidestream.functions import render_counts
 from tidestream.operators import carts, enrich, features, metrics, predictions, propensity
 from tidestream.operators import quality, sessions, windows
-from tidestream.session import stored
+from tidestream.session import ensure_checkpoint_dir, stored
+from tidestream.sinks import raw
 from tidestream.sources import messages, testdata
 from tidestream.sources.testdata import AS_OF, TEST_CATEGORIES
 
@@ -102,8 +103,17 @@ def parse_envelope(spark, sf_dir):
 
 @query
 def raw_partition_counts(spark, sf_dir):
+    """Written to a raw table in two batches, compacted in part, and read back by its versions."""
     events = testdata.enriched_events(spark, sf_dir)
-    return enrich.partition_counts(enrich.add_time_partitions(events))
+    root = f"{ensure_checkpoint_dir(spark)}/raw-{raw.new_run()}"
+    schema = enrich.add_time_partitions(events).schema
+    late = F.pmod(F.xxhash64("event_id"), F.lit(2)) == 1
+    for batch_id, rows in (("early", events.where(~late)), ("late", events.where(late))):
+        raw.write_raw(rows, root, batch_id)
+    first = enrich.add_time_partitions(events).agg(F.min(F.struct("year", "month", "day", "hour")).alias("hour")).first()["hour"]
+    if first is not None:
+        raw.compact_hours(spark, root, schema, (*first[:3], 24))
+    return enrich.partition_counts(raw.read_raw(spark, root, schema))
 
 
 # -- quality ------------------------------------------------------------------

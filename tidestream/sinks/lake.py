@@ -1,10 +1,7 @@
-"""Partitioned Parquet tables.
+"""Partitioned Parquet tables: metrics, quarantine, the daily report, baselines.
 
-The raw table keeps the events of a batch in folders of its own below each hour:
-year/month/day/hour/batch_id. A date filter therefore prunes before any batch is listed, and a
-repeated batch replaces its own rows and no others. What a batch wrote is noted in a small
-manifest, so a repeat that no longer fills an hour empties it. The metric tables hold one
-version of each day, which `refresh_days` recomputes from all batches of the day.
+The metric tables hold one version of each day, which `refresh_days` recomputes from all batches
+of the day. The raw events are in `sinks.raw`.
 """
 
 from __future__ import annotations
@@ -20,11 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidestream.constants import CLICKSTREAM_TOPIC
-from tidestream.operators.enrich import (
-    PARTITION_COLUMNS,
-    add_day_partitions,
-    add_time_partitions,
-)
+from tidestream.operators.enrich import PARTITION_COLUMNS, add_day_partitions
 
 Parts = tuple  # values of the leading partition columns, None for rows without a time
 
@@ -51,7 +44,7 @@ def batch_path(path: str, batch_id: str) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def _write(df: DataFrame, path: str, columns: Sequence[str], **options: str) -> set[Parts]:
+def write_partitions(df: DataFrame, path: str, columns: Sequence[str], **options: str) -> set[Parts]:
     """Write `df` over its partitions of `path`; returns the partitions that got rows.
 
     Rows are gathered by partition, but a large one is split over as many tasks as it fills.
@@ -69,39 +62,6 @@ def _empty(spark: SparkSession, schema: T.StructType, path: str, drop: Iterable[
     spark.createDataFrame([], kept).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def _manifest(spark: SparkSession, root: str, topic: str, batch_id: str) -> tuple[str, set[Parts]]:
-    """Where the hours that a batch has written are noted, and what is noted so far."""
-    path = f"{root.rstrip('/')}/batches/{topic}/{batch_id}"
-    try:
-        rows = spark.read.schema("year INT, month INT, day INT, hour INT").parquet(path).collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return path, set()
-    return path, {tuple(r) for r in rows}
-
-
-def write_raw(
-    events: DataFrame, root: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC
-) -> tuple[set[Parts], set[Parts]]:
-    """Enriched events of a batch by hour; returns the hours filled and the hours touched.
-
-    Touched are also the hours that an earlier run of this batch had filled.
-    """
-    spark, path = events.sparkSession, raw_path(root, topic)
-    dated = add_time_partitions(events).drop("batch_id").withColumn("batch_id", F.lit(batch_id))
-    manifest, before = _manifest(spark, root, topic, batch_id)
-    columns = [*PARTITION_COLUMNS, "batch_id"]
-    filled = {part[:4] for part in _write(dated, path, columns, partitionOverwriteMode="dynamic")}
-    for part in before - filled:
-        _empty(spark, dated.schema, batch_path(part_path(path, part), batch_id), columns)
-    if filled != before:
-        hours = [tuple(part) for part in sorted(filled | before, key=repr)]
-        noted = spark.createDataFrame(hours, "year INT, month INT, day INT, hour INT")
-        noted.coalesce(1).write.mode("overwrite").parquet(manifest)
-    return filled, filled | before
-
-
 def write_metrics(
     metrics: Mapping[str, DataFrame], root: str, days: set[Parts], topic: str = CLICKSTREAM_TOPIC
 ) -> None:
@@ -115,7 +75,7 @@ def write_metrics(
 
     def write(name: str) -> None:
         path, dated = metric_path(root, name, topic), add_day_partitions(metrics[name])
-        filled = _write(dated, path, columns, partitionOverwriteMode="dynamic")
+        filled = write_partitions(dated, path, columns, partitionOverwriteMode="dynamic")
         for day in days - filled:
             _empty(spark, dated.schema, part_path(path, day), columns)
 
@@ -127,13 +87,22 @@ def write_quarantine(
     rows: DataFrame, root: str, batch_id: str, topic: str = CLICKSTREAM_TOPIC
 ) -> None:
     """Rejected rows of a batch, as JSON text with the reason; none replace what there was."""
-    _write(rows, batch_path(quarantine_path(root, topic), batch_id), ())
+    write_partitions(rows, batch_path(quarantine_path(root, topic), batch_id), ())
+
 
+def write_daily_summary(
+    summary: DataFrame, root: str, topic: str = CLICKSTREAM_TOPIC, days: Iterable[dt.date] = ()
+) -> str:
+    """The curated daily report of a topic; a rerun replaces the days it covers and no others.
 
-def write_daily_summary(summary: DataFrame, root: str) -> str:
-    """The curated daily report; a rerun replaces the days it covers and no others."""
+    Of the given `days`, those that got no row become empty.
+    """
     path = f"{root.rstrip('/')}/daily_summary"
-    _write(summary, path, ["report_date"], partitionOverwriteMode="dynamic")
+    columns = ["topic", "report_date"]
+    named = summary.withColumn("topic", F.lit(topic))
+    filled = {part[1] for part in write_partitions(named, path, columns, partitionOverwriteMode="dynamic")}
+    for day in set(days) - filled:
+        _empty(summary.sparkSession, named.schema, f"{path}/topic={topic}/report_date={day}", columns)
     return path
 
 

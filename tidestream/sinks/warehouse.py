@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -45,8 +46,52 @@ def flatten_arrays(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.concat_ws(",", c) for c in arrays}) if arrays else df
 
 
-def write_jdbc(df: DataFrame, options: Mapping[str, str]) -> None:
-    flatten_arrays(df).write.format("jdbc").options(**options).mode("append").save()
+def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append") -> None:
+    flatten_arrays(df).write.format("jdbc").options(**options).mode(mode).save()
+
+
+def swap_statements(target: str, staging: str, columns: Sequence[str], days: Sequence[dt.date], day_column: str = "event_date") -> list[str]:
+    """SQL that puts the rows of a staging table in place of a target's rows of some days."""
+    names = ", ".join(columns)
+    dates = ", ".join(f"DATE '{day.isoformat()}'" for day in days)
+    return [
+        f"DELETE FROM {target} WHERE {day_column} IN ({dates})",
+        f"INSERT INTO {target} ({names}) SELECT {names} FROM {staging}",
+    ]
+
+
+def run_statements(spark: SparkSession, connection: Mapping[str, str], statements: Sequence[str]) -> None:
+    """Statements in one transaction of the warehouse, from the driver."""
+    jvm = spark._jvm
+    jvm.java.lang.Class.forName(connection["driver"])
+    opened = jvm.java.sql.DriverManager.getConnection(connection["url"], connection["user"], connection["password"])
+    try:
+        opened.setAutoCommit(False)
+        try:
+            for text in statements:
+                statement = opened.createStatement()
+                statement.executeUpdate(text)
+                statement.close()
+            opened.commit()
+        except Exception:
+            opened.rollback()
+            raise
+    finally:
+        opened.close()
+
+
+def replace_days_jdbc(df: DataFrame, connection: Mapping[str, str], days: Sequence[dt.date]) -> None:
+    """Replace some days of the table named in `connection`, which exists, by the rows of `df`.
+
+    The rows go to a staging table, written over at every load; the swap is one transaction. So a load that
+    fails changes nothing, and one that is repeated changes nothing more.
+    """
+    if not days:
+        return
+    target = connection["dbtable"]
+    staging = f"{target}_staging"
+    write_jdbc(df, {**connection, "dbtable": staging}, "overwrite")
+    run_statements(df.sparkSession, connection, swap_statements(target, staging, df.columns, days))
 
 
 def write_metrics_jdbc(metrics: Mapping[str, DataFrame], connection: Mapping[str, str]) -> None:

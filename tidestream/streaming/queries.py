@@ -12,12 +12,13 @@ from pyspark.sql.streaming import StreamingQuery
 from tidestream.constants import BATCH_INTERVAL, CLICKSTREAM_TOPIC
 from tidestream.operators.enrich import add_event_time
 from tidestream.operators.quality import is_valid
-from tidestream.plans.batch import store_batch
+from tidestream.plans.batch import MERGE, store_batch
 from tidestream.schemas import CORRUPT_COLUMN
 from tidestream.sinks.lake import write_quarantine
 from tidestream.sources.messages import route_topics, well_formed
 
 WATERMARK = "5 minutes"
+SEEN_WITHIN = "1 hour"
 
 
 def timed_events(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -80,6 +81,16 @@ def stored_stream(events: DataFrame) -> DataFrame:
     return timed.where(F.try_to_timestamp("timestamp").isNotNull())
 
 
+def distinct_arrivals(events: DataFrame, seen_within: str = SEEN_WITHIN) -> DataFrame:
+    """The first copy of every event_id to arrive, among those that arrive within some time of it.
+
+    The watermark follows the time of arrival and not that of the event, so late events are kept, and
+    state is dropped by the clock. Events without an id count as copies of each other.
+    """
+    arriving = events.withColumn("arrived_at", F.current_timestamp()).withWatermark("arrived_at", seen_within)
+    return arriving.dropDuplicatesWithinWatermark(["event_id"]).drop("arrived_at")
+
+
 def query_identity(spark: SparkSession, checkpoint: str) -> str:
     """A name that a query keeps over restarts and that a new checkpoint does not repeat."""
     metadata = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
@@ -104,22 +115,31 @@ def start_clickstream(
     checkpoint: str,
     topic: str = CLICKSTREAM_TOPIC,
     interval: str | None = BATCH_INTERVAL,
-    refresh: bool = True,
+    refresh: bool | str = True,
+    seen_within: str = SEEN_WITHIN,
 ) -> StreamingQuery:
     """Each micro-batch through `store_batch`; without an interval, whatever is there now.
 
     All valid events are stored, late ones too, and the metrics of the days they belong to are
-    computed anew; with `refresh` off they are left to a scheduled `refresh_days`. A batch is
-    stored under the query's identity and its number: one that is repeated after a failure
-    replaces itself, and another query or checkpoint never does.
+    computed anew, which reads those days. With `refresh` "merge" a batch adds the cells of its own
+    events instead, so its cost does not grow with the day: copies that arrive `seen_within` of the
+    first are removed by the stream's state, and `current_metrics` has the metrics at any time. Copies
+    that come later still, or by another query, count until `rebuild_cells` makes the day again. With
+    `refresh` off the metrics are left to a scheduled `refresh_days`. A batch is stored under the
+    query's identity and its number: one that is repeated after a failure replaces itself, and
+    another query or checkpoint never does.
     """
-    spark = events.sparkSession
+    spark, identity = events.sparkSession, []
+    stream = stored_stream(events)
+    if refresh == MERGE:
+        stream = distinct_arrivals(stream, seen_within)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch_id = f"stream_{query_identity(spark, checkpoint)}_{number}"
-        store_batch(batch, lake, batch_id, topic, refresh=refresh, spark=spark)
+        if not identity:
+            identity.append(query_identity(spark, checkpoint))
+        store_batch(batch, lake, f"stream_{identity[0]}_{number}", topic, refresh=refresh, spark=spark)
 
-    writer = stored_stream(events).writeStream.foreachBatch(store)
+    writer = stream.writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
 
 
