@@ -1,0 +1,184 @@
+"""What streams keep in state: exact users, sessions with timers, and counts over a query's life."""
+
+from __future__ import annotations
+
+import json
+import os
+from types import SimpleNamespace
+
+import pytest
+from helpers import assert_same, event, events_frame
+from pyspark.sql import functions as F
+
+from tidestream.operators import windows
+from tidestream.operators.enrich import enrich_events
+from tidestream.operators.quality import validate_events
+from tidestream.operators.sessions import session_metrics
+from tidestream.sources.messages import kafka_options, read_event_files
+from tidestream.streaming import queries
+from tidestream.streaming.live_sessions import finished_sessions, session_cell_stream
+from tidestream.streaming.progress import RowCounts, dropped_in_life, row_counts
+
+
+@pytest.fixture
+def inbox(tmp_path):
+    """Writes one file of events per call."""
+    folder = tmp_path / "inbox"
+    folder.mkdir()
+    count = iter(range(1000))
+
+    def put(*rows):
+        number = next(count)
+        path = folder / f"{number:03d}.json"
+        path.write_text("\n".join(json.dumps(r) for r in rows))
+        os.utime(path, (1_700_000_000 + number, 1_700_000_000 + number))
+
+    put.folder = str(folder)
+    return put
+
+
+def drain(spark, frame, tmp_path, name, **options):
+    path, checkpoint = f"{tmp_path}/{name}", f"{tmp_path}/{name}-checkpoint"
+    queries.start_window_table(frame, path, checkpoint, interval=None, **options).awaitTermination()
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def test_a_batch_is_cut_by_count_or_time():
+    options = kafka_options("h:9092", ["a"])
+    assert (options["minOffsetsPerTrigger"], options["maxTriggerDelay"]) == ("100", "30 seconds")
+    assert "maxOffsetsPerTrigger" not in options
+    assert not {"minOffsetsPerTrigger", "maxTriggerDelay"} & set(kafka_options("h:9092", ["a"], min_rows=None))
+    assert kafka_options("h:9092", ["a"], min_rows=5, max_delay="2 minutes")["maxTriggerDelay"] == "2 minutes"
+
+
+def visits():
+    rows = []
+    for k in range(90):
+        rows.append(event(str(k), at=f"2024-01-05T{10 + k // 40}:{k % 40:02}:{k % 60:02}Z", user_id=f"u{k % 13}",
+                          product_category=None if k % 17 == 0 else f"c{k % 3}"))
+    return rows
+
+
+END = event("end", at="2024-01-05T23:00:00Z")
+
+
+@pytest.mark.parametrize("cut", [1, 4])
+def test_users_of_a_stream_are_exact(spark, inbox, tmp_path, cut):
+    """Minute by category and hour, with users in many batches and copies, equal their batch twins."""
+    rows = visits()
+    for k in range(cut):
+        inbox(*rows[k * 90 // cut : (k + 1) * 90 // cut], rows[k * 90 // cut])
+    inbox(END)
+    events = validate_events(events_frame(spark, *rows)).transform(enrich_events)
+    for metric in (windows.category_minute, windows.active_users):
+        stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1))
+        found = drain(spark, metric(stream), tmp_path, metric.__name__)
+        assert_same(found, metric(events).select(*found.columns))
+
+
+def test_state_of_exact_counts_expires(spark, inbox, tmp_path):
+    inbox(*visits())
+    inbox(END)
+    inbox(event("later", at="2024-01-06T12:00:00Z"))
+    stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1))
+    query = queries.start_window_table(windows.category_minute(stream), f"{tmp_path}/out", f"{tmp_path}/cp", interval=None)
+    query.awaitTermination()
+    states = query.recentProgress[-1]["stateOperators"]
+    assert len(states) == 3 and all(state["numRowsTotal"] <= 2 for state in states)
+
+
+def test_approximate_users_on_request(spark, inbox, tmp_path):
+    inbox(*visits(), END)
+    stream = queries.valid_stream(read_event_files(spark, inbox.folder))
+    found = drain(spark, windows.active_users(stream, exact=False), tmp_path, "users").collect()
+    assert sorted(r.active_users for r in found) == [10, 13, 13]
+
+
+KINDS = ("page_view", "add_to_cart", "purchase", "search")
+
+
+def clicks(n=80):
+    rows = []
+    for k in range(n):
+        device = None if k % 9 == 0 else {"type": ("mobile", "desktop")[k % 2], "os": "x", "browser": "y"}
+        session = "hot" if k % 3 else f"s{k % 7}"
+        rows.append(event(str(k), KINDS[k % 4], f"2024-01-0{5 + k // 40}T{8 + k % 12:02}:{k % 60:02}:00.5Z", session_id=session,
+                          user_id=f"u-{session}", product_id=f"P{k % 6}", device_info=device, product_category=f"c{k % 2}" if k % 5 else None))
+    return rows
+
+
+@pytest.mark.parametrize("cut", [1, 3, 10])
+def test_live_sessions_are_those_of_a_batch(spark, inbox, tmp_path, cut):
+    """Whole sessions, each once, whatever the cut; a copy counts once; the open day is not there yet."""
+    rows = clicks()
+    for k in range(cut):
+        inbox(*rows[k * 80 // cut : (k + 1) * 80 // cut], rows[k * 80 // cut])
+    stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1), watermark="1 day")
+    found = drain(spark, session_cell_stream(stream), tmp_path, "cells")
+    assert found.count() == 0  # no day has passed yet
+    inbox(event("end", at="2024-01-09T00:00:00Z", session_id="open"))
+    inbox(event("end2", at="2024-01-09T00:00:01Z", session_id="open"))
+    found = drain(spark, session_cell_stream(stream), tmp_path, "cells")
+    wanted = session_metrics(validate_events(events_frame(spark, *rows)).transform(enrich_events))
+    got = finished_sessions(found)
+    assert got.count() == wanted.count() > 4
+    assert_same(got.select(*wanted.columns), wanted)
+
+
+def test_a_hot_session_has_bounded_state(spark, inbox, tmp_path):
+    """4,000 events of one session are a cell for each of its few values."""
+    rows = [event(str(k), KINDS[k % 4], f"2024-01-05T10:{k % 60:02}:00Z", product_id=f"P{k % 5}") for k in range(4000)]
+    for k in range(4):
+        inbox(*rows[k::4])
+    stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1), watermark="1 day")
+    query = queries.start_window_table(session_cell_stream(stream), f"{tmp_path}/o", f"{tmp_path}/c", interval=None)
+    query.awaitTermination()
+    last = query.recentProgress[-1]["stateOperators"]
+    state = next(s for s in last if "transformWithState" in s["operatorName"])
+    assert state["numRowsTotal"] <= 20
+    inbox(event("end", at="2024-01-08T00:00:00Z", session_id="s2"))
+    inbox(event("end2", at="2024-01-08T00:00:01Z", session_id="s2"))
+    query = queries.start_window_table(session_cell_stream(stream), f"{tmp_path}/o", f"{tmp_path}/c", interval=None)
+    query.awaitTermination()
+    (row,) = finished_sessions(spark.read.parquet(f"{tmp_path}/o")).collect()
+    assert (row.page_views, row.unique_products_viewed, row.purchase_events) == (4000, 5, 1000)
+
+
+def progress(batch, rows, dropped):
+    state = SimpleNamespace(numRowsDroppedByWatermark=dropped, numRowsTotal=3)
+    return SimpleNamespace(progress=SimpleNamespace(
+        id="q1", name=None, batchId=batch, timestamp="2024-01-05T10:00:00.000Z", numInputRows=rows, stateOperators=[state], durationMs={"triggerExecution": 7},
+    ))
+
+
+def test_counts_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    listener = RowCounts(spark, f"{tmp_path}/counts")
+    for batch in range(150):
+        listener.onQueryProgress(progress(batch, 10, batch % 2))
+    listener.onQueryProgress(progress(150, 0, 0))  # nothing came
+    again = RowCounts(spark, f"{tmp_path}/counts")  # a restart repeats its last batch
+    again.onQueryProgress(progress(149, 10, 1))
+    again.onQueryProgress(progress(151, 5, 2))
+    (row,) = dropped_in_life(spark, f"{tmp_path}/counts").collect()
+    assert (row.batches, row.input_rows, row.dropped_rows) == (151, 1505, 77)
+
+
+def test_counts_survive_a_restart(spark, inbox, tmp_path):
+    listener, path = RowCounts(spark, f"{tmp_path}/counts"), f"{tmp_path}/counts"
+    spark.streams.addListener(listener)
+    try:
+        def run():
+            stream = queries.valid_stream(read_event_files(spark, inbox.folder, max_files=1))
+            queries.start_window_table(windows.event_rate(stream), f"{tmp_path}/out", f"{tmp_path}/cp", interval=None).awaitTermination()
+
+        inbox(event("1", at="2024-01-05T12:00:00Z"))
+        inbox(event("2", at="2024-01-05T12:30:00Z"))
+        run()
+        inbox(event("late", at="2024-01-05T09:00:00Z"), event("3", at="2024-01-05T12:31:00Z"))
+        run()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(20_000)
+        (row,) = dropped_in_life(spark, path).collect()
+        assert (row.input_rows, row.dropped_rows) == (4, 1)
+        assert row_counts(spark, path).agg(F.count_distinct("batch")).first()[0] == row.batches >= 3
+    finally:
+        spark.streams.removeListener(listener)

@@ -8,7 +8,7 @@ PRODUCT_EVENT_TYPES = ("page_view", "add_to_cart", "purchase")
 CATEGORIES = ("Electronics", "Clothing", "Footwear", "Home & Garden", "Sports", "Accessories")
 DEVICE_TYPES = ("desktop", "mobile", "tablet")
 
-# Topics, the job each one feeds, and the interval of a stream.
+# Topics, the job each one feeds, and when a batch is cut: so many messages or so long.
 CLICKSTREAM_TOPIC = "retail_clickstream"
 TRANSACTIONS_TOPIC = "retail_transactions"
 INVENTORY_TOPIC = "retail_inventory"
@@ -19,6 +19,8 @@ TOPIC_JOBS = {
 }
 DEFAULT_JOB = "default-processing-job"
 BATCH_INTERVAL = "30 seconds"
+BATCH_MESSAGES = 100
+POLL_INTERVAL = "1 second"
 
 # Dashboard thresholds as (yellow from, green from).
 CONVERSION_LEVELS = (2, 5)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestream.constants import DEFAULT_JOB, TOPIC_JOBS
+from tidestream.constants import BATCH_INTERVAL, BATCH_MESSAGES, DEFAULT_JOB, TOPIC_JOBS
 from tidestream.schemas import (
     CORRUPT_COLUMN,
     EVENT_COLUMNS,
@@ -33,10 +33,15 @@ def kafka_options(
     max_rows: int | None = None,
     starting: str = "latest",
     group: str = "tidestream",
+    min_rows: int | None = BATCH_MESSAGES,
+    max_delay: str = BATCH_INTERVAL,
 ) -> dict[str, str]:
     """Reader options: subscribe to the topics, newest messages first seen.
 
-    A trigger takes whatever has arrived; `max_rows` bounds it, for a first run over a backlog.
+    A batch is cut as soon as `min_rows` messages have come or `max_delay` has passed since the last one,
+    whichever is first, and then takes whatever has arrived; without `min_rows` every trigger cuts one.
+    `max_rows` bounds a batch, for a first run over a backlog. The trigger of the query sets how often
+    this is looked at.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -44,6 +49,8 @@ def kafka_options(
         "startingOffsets": starting,
         "groupIdPrefix": group,
     }
+    if min_rows is not None:
+        options |= {"minOffsetsPerTrigger": str(min_rows), "maxTriggerDelay": max_delay}
     return options if max_rows is None else {**options, "maxOffsetsPerTrigger": str(max_rows)}
 
 

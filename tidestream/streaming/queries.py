@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidestream.constants import BATCH_INTERVAL, CLICKSTREAM_TOPIC
+from tidestream.constants import CLICKSTREAM_TOPIC, POLL_INTERVAL
 from tidestream.operators.enrich import add_event_time
 from tidestream.operators.quality import is_valid
 from tidestream.plans.batch import MERGE, store_batch
@@ -98,7 +98,10 @@ def query_identity(spark: SparkSession, checkpoint: str) -> str:
 
 
 def dropped_rows(query: StreamingQuery) -> int:
-    """Rows that the query's stateful operators have dropped behind the watermark so far."""
+    """Rows dropped behind the watermark in the batches that the query still remembers, 100 by default.
+
+    `progress.RowCounts` keeps the counts of a query's whole life.
+    """
     states = [state for progress in query.recentProgress for state in progress["stateOperators"]]
     return sum(state["numRowsDroppedByWatermark"] for state in states)
 
@@ -114,7 +117,7 @@ def start_clickstream(
     lake: str,
     checkpoint: str,
     topic: str = CLICKSTREAM_TOPIC,
-    interval: str | None = BATCH_INTERVAL,
+    interval: str | None = POLL_INTERVAL,
     refresh: bool | str = True,
     seen_within: str = SEEN_WITHIN,
 ) -> StreamingQuery:
@@ -147,7 +150,7 @@ def start_router(
     messages: DataFrame,
     handlers: Mapping[str, Callable[[DataFrame, int], None]],
     checkpoint: str,
-    interval: str | None = BATCH_INTERVAL,
+    interval: str | None = POLL_INTERVAL,
 ) -> StreamingQuery:
     """Hands the broker rows of each micro-batch to the job of their topic.
 
@@ -176,7 +179,7 @@ def start_quarantine(
     lake: str,
     checkpoint: str,
     topic: str = CLICKSTREAM_TOPIC,
-    interval: str | None = BATCH_INTERVAL,
+    interval: str | None = POLL_INTERVAL,
 ) -> StreamingQuery:
     """Malformed, invalid and undated rows to the quarantine table, with the reason."""
     timed = add_event_time(events)
@@ -199,7 +202,7 @@ def start_quarantine(
 
 
 def start_window_table(
-    windows: DataFrame, path: str, checkpoint: str, interval: str | None = BATCH_INTERVAL
+    windows: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL
 ) -> StreamingQuery:
     """Window metrics appended to a Parquet table, each window once it can change no more."""
     writer = (
