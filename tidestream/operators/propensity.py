@@ -7,9 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -132,23 +132,65 @@ def score_metrics(scored: DataFrame, score: str = "rawPrediction") -> dict[str,
     """Area under ROC and PR on both splits, accuracy and F1 on the test split.
 
     `scored` has split, label, prediction and a score that ranks the rows. The curves use every
-    distinct score.
+    distinct score. Rows are folded to counts per score, these are sorted once, in ranges, and each
+    range begins with the totals of those above it; every point of both curves then follows from its own
+    row. Without positives the areas are 0, without negatives 1, and a split without rows has 0.
     """
-    scored = scored.select("split", "label", "prediction", score).persist()
+    vector = isinstance(scored.schema[score].dataType, VectorUDT)
+    ranked = vector_to_array(score)[1] if vector else F.col(score).cast("double")
+    positive, predicted = F.col("label") == 1, F.col("prediction") == 1
+    counts = scored.groupBy("split", ranked.alias("score")).agg(
+        F.count_if(positive).alias("pos"),
+        F.count_if(~positive).alias("neg"),
+        F.count_if(positive & predicted).alias("hits"),
+        F.count_if(~positive & predicted).alias("false_hits"),
+    )
+    ranges = counts.repartitionByRange("split", F.desc("score")).withColumn("range", F.spark_partition_id())
+    ranges = stored(ranges, "score-ranges")
+    # One row per range and split.
+    sums = ranges.groupBy("split", "range").agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+    earlier = Window.partitionBy("split").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("split")
+    carried = sums.select(
+        "split",
+        "range",
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_above") for c in "pn"],
+        *[F.sum(c).over(whole).alias(f"{c}_all") for c in "pn"],
+    )
+    inside = Window.partitionBy("split", "range").orderBy(F.desc("score"))
+    tp, fp = F.col("p_above") + F.sum("pos").over(inside), F.col("n_above") + F.sum("neg").over(inside)
+    points = ranges.join(carried, ["split", "range"]).withColumns({"tp": tp, "fp": fp})
+    points = points.withColumns({"tp0": F.col("tp") - F.col("pos"), "fp0": F.col("fp") - F.col("neg")})
+    precision = F.col("tp") / (F.col("tp") + F.col("fp"))
+    before = F.when(F.col("tp0") + F.col("fp0") > 0, F.col("tp0") / (F.col("tp0") + F.col("fp0"))).otherwise(precision)
+    areas = points.groupBy("split").agg(
+        F.sum(F.col("neg") * (F.col("tp0") + F.col("tp")) / 2.0).alias("above"),
+        F.sum(F.col("pos") * (before + precision) / 2.0).alias("under_pr"),
+        *[F.sum(c).alias(c) for c in ("pos", "neg", "hits", "false_hits")],
+    )
+    found = {row["split"]: row for row in areas.collect()}
     metrics = {}
     for split in ("train", "test"):
-        rows = scored.where(F.col("split") == split)
-        for name, metric in (("auc", "areaUnderROC"), ("pr_auc", "areaUnderPR")):
-            evaluator = BinaryClassificationEvaluator(
-                labelCol="label", rawPredictionCol=score, metricName=metric, numBins=0
-            )
-            metrics[f"{split}_{name}"] = float(evaluator.evaluate(rows))
-    test = scored.where(F.col("split") == "test")
-    for metric in ("accuracy", "f1"):
-        evaluator = MulticlassClassificationEvaluator(labelCol="label", metricName=metric)
-        metrics[f"test_{metric}"] = float(evaluator.evaluate(test))
-    scored.unpersist()
-    return metrics
+        row = found.get(split)
+        pos, neg = (row["pos"], row["neg"]) if row else (0, 0)
+        metrics[f"{split}_auc"] = row["above"] / (pos * neg) if pos and neg else float(bool(pos))
+        metrics[f"{split}_pr_auc"] = row["under_pr"] / pos if pos else 0.0
+    row = found.get("test")
+    cells = (row["hits"], row["false_hits"], row["pos"] - row["hits"], row["neg"] - row["false_hits"]) if row else (0, 0, 0, 0)
+    return {**metrics, **_label_metrics(*cells)}
+
+
+def _label_metrics(tp: int, fp: int, fn: int, tn: int) -> dict[str, float]:
+    """Accuracy, and F1 of both labels weighted by how often each occurs."""
+    total = tp + fp + fn + tn
+    if not total:
+        return {"test_accuracy": 0.0, "test_f1": 0.0}
+
+    def f1(hits: int, false: int, missed: int) -> float:
+        return 2 * hits / (2 * hits + false + missed) if hits else 0.0
+
+    weighted = (tp + fn) * f1(tp, fp, fn) + (tn + fp) * f1(tn, fn, fp)
+    return {"test_accuracy": (tp + tn) / total, "test_f1": weighted / total}
 
 
 def evaluate(candidate: Candidate, prepared: DataFrame) -> dict[str, float]:

@@ -1,7 +1,8 @@
-"""Run log and model registry as small append-only Parquet tables.
+"""Run log as a small append-only Parquet table, model registry as committed versions.
 
-A stage change appends a row; the current stage of a version is its latest row. One writer
-at a time is assumed.
+A stage change adds a row; the current stage of a version is its latest row. Changes are built from the
+state they follow, and of two writers the later one builds its own again, so there is never more than
+one Production version.
 """
 
 from __future__ import annotations
@@ -9,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidestream.constants import MODEL_NAME
 from tidestream.operators.propensity import Candidate
 from tidestream.schemas import REGISTRY_SCHEMA, RUN_SCHEMA
+from tidestream.sinks.versions import VersionLog
 
 STAGING, PRODUCTION, ARCHIVED = "Staging", "Production", "Archived"
 
@@ -28,6 +29,7 @@ class ModelRegistry:
         self.spark = spark
         self.root = root.rstrip("/")
         self.name = name
+        self._log = VersionLog(spark, f"{self.root}/model_registry/{name}")
 
     # -- runs ---------------------------------------------------------------
     def log_run(self, candidate: Candidate, run_id: str | None = None) -> str:
@@ -56,34 +58,44 @@ class ModelRegistry:
 
     # -- registry -----------------------------------------------------------
     def register(self, candidate: Candidate, run_id: str, description: str = "") -> int:
-        """Save the whole pipeline as the next version, in Staging."""
-        version = (self._current_max("version") or 0) + 1
-        path = f"{self.root}/models/{self.name}/{version}"
-        candidate.model.write().overwrite().save(path)
-        self._record([(version, run_id, STAGING, description, path)])
-        return version
+        """Save the whole pipeline as the next version, in Staging.
+
+        The model is saved under a name of its own and gets its version when that is committed, so two
+        writers get two versions.
+        """
+        path = f"{self.root}/models/{self.name}/{uuid.uuid4().hex}"
+        candidate.model.write().save(path)
+        given = []
+
+        def build(state: dict) -> dict:
+            version = max((row["version"] for row in state.values()), default=0) + 1
+            given[:] = [version]
+            return self._changes(state, [{"version": version, "run_id": run_id, "description": description, "path": path, "stage": STAGING}])
+
+        self._log.commit(build)
+        return given[0]
 
     def promote(self, version: int) -> None:
-        """Move a Staging version to Production and archive the one that was there."""
-        current = {r["version"]: r for r in self.current().collect()}
-        chosen = current.get(version)
-        if chosen is None or chosen["stage"] != STAGING:
-            raise ValueError(f"version {version} is not in {STAGING}")
-        older = [r for r in current.values() if r["stage"] == PRODUCTION]
-        changes = [(r, ARCHIVED) for r in older] + [(chosen, PRODUCTION)]
-        self._record(
-            [(r["version"], r["run_id"], stage, r["description"], r["path"]) for r, stage in changes]
-        )
+        """Move a Staging version to Production and archive the one that was there, in one commit."""
+
+        def build(state: dict) -> dict:
+            current = {row["version"]: row for _, row in sorted(state.items())}
+            chosen = current.get(version)
+            if chosen is None or chosen["stage"] != STAGING:
+                raise ValueError(f"version {version} is not in {STAGING}")
+            older = [row for row in current.values() if row["stage"] == PRODUCTION]
+            return self._changes(state, [*({**row, "stage": ARCHIVED} for row in older), {**chosen, "stage": PRODUCTION}])
+
+        self._log.commit(build)
 
     def history(self) -> DataFrame:
         """Every stage change of every version."""
-        try:
-            table = self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.root}/model_registry")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            table = self.spark.createDataFrame([], REGISTRY_SCHEMA)
-        return table.where(F.col("name") == self.name)
+        _, state = self._log.read()
+        rows = [
+            (int(seq), self.name, r["version"], r["run_id"], r["stage"], r["description"], r["path"], dt.datetime.fromisoformat(r["changed_at"]))
+            for seq, r in sorted(state.items())
+        ]
+        return self.spark.createDataFrame(rows, REGISTRY_SCHEMA)
 
     def current(self) -> DataFrame:
         """The latest row of every version; the table has one row per stage change."""
@@ -103,17 +115,12 @@ class ModelRegistry:
         return fallback
 
     # -- storage ------------------------------------------------------------
-    def _current_max(self, column: str) -> int | None:
-        return self.history().agg(F.max(column)).first()[0]
-
-    def _record(self, changes: list[tuple]) -> None:
-        seq = (self._current_max("seq") or 0) + 1
-        now = dt.datetime.now(dt.timezone.utc)
-        rows = [
-            (seq + i, self.name, version, run_id, stage, description, path, now)
-            for i, (version, run_id, stage, description, path) in enumerate(changes)
-        ]
-        self._append("model_registry", rows, REGISTRY_SCHEMA)
+    @staticmethod
+    def _changes(state: dict, rows: list[dict]) -> dict:
+        """The commit that adds stage changes after those there are."""
+        now = dt.datetime.now(dt.timezone.utc).isoformat()
+        seq = max(map(int, state), default=0) + 1
+        return {"set": {f"{seq + i:012}": {**row, "changed_at": now} for i, row in enumerate(rows)}}
 
     def _append(self, table: str, rows: list[tuple], schema: str) -> None:
         frame = self.spark.createDataFrame(rows, schema)

@@ -128,6 +128,7 @@ def store_batch(
     keep_rejected: bool = False,
     refresh: bool | str = True,
     spark: SparkSession | None = None,
+    distinct: bool = False,
 ) -> tuple[list, T.StructType]:
     """Store a batch of events and refresh the metrics of its days.
 
@@ -137,12 +138,13 @@ def store_batch(
     are stored instead, in the same version as its events: nothing else is read, and
     `current_metrics` has the metrics up to this batch. Without `refresh` only the raw table is
     written, for a job that calls `refresh_days` at longer intervals. `spark` is the session for
-    the metrics, by default that of the events. Returns the hours that got rows and the schema of
+    the metrics, by default that of the events. `distinct` events have no copies among them. Returns the hours that got rows and the schema of
     the raw table.
     """
     spark = spark or events.sparkSession
     events = conform_events(events)
-    enriched = enrich_events(validate_events(events, accept_carts=True), processed_at, batch_id)
+    valid = events.where(is_valid(accept_carts=True)) if distinct else validate_events(events, accept_carts=True)
+    enriched = enrich_events(valid, processed_at, batch_id)
     schema = add_time_partitions(enriched).schema
     if refresh == MERGE:
         enriched = enriched.persist()

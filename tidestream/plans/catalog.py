@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidestream.functions import render_counts
 from tidestream.operators import carts, enrich, features, metrics, predictions, propensity
-from tidestream.operators import quality, sessions, windows
+from tidestream.operators import quality, sessions, sketches, windows
 from tidestream.session import ensure_checkpoint_dir, stored
 from tidestream.sinks import raw
 from tidestream.sources import messages, testdata
@@ -343,6 +343,14 @@ def top_products(spark, sf_dir):
     return metrics.top_products(testdata.enriched_events(spark, sf_dir))
 
 
+@query
+def top_products_recounted(spark, sf_dir):
+    """The top ten from summaries of each minute and an exact count of their candidates."""
+    minutes = sketches.product_minutes(testdata.enriched_events(spark, sf_dir))
+    minutes = stored(minutes, "product-minutes")
+    return sketches.top_products_exact(minutes, sketches.frequent_products(minutes, 5))
+
+
 @query
 def geo_distribution(spark, sf_dir):
     return metrics.geo_distribution(testdata.enriched_events(spark, sf_dir))

@@ -505,6 +505,14 @@ _oracle(
     select product_id, count(*) as views from enriched where product_id is not null
     group by product_id order by views desc, product_id limit 10""",
 )
+_oracle(
+    "top_products_recounted",
+    "enriched",
+    sql="""
+    select product_id, count(*) as views from enriched
+    where product_id is not null and event_at is not null
+    group by product_id order by views desc, product_id limit 10""",
+)
 _oracle(
     "geo_distribution",
     "enriched",

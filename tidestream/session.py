@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,30 @@ def local_session(cores: int | str = "*", app: str = "tidestream", **settings) -
     return builder.getOrCreate()
 
 
+# A micro-batch is small, but its rows may belong to many folders: let several tasks write them.
+BATCH_SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
+
+
+@contextmanager
+def batch_settings(spark: SparkSession) -> Iterator[None]:
+    """Settings for what a stream does with one of its batches, in the session of the batch.
+
+    A stateful stream plans without adaptive execution in that session; writing a batch needs it
+    again, as hints to rebalance are ignored without.
+    """
+    before = {name: spark.conf.get(name) for name in BATCH_SETTINGS}
+    for name, value in BATCH_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of a frame; for a plain scan, the bytes on disk."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

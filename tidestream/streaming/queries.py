@@ -14,6 +14,7 @@ from tidestream.operators.enrich import add_event_time
 from tidestream.operators.quality import is_valid
 from tidestream.plans.batch import MERGE, store_batch
 from tidestream.schemas import CORRUPT_COLUMN
+from tidestream.session import batch_settings
 from tidestream.sinks.lake import write_quarantine
 from tidestream.sources.messages import route_topics, well_formed
 
@@ -140,7 +141,8 @@ def start_clickstream(
     def store(batch: DataFrame, number: int) -> None:
         if not identity:
             identity.append(query_identity(spark, checkpoint))
-        store_batch(batch, lake, f"stream_{identity[0]}_{number}", topic, refresh=refresh, spark=spark)
+        with batch_settings(batch.sparkSession):
+            store_batch(batch, lake, f"stream_{identity[0]}_{number}", topic, refresh=refresh, spark=spark, distinct=refresh == MERGE)
 
     writer = stream.writeStream.foreachBatch(store)
     return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
