@@ -110,12 +110,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
     """The frame written once as Parquet to the shared checkpoint folder and read back.
 
     Like a checkpoint it cuts the lineage and survives lost executors, but later steps read
-    only the columns they need. The files stay until the folder is cleaned.
+    only the columns they need, and with `by` only the folders of the values they ask for. The files
+    stay until `discard` or until the folder is cleaned.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    frame = df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
+    frame.stored_at = path
+    return frame
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the files of a frame that `stored` has returned and nothing reads any more."""
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(frame.stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
