@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import pathlib
 import random
 import sys
@@ -380,3 +381,22 @@ def test_bucket_rows_hold_shingles_once_per_chunk():
     rows = chunk.batch(jaccard_join._arrow_schema(jaccard_join._SCAN), weigh=False).to_pylist()
     assert [len(r["tokens"]) for r in rows if r["tokens"]] == [4]
     assert (np.frombuffer(rows[-1]["facts"], np.uint64).reshape(-1, 4)[:, 3] == 1).all()
+
+
+@pytest.mark.parametrize("bits", [1 << 29, 1 << 13])
+def test_exact_groups_by_slices(spark, bits):
+    """A small filter cuts the hashes into slices; the groups are those of one filter, hot group included."""
+    rng = random.Random(6)
+    rows = [(k, f"text {rng.randrange(900)}", "s") for k in range(2500)] + [(5000 + k, "hot  text" if k % 2 else "hot\ttext", "s") for k in range(900)]
+    rows += [(None, "text 1", "s"), (None, "hot text", "s"), (9000, None, "s"), (9001, "", "s")]
+    found = exact_groups(table(spark, rows).repartition(5), bits)
+    wanted = {}
+    for d, t, _ in rows:
+        wanted.setdefault(" ".join((t or "").split(" ")).replace("  ", " ").replace("\t", " "), []).append(d)
+    by_text = {hashlib.sha256(t.encode()).hexdigest(): ids for t, ids in wanted.items()}
+    got = {}
+    for r in found.collect():
+        assert r.group_size == len(by_text[r.text_sha256]) and r.keep_id == min(d for d in by_text[r.text_sha256] if d is not None)
+        got.setdefault(r.text_sha256, []).append((r.doc_id, r.kept))
+    assert {t: sorted(map(str, (d for d, _ in rs))) for t, rs in got.items()} == {t: sorted(map(str, ids)) for t, ids in by_text.items()}
+    assert all(sum(kept for _, kept in rs) == 1 for rs in got.values())

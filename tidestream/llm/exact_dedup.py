@@ -7,6 +7,8 @@ and goes straight to the result. Only the others are shuffled by hash to find th
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,13 +60,25 @@ def exact_groups(docs: DataFrame, max_filter_bits: int = MAX_FILTER_BITS) -> Dat
 
     Texts are equal if they are after replacing runs of blanks by one space. Of equal texts the
     row with the smallest doc_id stays (rows without doc_id come last, and of repeated rows with
-    the same doc_id one stays). Null text is empty text, and all empty texts are one group.
+    the same doc_id one stays). Null text is empty text, and all empty texts are one group. Very long
+    texts are hashed whole, and an empty table gives no rows. Other columns are not read.
 
-    The filter takes 16 bits per row up to `max_filter_bits`, so what is broadcast never exceeds
-    64 MB. Beyond that size the filter only lets more unique rows into the shuffle.
+    The filter takes 16 bits per row. Where that is more than `max_filter_bits` (64 MB), the space of
+    hashes is cut into slices that each have a filter of their own and are gone through one after the
+    other, each reading its own rows only. So what is broadcast is bounded and no filter is over-full.
     """
-    hashed = docs.select(F.col("doc_id"), F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
-    rows = stored(hashed.withColumn("row", F.monotonically_increasing_id()), "exact-hashes")
+    rows = docs.select(F.col("doc_id"), F.sha2(normalised(F.col("text")).cast("binary"), 256).alias("text_sha256"))
+    slices = max(1, math.ceil(docs.count() * FILTER_BITS_PER_ROW / max_filter_bits))
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    if slices == 1:
+        return _groups(stored(rows, "exact-hashes"), max_filter_bits)
+    rows = stored(rows.withColumn("slice", F.pmod(F.xxhash64("text_sha256", F.lit("slice")), F.lit(slices)).cast("int")), "exact-hashes", by=("slice",))
+    found = [stored(_groups(rows.where(F.col("slice") == s).drop("slice"), max_filter_bits), "exact-slice") for s in range(slices)]
+    return docs.sparkSession.read.schema(found[0].schema).parquet(*[frame.stored_at for frame in found])
+
+
+def _groups(rows: DataFrame, max_filter_bits: int) -> DataFrame:
+    """The result of `exact_groups` for hashed rows (doc_id, text_sha256, row), by one filter."""
     bits = filter_bits(rows.count(), max_filter_bits)
     repeated = stored(repeated_cells(rows, bits), "exact-filter")
     probed = rows

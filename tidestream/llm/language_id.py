@@ -192,7 +192,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     `score` is the share of the best language among all after exponentiation (0 to 1), `cosine`
     the likeness to its prototype. A null text or one without letters is `und` with score 0.
-    Null ids and repeated rows are answered like any other; only `doc_id` and `text` are read.
+    Very long texts are profiled whole, one at a time. Of equally near prototypes the first language
+    in alphabetical order is taken; if none could be learned every text is `und`. Null ids and
+    repeated rows are answered like any other, and an empty table gives no rows. Only `doc_id` and
+    `text` are read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +255,9 @@ def keep_known_languages(
     Rejected are texts without letters, and texts of at least `min_letters` letters that are like
     no prototype: their cosine is below `min_cosine` or below the bound of their length class
     (`fit_bounds`). Shorter texts have too few trigrams to be told apart from any language and
-    stay. If no language could be learned, all texts with letters stay.
+    stay. If no language could be learned, all texts with letters stay. Null and empty texts go; a cosine
+    of exactly the bound stays; very long texts are profiled whole. Repeated rows, null ids and any
+    other columns pass through, and an empty table gives no rows.
     """
     names = [f.name for f in docs.schema.fields]
     at = names.index("text")

@@ -45,7 +45,8 @@ def _fit(table: pa.Table) -> pa.Table:
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
     """Learn from at most about `sample_rows` labelled documents that are not held out.
 
-    Only their texts are features. Without labelled rows all weights are 0 and scores 0.5.
+    Only their texts are features. Without labelled rows, or with an empty table, all weights are 0
+    and scores 0.5. Null and repeated labels, ids and rows are as in `labelled_sample`.
     """
     sample = labelled_sample(docs, labels, label, sample_rows)
     weights = np.zeros(DIMENSIONS)
@@ -57,8 +58,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", samp
 def score_quality(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     """One row per document row: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.3).
 
-    A null or empty text gets the score of a text without features. Null ids and repeated rows
-    are scored like any other; other columns are not read.
+    A null or empty text gets the score of a text without features. Very long texts are scored
+    whole, one at a time. Null ids and repeated rows are scored like any other, equal texts get
+    equal scores, and an empty table gives no rows. Only `doc_id` and `text` are read.
     """
     weights = weights.astype(np.float32)
 

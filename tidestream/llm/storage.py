@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidestream.session import stored
+from tidestream.session import discard, stored
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -25,11 +25,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         large = large.distinct()
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(small, "a")
-        links = stored(
+        before, links = links, stored(
             joined.select("a", F.col("m").alias("b")).union(joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct(),
             name,
         )
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        discard(before)
         if tuple(state) == last:
             break
         last = tuple(state)

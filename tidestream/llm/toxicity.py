@@ -88,7 +88,11 @@ def _fit(table: pa.Table) -> pa.Table:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Learn from at most about `sample_rows` labelled documents that are not held out."""
+    """Learn from at most about `sample_rows` labelled documents that are not held out.
+
+    Without labelled rows, or with an empty table, all weights are 0. Null and repeated labels, ids
+    and rows are as in `labelled_sample`.
+    """
     model = OrdinalModel(np.zeros(DIMENSIONS), np.arange(GRADES - 1, dtype=float))
     sample = labelled_sample(docs, labels, label, sample_rows)
     for row in whole_sample(sample, word_and_prefix_features, _fit, "feature int, weight double"):
@@ -101,8 +105,9 @@ def score_toxicity(docs: DataFrame, model: OrdinalModel) -> DataFrame:
 
     `severity` is the expected grade (0 to 3), `grade` the likeliest one, `score` the probability
     of any toxicity; `predicted` is 1 and `toxic` true if that is at
-    least 0.25. A null or empty text scores like a
-    text without features; null ids and repeated rows are scored like any other.
+    least 0.25. Of equally likely grades the lowest is taken. A null or empty text scores like a
+    text without features; very long texts are scored whole, one at a time; null ids and repeated
+    rows are scored like any other, and an empty table gives no rows. Only `doc_id` and `text` are read.
     """
     weights, thresholds = model.weights.astype(np.float32), model.thresholds
 
