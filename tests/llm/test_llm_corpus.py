@@ -21,7 +21,7 @@ import corpus_pipeline  # noqa: E402
 from tidestream.llm import mixing, packing  # noqa: E402
 from tidestream.llm.catalog import QUERIES, public_tokenizer  # noqa: E402
 from tidestream.llm.language_id import fit_bounds, fit_languages, identify  # noqa: E402
-from tidestream.llm.storage import components  # noqa: E402
+from tidestream.llm.storage import components, running  # noqa: E402
 
 
 def tokens_of(text):
@@ -181,6 +181,25 @@ def test_taking_the_mix(spark):
     assert mixing.take_mix(docs.limit(0)).count() == 0
 
 
+def test_targets_of_many_sources(spark):
+    """As many sources as web hosts, in many ranges, with null, empty and one giant."""
+    rng = random.Random(2)
+    sizes = {f"host{k:04}": rng.randrange(0, 2000) for k in range(1500)} | {None: 700, "giant": 2_000_000, "é": 5}
+    rows = [(s, n) for s, n in sizes.items()]
+    found = mixing.source_targets(spark.createDataFrame(rows, "source string, size long").repartition(9)).collect()
+    wanted = brute.targets(sizes)
+    assert len(found) == len(sizes) and sorted(r.source_id for r in found) == list(range(len(sizes)))
+    assert all(r.target == pytest.approx(wanted[r.source], rel=1e-9, abs=1e-6) for r in found)
+
+
+def test_running_sums_in_ranges(spark):
+    rows = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), (F.col("id") % 5).alias("x"), F.lit(1).alias("one"))
+    found = running(rows.repartition(6), [F.col("k").desc()], {"before": "one", "sum": "x"}, "test-running").collect()
+    x = {r.k: r.x for r in rows.collect()}
+    assert all(r.before == 999 - r.k and r["sum"] == sum(v for k, v in x.items() if k > r.k) for r in found)
+    assert running(rows.limit(0), [F.col("k")], {"before": "one"}, "test-running").count() == 0
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(k, k + 1) for k in range(60)] + [(100, 101), (102, 101), (5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

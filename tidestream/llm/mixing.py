@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidestream.llm.storage import packed
+from tidestream.llm.storage import packed, running
 from tidestream.llm.words import mix
 from tidestream.session import stored
 
@@ -42,23 +42,21 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -
 
     Targets share the sum of all sizes by weight. A source above `most` times its size stops
     there and the others share the excess, until none is above: the common level is found by
-    going through the sources in the order in which they reach their stop. The windows here
-    see one row per source, never documents.
+    going through the sources in the order in which they reach their stop. Sources may be as many
+    as web hosts: both orders are gone through in ranges.
     """
     sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
-    in_order = Window.orderBy(F.col("source").asc_nulls_last())
-    number = F.row_number().over(in_order) - 1
-    sources = sources.withColumn("source_id", number.cast("long"))
+    sources = running(sources.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], {"source_id": "one"}, "mixing-sources")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("source_id") % len(weights) + 1).cast("int"))
-    sources = sources.withColumn("weight", weight).withColumn("stop", F.col("source_size") * F.lit(float(most)))
-    sources = stored(sources, "mixing-sources")
-    by_stop = Window.orderBy(F.col("stop") / F.col("weight"), "source_id")
-    below = F.coalesce(F.sum("stop").over(by_stop.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    sharing = F.sum("weight").over(by_stop.rowsBetween(0, Window.unboundedFollowing))
-    total = F.sum("source_size").over(Window.partitionBy())
-    levels = sources.withColumns({"reach": F.col("stop") / F.col("weight"), "level": (total - below) / sharing})
-    common = F.min(F.when(F.col("reach") >= F.col("level"), F.struct("reach", "level"))).over(Window.partitionBy())
-    target = F.least(F.col("stop"), common.getField("level") * F.col("weight"))
+    stop = F.col("source_size") * F.lit(float(most))
+    sources = sources.withColumns({"weight": weight, "stop": stop}).withColumn("reach", F.col("stop") / F.col("weight"))
+    levels = running(sources.drop("one"), [F.col("reach"), F.col("source_id")], {"below": "stop", "weight_below": "weight"}, "mixing-stops")
+    total, all_weights = levels.agg(F.sum("source_size"), F.sum("weight")).first()
+    if total is None:
+        return levels.select("source", "source_id", "source_size", "documents", F.lit(0.0).alias("target"))
+    level = (F.lit(float(total)) - F.col("below")) / (F.lit(all_weights) - F.col("weight_below"))
+    common = levels.agg(F.min(F.when(F.col("reach") >= level, F.struct(F.col("reach"), level.alias("level"))))).first()[0]
+    target = F.col("stop") if common is None else F.least(F.col("stop"), F.lit(common["level"]) * F.col("weight"))
     return levels.select("source", "source_id", "source_size", "documents", target.alias("target"))
 
 

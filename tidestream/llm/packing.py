@@ -125,8 +125,9 @@ def pack(docs: DataFrame, tokenizer: tuple[str, str, str], capacity: int = CAPAC
 
     A document is its token ids and the end id; a null or empty text is the end id alone.
     `tokenizer` holds the path of a `tokenizers` file, the path of the same vocabulary as ranks,
-    and the pattern that splits a text before merging. A null doc_id stays null, repeated rows
-    are packed as separate documents, and only `doc_id` and `text` are read.
+    and the pattern that splits a text before merging. Very long texts are tokenised whole and cut into
+    pieces. A null doc_id stays null, repeated rows are packed as separate documents, pieces of the same
+    length are interchangeable, and an empty table gives no rows. Only `doc_id` and `text` are read.
     """
     small_batches(docs.sparkSession)
     tokenised = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_tokenise(tokenizer, capacity), _PIECES)

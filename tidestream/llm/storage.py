@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidestream.session import discard, stored
 
@@ -37,6 +38,21 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def running(rows: DataFrame, order: list, sums: dict[str, str], name: str) -> DataFrame:
+    """Rows with running sums: column `new` is the sum of column `old`, for {new: old}, over all rows before.
+
+    The rows are cut into ranges of the order. Each range adds up for itself and begins with the totals of
+    those before it, so no task sees all rows; only one row per range does. The order has no ties.
+    """
+    ranged = stored(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), name)
+    totals = ranged.groupBy("range").agg(*[F.sum(old).alias(f"total_{old}") for old in set(sums.values())])
+    ranges = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    carried = totals.select("range", *[F.coalesce(F.sum(f"total_{old}").over(ranges), F.lit(0)).alias(f"carried_{old}") for old in set(sums.values())])
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    made = {new: F.col(f"carried_{old}") + F.coalesce(F.sum(old).over(inside), F.lit(0)) for new, old in sums.items()}
+    return ranged.join(carried, "range").withColumns(made).select(*rows.columns, *sums)
+
+
 def join_hot(rows: DataFrame, lookup: DataFrame, key: str, count: str) -> DataFrame:
     """Rows joined with a lookup table of unique keys that says how often each key occurs.
 
