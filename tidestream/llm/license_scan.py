@@ -184,16 +184,25 @@ def scan_licenses(docs: DataFrame, notices: dict[str, str] | None = None, contai
     equals. Documents without a notice have no row; null texts have none. A null doc_id stays
     null, and repeated rows each give their rows. A notice of fewer than five words must occur
     word for word; one without words can't be searched for. Notices of one, two, three and four
-    words take a pass over the texts for each of these lengths. Very long texts are searched whole,
+    words take a pass for each of these lengths, over the texts that have all words of one of them. Very long texts are searched whole,
     and an empty table gives no rows. Only `doc_id` and `text` are read.
     """
     notices = TEMPLATES if notices is None else notices
     texts = docs.sparkSession.createDataFrame(list(notices.items()), "license string, text string")
-    sizes = sorted(r.size for r in texts.select(_shingle_size().alias("size")).distinct().collect() if r.size > 0)
-    found = [_scan(docs, _notice_table(texts, size), size, containment) for size in sizes]
+    words = [r.words for r in texts.select(_words().alias("words")).collect()]  # the caller's short list
+    found = []
+    for size in sorted({min(len(w), SHINGLE_WORDS) for w in words} - {0}):
+        table = _notice_table(texts, size)
+        found.append(_scan(docs if size == SHINGLE_WORDS else _with_all_words(docs, [w for w in words if len(w) == size]), table, size, containment))
     return reduce(DataFrame.union, found)
 
 
+def _with_all_words(docs: DataFrame, notices: list[list[str]]) -> DataFrame:
+    """The documents whose text has all words of one of the notices, in any order and also within other words."""
+    text = F.lower("text")
+    return docs.where(reduce(Column.__or__, [reduce(Column.__and__, [F.contains(text, F.lit(w)) for w in words]) for words in notices]))
+
+
 def _scan(docs: DataFrame, table: DataFrame, size: int, containment: float) -> DataFrame:
     """The rows of `scan_licenses` for notices with shingles of `size` words."""
     known = table.collect()  # the caller's short list
