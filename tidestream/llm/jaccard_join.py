@@ -222,18 +222,20 @@ class _Bucket:
         return [x.astype(np.uint32).tobytes() for x in self._by_row(often)]
 
 
-def _answered(answers):
+def _answered(answers, keep_tokens: bool):
     """For applyInArrow over a bucket: its rows with the bucket's answer in place of `each`."""
 
     def run(table: pa.Table) -> pa.Table:
-        at = table.column_names.index("each")
-        return table.set_column(at, "each", pa.array(answers(table), pa.binary()))
+        made = table.set_column(table.column_names.index("each"), "each", pa.array(answers(table), pa.binary()))
+        if keep_tokens:
+            return made
+        return made.set_column(made.column_names.index("tokens"), "tokens", pa.nulls(len(made), pa.binary()))
 
     return run
 
 
-_count_bucket = _answered(lambda table: _Bucket(table, np.uint16).shared())
-_weigh_bucket = _answered(lambda table: _Bucket(table, np.uint32).documents())
+_count_bucket = _answered(lambda table: _Bucket(table, np.uint16).shared(), keep_tokens=False)
+_weigh_bucket = _answered(lambda table: _Bucket(table, np.uint32).documents(), keep_tokens=True)
 
 
 def _prefix_chunk(percent: int):
