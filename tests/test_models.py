@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidestream.constants import CATEGORIES
 from tidestream.operators import features, predictions, propensity
 from tidestream.operators.registry import ModelRegistry
+from tidestream.operators.sketches import quantiles
 from tidestream.plans.training import train_and_publish
 
 QUICK = {propensity.BOOSTING: {"maxIter": 5}}
@@ -119,5 +120,7 @@ def test_registry_and_publication(spark, inputs, tmp_path):
     scored = propensity.score(model, features.engineer_features(inputs))
     assert scored.count() == 1500
     assert spark.read.parquet(f"{tmp_path}/prediction_baseline").count() == 12
+    both = one(quantiles(spark.read.parquet(f"{tmp_path}/score_sketches")))
+    assert both["events"] == 2 * second.export.count() and 0 <= both["p50"] <= both["p95"] <= 1
     stored = spark.table("ml_purchase_predictions")
     assert stored.count() == second.export.count()

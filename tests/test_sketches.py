@@ -83,6 +83,10 @@ def test_products_and_delays_of_a_stream(spark, tmp_path):
     summaries = sketches.frequent_products(found["products"], 8)
     got = sketches.top_products_exact(found["products"], summaries, 3).collect()
     assert [(r.product_id, r.views) for r in got] == sorted(true.items(), key=lambda x: (-x[1], x[0]))[:3]
+    queries.start_product_summaries(stream, f"{tmp_path}/live", f"{tmp_path}/live-cp", 8, interval=None).awaitTermination()
+    live = spark.read.parquet(f"{tmp_path}/live")
+    assert sorted(tuple(r) for r in live.drop("batch").collect()) == sorted(tuple(r) for r in summaries.collect())
+    assert [r.product_id for r in sketches.top_products_live(live, 1).collect()] == [got[0].product_id]
     (hour,) = sketches.hourly_delays(found["delays"]).collect()
     assert hour.events == 800 and abs(hour.p50 - 49.5) <= 3 and abs(hour.p95 - 94.5) <= 3
 

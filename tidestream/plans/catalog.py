@@ -7,14 +7,16 @@ that results compare by value between engines. Library functions return the prop
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidestream.functions import render_counts
-from tidestream.operators import carts, enrich, features, metrics, predictions, propensity
+from tidestream.operators import carts, cells, enrich, features, metrics, predictions, propensity
 from tidestream.operators import quality, sessions, sketches, windows
+from tidestream.schemas import EVENT_TYPES_BY_COLUMN
 from tidestream.session import ensure_checkpoint_dir, stored
 from tidestream.sinks import raw
 from tidestream.sources import messages, testdata
@@ -221,9 +223,35 @@ def order_values(spark, sf_dir):
 
 
 # -- sessions and metrics -----------------------------------------------------
+def _merged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The metric tables from the cells of three batches, without the events of either."""
+    events = testdata.enriched_events(spark, sf_dir)
+    absent = {c: F.lit(None).cast(kind) for c, kind in EVENT_TYPES_BY_COLUMN.items() if c not in events.columns}
+    events = events.withColumns(absent)
+    batches = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k) for k in range(3)]
+    both = [reduce(DataFrame.union, map(make, batches)) for make in (sessions.session_cells, cells.total_cells)]
+    return cells.metrics_from_cells(*[stored(frame, "cells") for frame in both])
+
+
+@query
+def session_metrics_merged(spark, sf_dir):
+    return _rendered_sessions(_merged(spark, sf_dir)["sessions"])
+
+
+@query
+def hourly_metrics_merged(spark, sf_dir):
+    """Without the distinct counts, which are estimates here."""
+    hourly = _merged(spark, sf_dir)["hourly"].drop("unique_users", "unique_sessions")
+    return hourly.withColumn("event_date", _day("event_date"))
+
+
 @query
 def session_metrics(spark, sf_dir):
-    return _sessions(spark, sf_dir).select(
+    return _rendered_sessions(_sessions(spark, sf_dir))
+
+
+def _rendered_sessions(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "session_id",
         "user_id",
         _day("event_date"),

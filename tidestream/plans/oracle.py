@@ -418,6 +418,18 @@ _oracle(
       count(*) filter (event_type = 'search') as searches
     from enriched group by event_date, event_hour""",
 )
+_oracle(
+    "hourly_metrics_merged",
+    "enriched",
+    sql="""
+    select event_date, event_hour, count(*) as total_events,
+      count(*) filter (event_type = 'page_view') as page_views,
+      count(*) filter (event_type = 'add_to_cart') as add_to_cart,
+      count(*) filter (event_type = 'purchase') as purchases,
+      count(*) filter (event_type = 'search') as searches
+    from enriched group by event_date, event_hour""",
+)
+_STATEMENTS["session_metrics_merged"] = _STATEMENTS["session_metrics"]
 _CATEGORY_METRICS = """
     select product_category, event_date, count(*) as category_views,
       count(distinct user_id) as unique_users,

@@ -19,8 +19,9 @@ from tidestream.operators.propensity import (
     train_candidates,
 )
 from tidestream.operators.registry import ModelRegistry
+from tidestream.operators.sketches import score_sketch
 from tidestream.session import stored
-from tidestream.sinks.lake import append_baseline, read_baseline, write_csv
+from tidestream.sinks.lake import append_baseline, append_sketch, read_baseline, write_csv
 from tidestream.sinks.warehouse import save_predictions
 
 
@@ -44,7 +45,7 @@ def train_and_publish(
     """Train both models, promote the better one and score the test sessions with it.
 
     Leaves behind the run log, the registered version, the feature importance (CSV), the
-    prediction baseline and the prediction table.
+    prediction baseline, a sketch of the scores and the prediction table.
     """
     spark = inputs.sparkSession
     columns = feature_columns(categories)
@@ -67,6 +68,7 @@ def train_and_publish(
     summary = stored(p.monitoring_metrics(p.prediction_summary(scored)), "monitoring")
     baseline = f"{registry.root}/prediction_baseline"
     append_baseline(summary, baseline, run_ids[champion])
+    append_sketch(score_sketch(scored), f"{registry.root}/score_sketches", run_ids[champion])
     earlier = read_baseline(spark, baseline, before=run_ids[champion])
     drift = None if earlier is None else p.prediction_drift(summary, earlier)
     export = p.prediction_export(scored, str(version))

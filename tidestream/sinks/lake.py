@@ -120,6 +120,11 @@ def append_baseline(
     rows.coalesce(1).write.mode("append").parquet(path)
 
 
+def append_sketch(sketch: DataFrame, path: str, run_id: str) -> None:
+    """Add the score sketch of a run (events, sketch), so that quantiles of any runs can be merged."""
+    sketch.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("append").parquet(path)
+
+
 def read_baseline(spark: SparkSession, path: str, before: str | None = None) -> DataFrame | None:
     """The metrics (metric, value) of the run recorded last, `before` another run or at all.
 

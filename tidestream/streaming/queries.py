@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidestream.constants import CLICKSTREAM_TOPIC, POLL_INTERVAL
 from tidestream.operators.enrich import add_event_time
 from tidestream.operators.quality import is_valid
+from tidestream.operators.sketches import KEPT, frequent_products, product_minutes
 from tidestream.plans.batch import MERGE, store_batch
 from tidestream.schemas import CORRUPT_COLUMN
 from tidestream.session import batch_settings
@@ -203,6 +204,24 @@ def start_quarantine(
     return _trigger(writer, interval).start()
 
 
+def start_product_summaries(
+    events: DataFrame, path: str, checkpoint: str, kept: int = KEPT, interval: str | None = POLL_INTERVAL
+) -> StreamingQuery:
+    """The most viewed products of every minute, once it can change no more, for `top_products_live`.
+
+    A batch holds whole minutes and lies in a folder named after the query and its number, so one
+    that is repeated replaces itself.
+    """
+    spark = events.sparkSession
+
+    def store(batch: DataFrame, number: int) -> None:
+        folder = f"{path.rstrip('/')}/batch={query_identity(spark, checkpoint)}_{number}"
+        frequent_products(batch, kept).coalesce(1).write.mode("overwrite").parquet(folder)
+
+    writer = product_minutes(events).writeStream.outputMode("append").foreachBatch(store)
+    return _trigger(writer.option("checkpointLocation", checkpoint), interval).start()
+
+
 def start_window_table(
     windows: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL
 ) -> StreamingQuery:
