@@ -49,6 +49,20 @@ def test_frequent_products_within_their_bounds(spark, kept):
     minutes.unpersist()
 
 
+def test_even_views_are_counted_whole(spark):
+    """Where no product stands out the summaries can't name the candidates, and the result is still right."""
+    rows = [(f"P{k % 97:02}", f"2024-01-05 10:{k % 20:02}:00") for k in range(2000)]
+    events = spark.createDataFrame(rows, "product_id string, at string").withColumn("event_timestamp", F.to_timestamp("at"))
+    minutes = sketches.product_minutes(events)
+    summaries = sketches.frequent_products(minutes, 2)
+    assert sketches.top_candidates(summaries) is None
+    true = {}
+    for product, _ in rows:
+        true[product] = true.get(product, 0) + 1
+    got = [(r.product_id, r.views) for r in sketches.top_products_exact(minutes, summaries).collect()]
+    assert got == sorted(true.items(), key=lambda x: (-x[1], x[0]))[:10]
+
+
 def test_frequent_products_of_few_or_no_views(spark):
     events = skewed_views(spark, 30, 3, 2)
     summaries = sketches.frequent_products(sketches.product_minutes(events))

@@ -11,7 +11,7 @@ from helpers import assert_same, event, events_frame, item
 from pyspark.sql import functions as F
 
 from tidestream.plans import batch as jobs
-from tidestream.plans.batch import compact_cells, current_metrics, daily_job, process_batch, publish_days, raw_schema, read_events, rebuild_cells, store_batch
+from tidestream.plans.batch import compact_cells, current_metrics, daily_job, process_batch, publish_days, raw_schema, read_events, rebuild_cells, store_batch, sweep_days
 from tidestream.sinks import lake, raw
 from tidestream.sinks.versions import STATE_EVERY, Files, VersionLog
 from tidestream.sources.lake import read_folder
@@ -217,6 +217,7 @@ def test_merged_cells_give_the_metrics_of_the_day(spark, tmp_path, cut):
     same_metrics(current_metrics(spark, path, days), whole)
     if cut > 1:
         assert compact_cells(spark, path, days) == days and compact_cells(spark, path, days) == []
+        assert len(sweep_days(spark, path, days, older_than=0.0)) >= 2 * 2 * cut  # two tables of two days
         same_metrics(current_metrics(spark, path, days), whole)
         store_batch(events_frame(spark, *rows[1::cut][:3]), path, "b1", refresh="merge")
         same_metrics(current_metrics(spark, path, days), jobs.metric_frames(read_events(spark, path)))

@@ -2,8 +2,8 @@
 
 A minute keeps its most viewed products and the largest count it has left out. Over any span, a product
 has at least the sum of its kept counts and at most that plus what the minutes without it left out; so
-the true top products are among those whose upper bound reaches the n-th lower bound, and an exact
-count of these few settles the order. Delays and scores are kept as KLL sketches, whose rank error
+the true top products are among those whose upper bound reaches the n-th lower bound, unless that is
+within what a product kept nowhere can have, and an exact count of these few settles the order. Delays and scores are kept as KLL sketches, whose rank error
 is about 1.3 % at the default size, merged or not.
 """
 
@@ -61,10 +61,19 @@ def top_products_live(summaries: DataFrame, n: int = 10) -> DataFrame:
     return combined_products(summaries).orderBy(F.desc("at_least"), "product_id").limit(n)
 
 
-def top_candidates(summaries: DataFrame, n: int = 10) -> DataFrame:
-    """All products that can be among the n most viewed; complete if the n-th lower bound is above what an unkept product can have."""
+def top_candidates(summaries: DataFrame, n: int = 10) -> DataFrame | None:
+    """All products that can be among the n most viewed, with their bounds.
+
+    None where the summaries can't tell: a product that no minute kept may have as many views as the n-th
+    lower bound. More rows per minute (`kept`) help then.
+    """
     bounds = combined_products(summaries)
-    nth = bounds.orderBy(F.desc("at_least"), "product_id").limit(n).agg(F.min("at_least")).first()[0]
+    minutes = summaries.groupBy("window_start").agg(F.max("left_out").alias("left_out"))
+    unkept = minutes.agg(F.sum("left_out")).first()[0] or 0
+    lower = bounds.orderBy(F.desc("at_least"), "product_id").limit(n)
+    nth, found = lower.agg(F.min("at_least"), F.count("*")).first()
+    if unkept and (found < n or nth <= unkept):
+        return None
     return bounds.where(F.col("at_most") >= F.lit(nth))
 
 
@@ -72,10 +81,12 @@ def top_products_exact(minutes: DataFrame, summaries: DataFrame, n: int = 10) ->
     """The true n most viewed products of a span, by counting only the candidates of its summaries.
 
     `minutes` (or events counted by minute) and `summaries` cover the same span. Candidates are a few
-    times n rows where counts are skewed; Spark joins them as their measured size allows.
+    times n rows where counts are skewed; Spark joins them as their measured size allows. Where the
+    summaries can't name all candidates, every product is counted.
     """
-    candidates = top_candidates(summaries, n).select("product_id")
-    counted = minutes.join(candidates, "product_id").groupBy("product_id").agg(F.sum("views").alias("views"))
+    candidates = top_candidates(summaries, n)
+    rows = minutes if candidates is None else minutes.join(candidates.select("product_id"), "product_id")
+    counted = rows.groupBy("product_id").agg(F.sum("views").alias("views"))
     return counted.orderBy(F.desc("views"), "product_id").limit(n)
 
 

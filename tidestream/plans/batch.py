@@ -211,6 +211,12 @@ def compact_cells(spark: SparkSession, lake: str, days: Iterable[Parts], topic:
     return done
 
 
+def sweep_days(spark: SparkSession, lake: str, days: Iterable[Parts], topic: str = CLICKSTREAM_TOPIC, older_than: float = 86_400.0) -> list[str]:
+    """Delete what no version names any more of the events and cells of some days."""
+    tables = [cells_path("", table, topic).removeprefix("/raw/") for table in CELLS]
+    return raw.sweep(spark, f"{lake}/raw", days, topic, older_than, tables)
+
+
 def rebuild_cells(spark: SparkSession, lake: str, days: Iterable[Parts], topic: str = CLICKSTREAM_TOPIC) -> None:
     """Make the cells of some days again from their events, copies in different batches counted once.
 

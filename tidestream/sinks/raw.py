@@ -204,21 +204,34 @@ def compact_hours(
     return done
 
 
-def sweep(spark: SparkSession, root: str, days: Iterable[Parts], topic: str = CLICKSTREAM_TOPIC, older_than: float = 86_400.0) -> list[str]:
+def _parts_below(files: Files, folder: str) -> list[str]:
+    found = []
+    for name in files.names(folder):
+        if name.startswith("part="):
+            found.append(f"{folder}/{name}")
+        elif "=" in name:
+            found += _parts_below(files, f"{folder}/{name}")
+    return found
+
+
+def sweep(
+    spark: SparkSession,
+    root: str,
+    days: Iterable[Parts],
+    topic: str = CLICKSTREAM_TOPIC,
+    older_than: float = 86_400.0,
+    tables: Iterable[str] = (),
+) -> list[str]:
     """Delete the parts of some days that no version names, written more than so many seconds ago.
 
-    Those are parts that a compaction has replaced and parts of runs that died. Give running readers and
-    writers their time. Returns the folders deleted.
+    Those are parts that a compaction has replaced and parts of runs that died, of the raw table and of
+    `tables`, further folders below the root. Give running readers and writers their time. Returns
+    the folders deleted.
     """
-    files, below = Files(spark, root), raw_path("", topic).lstrip("/")
-    gone = []
-    for day in days:
-        folder = part_path(below, day)
-        for hour in files.names(folder):
-            for part in files.names(f"{folder}/{hour}"):
-                key = f"{folder}/{hour}/{part}"
-                if part.startswith("part=") and files.age(key, time.time()) >= older_than:
-                    gone.append(key)
+    files, now, gone = Files(spark, root), time.time(), []
+    for table in (raw_path("", topic).lstrip("/"), *tables):
+        for day in days:
+            gone += [key for key in _parts_below(files, part_path(table, day)) if files.age(key, now) >= older_than]
     # The versions are read after the folders, so a part that was live meanwhile is not among them.
     _, state = table_log(spark, root, topic).read()
     gone = [key for key in gone if key not in state]
