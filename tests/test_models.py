@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from helpers import one
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidestream.constants import CATEGORIES
@@ -101,6 +102,19 @@ def test_scores_and_importance(spark, trained):
     assert export.count() == 1500
 
 
+def test_models_score_in_a_session_that_has_observed_rows(spark, inputs):
+    """A session that was used for an observation can't be sent to tasks, so no model may hold it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    prepared = propensity.prepare(features.engineer_features(inputs))
+    found = propensity.train_candidates(prepared, features.feature_columns(), QUICK)
+    for candidate in found.values():
+        scored = propensity.score(candidate.model, prepared)
+        assert scored.groupBy("prediction_label").count().agg(F.sum("count")).first()[0] == 1500
+        assert 0.6 < candidate.metrics["test_auc"] < 1
+
+
 def test_registry_and_publication(spark, inputs, tmp_path):
     registry = ModelRegistry(spark, str(tmp_path))
     with pytest.raises(LookupError):

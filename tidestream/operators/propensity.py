@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -17,7 +18,7 @@ from pyspark.sql.window import Window
 from tidestream.constants import BOOSTING_SETTINGS, LOGISTIC_SETTINGS, TRAIN_PERCENT
 from tidestream.functions import hash_percent, rate
 from tidestream.operators.features import LABEL
-from tidestream.session import stored
+from tidestream.session import ensure_checkpoint_dir, stored
 
 LOGISTIC = "logistic_regression"
 BOOSTING = "gradient_boosted_trees"
@@ -101,6 +102,19 @@ def _estimator(model_type: str, settings: dict | None):
     )
 
 
+def _without_summary(spark: SparkSession, fitted):
+    """A fitted classifier as its saved form gives it back, which has no training summary.
+
+    The summary holds the session. Scoring sends the model to the tasks with all it holds, and a
+    session in which anything has been observed cannot be sent.
+    """
+    if not getattr(fitted, "hasSummary", False):
+        return fitted
+    path = f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    fitted.write().save(path)
+    return type(fitted).load(path)
+
+
 def fit_candidate(
     scaled_train: DataFrame,
     scaling: PipelineModel,
@@ -109,7 +123,7 @@ def fit_candidate(
 ) -> Candidate:
     """Fit one classifier on scaled rows; the result scores plain feature rows."""
     estimator = _estimator(model_type, settings)
-    fitted = estimator.fit(scaled_train)
+    fitted = _without_summary(scaled_train.sparkSession, estimator.fit(scaled_train))
     return Candidate(
         model_type,
         PipelineModel(stages=[*scaling.stages, fitted]),
