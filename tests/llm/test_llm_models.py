@@ -376,3 +376,28 @@ print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
     root = str(pathlib.Path(__file__).parents[2])
     done = subprocess.run([sys.executable, "-c", program], cwd=root, capture_output=True, text=True, timeout=300, env={**os.environ, "PYTHONPATH": root})
     assert int(done.stdout) < 1000, done.stderr
+
+
+def test_languages_and_bounds_are_learned_from_every_labelled_document(spark):
+    """7,000 documents of one language, some of them in other letters: all that are not held out count."""
+    rng = random.Random(31)
+    kinds = ["the", "house", "of", "and", "there", "which", "under", "quick", "river"], ["ξψ", "ωφχ", "щжю", "ъэ", "ღყ", "ჭხ"]
+    rows = [(k, " ".join(rng.choices(kinds[rng.random() < 0.03], k=rng.randrange(8, 40)))) for k in range(7000)]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in rows], "doc_id long, text string, lang string").repartition(5)
+    model = language_id.fit_languages(docs)
+    learned = [t for k, t in rows if zlib.crc32(str(k).encode()) % 5]
+    profiler = language_id.Profiler()
+    total = sum(profiler.vectors(piece)[0].sum(axis=0, dtype=np.float64) for piece in words.pieces(pa.array(learned)))
+    assert np.abs(model.prototypes[0] - total / np.linalg.norm(total)).max() < 1e-6
+
+    cut = [{t[: (language_id.MIN_LETTERS << k) * 7 // 4] for k in range(language_id.LENGTH_CLASSES - 1)} | {t} for t in learned]
+    found = [[] for _ in range(language_id.LENGTH_CLASSES)]
+    for piece in words.pieces(pa.array([x for texts in cut for x in texts])):
+        _, _, cosine, letters = language_id.predict(profiler, model, piece)
+        for k, c in zip(language_id.length_class(letters), cosine):
+            found[k].append(round(float(c), 6)) if k >= 0 else None
+    expected = [min(language_id.NOISE, float(np.percentile(f, 1))) if f else None for f in found]
+    bounds = language_id.fit_bounds(docs, model)
+    assert any(e is not None and e < language_id.NOISE for e in expected)
+    for e, bound in zip(expected, bounds):
+        assert e is None or bound == pytest.approx(e, abs=2e-6)

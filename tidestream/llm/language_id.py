@@ -20,13 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidestream.llm.linear import held_out, sample_limit, sample_place
+from tidestream.llm.linear import held_out
 from tidestream.llm.storage import small_batches
 from tidestream.llm.words import Piece, pieces
 
 PLACES = 1024
 LETTERS = 128
-SAMPLE_ROWS = 4_000
 UNKNOWN = "und"
 SHARPNESS = 20.0
 LAST_LETTER = 0x3FFFF  # planes beyond the third hold no letters
@@ -128,26 +127,21 @@ class LanguageModel:
     prototypes: np.ndarray
 
 
-def _sample(docs: DataFrame, sample_rows: int) -> tuple[DataFrame, dict[str, int]]:
-    """Documents to learn from, and how many of each language there are to choose from."""
-    known = docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return known, counts
-    # One pass over the texts: every language has its own share of the range of the hash.
-    limits = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, sample_limit(n, sample_rows))])
-    return known.where(sample_place("doc_id") < F.element_at(limits, F.col("lang"))), counts
+def _labelled(docs: DataFrame) -> DataFrame:
+    """The documents to learn from: all that have an id and a language and are not held out."""
+    return docs.select("doc_id", "lang", "text").where("lang is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
 
 
-def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
-    """Prototypes from the texts and languages of documents that are not held out.
+def fit_languages(docs: DataFrame) -> LanguageModel:
+    """Prototypes from the texts and languages of all documents that are not held out.
 
-    At most about `sample_rows` documents per language, chosen by the hash of their id. Rows
-    without language or id teach nothing.
+    Every task adds up its own documents and sends one vector per language. Rows without language
+    or id teach nothing.
     """
     small_batches(docs.sparkSession)
-    chosen, counts = _sample(docs, sample_rows)
-    if not counts:
+    known = _labelled(docs)
+    languages = sorted(r.lang for r in known.select("lang").distinct().collect())
+    if not languages:
         return LanguageModel([], np.zeros((0, PLACES), np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,8 +157,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageMo
             kinds = [pa.string(), pa.int32(), pa.float64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["lang", "place", "value"])
 
-    partial = chosen.select("lang", "text").mapInArrow(run, "lang string, place int, value double")
-    languages = sorted(counts)
+    partial = known.select("lang", "text").mapInArrow(run, "lang string, place int, value double")
     prototypes = np.zeros((len(languages), PLACES))
     # One number per language and place. Rounding makes the sum independent of its order.
     for row in partial.groupBy("lang", "place").agg(F.sum(F.round("value", 6).cast("decimal(30,6)")).cast("double").alias("value")).collect():
@@ -216,20 +209,17 @@ def length_class(letters: np.ndarray) -> np.ndarray:
     return np.searchsorted(MIN_LETTERS << np.arange(LENGTH_CLASSES), letters, "right") - 1
 
 
-def fit_bounds(docs: DataFrame, model: LanguageModel, sample_rows: int = SAMPLE_ROWS) -> np.ndarray:
+def fit_bounds(docs: DataFrame, model: LanguageModel) -> np.ndarray:
     """For every length class, the cosine below which a text is in none of the model's languages.
 
     The bound is what unrelated vectors do not reach by chance, or less if more than a hundredth
-    of the labelled texts of that length, which are not held out, lie below it. The beginnings of
+    of all labelled texts of that length, which are not held out, lie below it. The beginnings of
     longer texts count for the short classes; a class without texts has the bound of the one
     before it, and before the first class with texts the bound is 0.
     """
     small_batches(docs.sparkSession)
-    chosen, counts = _sample(docs, sample_rows)
-    if not counts:
-        return np.zeros(LENGTH_CLASSES)
     cuts = [F.substring("text", 1, (MIN_LETTERS << k) * 7 // 4) for k in range(LENGTH_CLASSES - 1)]
-    texts = chosen.select(F.explode(F.array_distinct(F.array(*cuts, F.col("text")))).alias("text"))
+    texts = _labelled(docs).select(F.explode(F.array_distinct(F.array(*cuts, F.col("text")))).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         profiler = Profiler()
@@ -240,7 +230,9 @@ def fit_bounds(docs: DataFrame, model: LanguageModel, sample_rows: int = SAMPLE_
                 yield pa.RecordBatch.from_arrays(columns, names=["class", "cosine"])
 
     cosines = texts.mapInArrow(run, "class int, cosine double").where("class >= 0")
-    low = cosines.groupBy("class").agg(F.percentile(F.round("cosine", 6), BOUND_QUANTILE).alias("low")).collect()
+    # The exact quantile, from how often each cosine of six digits occurs.
+    counts = cosines.groupBy("class", F.round("cosine", 6).alias("cosine")).agg(F.count("*").alias("n"))
+    low = counts.groupBy("class").agg(F.percentile("cosine", BOUND_QUANTILE, F.col("n")).alias("low")).collect()
     low, bounds = {r["class"]: r.low for r in low}, np.zeros(LENGTH_CLASSES)
     for k in range(LENGTH_CLASSES):
         bounds[k] = min(NOISE, low[k]) if k in low else bounds[max(k - 1, 0)]
